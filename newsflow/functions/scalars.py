@@ -119,17 +119,17 @@ def title_and_summary(title: Column, summary: Column) -> Column:
     return F.concat(F.lit("Title: "), title, F.lit("\nSummary: "), summary)
 
 
+SCORING_HEADER = (
+    "Rate how the news below is likely to move the price of ETH.\n"
+    "Reply with one JSON object and nothing else. Its keys are sentiment_score (whole number, "
+    "1 = strongly negative, 5 = neutral, 10 = strongly positive), sentiment_reason (at most 15 words) "
+    "and reasoning (at most two sentences).\n\n"
+)
+
+
 def scoring_prompt(content: Column) -> Column:
     """Ask for one JSON object with a 1..10 score and two short texts."""
-    return F.concat(
-        F.lit(
-            "Rate how the news below is likely to move the price of ETH.\n"
-            "Reply with one JSON object and nothing else. Its keys are "
-            "sentiment_score (whole number, 1 = strongly negative, 5 = neutral, 10 = strongly positive), "
-            "sentiment_reason (at most 15 words) and reasoning (at most two sentences).\n\n"
-        ),
-        content,
-    )
+    return F.concat(F.lit(SCORING_HEADER), content)
 
 
 def json_object_text(reply: Column) -> Column:

@@ -177,7 +177,7 @@ def split_failed(rows: DataFrame, out: str, on_error: str = "dlq") -> tuple[Data
 
 
 def score_news(news: DataFrame, client: ClientFactory = digest_scorer, *, capacity: int = 2,
-               timeout_s: float = 120.0, now=None) -> DataFrame:
+               timeout_s: float = 120.0) -> DataFrame:
     """News with ``sentiment``: ok, error, value(sentiment_score, sentiment_reason).
 
     A reply without a readable object, or with a score outside 1..10, is an error of its row.
@@ -186,28 +186,29 @@ def score_news(news: DataFrame, client: ClientFactory = digest_scorer, *, capaci
         "_ask", S.scoring_prompt(S.title_and_summary(F.col("title"), F.col("summary")))
     )
     replied = enrich(asked, "_ask", "_reply", client, REPLY_TYPE, capacity=capacity, timeout_s=timeout_s)
-    parsed = S.model_reply(F.col("_reply.value"), schemas.MODEL_REPLY)
+    return parse_replies(replied).drop("_ask")
+
+
+def parse_replies(replied: DataFrame, reply: str = "_reply") -> DataFrame:
+    """Replaces the raw ``reply`` struct by ``sentiment``, carrying the first error found."""
+    r = F.col(reply)
     score = S.valid_score(F.col("_parsed.sentiment_score"))
     error = (
-        F.when(~F.col("_reply.ok"), F.col("_reply.error"))
+        F.when(~r["ok"], r["error"])
         .when(F.col("_parsed").isNull(), F.lit("no readable object"))
         .when(score.isNull(), F.lit("score missing or outside 1..10"))
     )
+    value = F.struct(
+        score.alias("sentiment_score"), F.col("_parsed.sentiment_reason").alias("sentiment_reason")
+    )
     return (
-        replied.withColumn("_parsed", parsed)
+        replied.withColumn("_parsed", S.model_reply(r["value"], schemas.MODEL_REPLY))
         .withColumn("_error", error)
         .withColumn(
             "sentiment",
-            F.struct(
-                F.col("_error").isNull().alias("ok"),
-                F.col("_error").alias("error"),
-                F.struct(
-                    score.alias("sentiment_score"),
-                    F.col("_parsed.sentiment_reason").alias("sentiment_reason"),
-                ).alias("value"),
-            ),
+            F.struct(F.col("_error").isNull().alias("ok"), F.col("_error").alias("error"), value.alias("value")),
         )
-        .drop("_ask", "_reply", "_parsed", "_error")
+        .drop(reply, "_parsed", "_error")
     )
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from newsflow.operators.keyed import upsert
 
-_VERSION = T.StructType.fromDDL("version BIGINT, upto_batch BIGINT")
+_BATCH = T.StructType([T.StructField("batch_id", T.LongType())])
+_VERSION = T.StructType([T.StructField("version", T.LongType()), T.StructField("upto_batch", T.LongType())])
 
 
 def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
@@ -57,7 +58,7 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: lis
     execution broadcasts their keys when their measured size allows it.
     """
     version, upto = _published(spark, root)
-    tagged = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+    tagged = T.StructType(schema.fields + _BATCH.fields)
     delta = _read(spark, f"{root}/delta", tagged).where(F.col("batch_id") > upto)
     names = schema.fieldNames()
     base = (
@@ -83,7 +84,7 @@ def publish(rows: DataFrame, root: str, upto_batch: int) -> int:
 
 def compact(spark: SparkSession, root: str, schema: T.StructType, keys: list[str] | None) -> int:
     """Fold the batches so far into a new version. Run it while no batch is being written."""
-    tagged = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+    tagged = T.StructType(schema.fields + _BATCH.fields)
     last = _read(spark, f"{root}/delta", tagged).agg(F.max("batch_id")).first()[0]
     upto = max(_published(spark, root)[1], -1 if last is None else last)
     return publish(read_current(spark, root, schema, keys), root, upto)
@@ -93,7 +94,7 @@ def create_table(spark: SparkSession, root: str, schema: T.StructType, replace:
     """Publish an empty first version. An existing table is kept unless ``replace``."""
     if _published(spark, root)[0] >= 0 and not replace:
         return
-    last = _read(spark, f"{root}/delta", T.StructType.fromDDL("batch_id BIGINT")).agg(F.max("batch_id")).first()[0]
+    last = _read(spark, f"{root}/delta", _BATCH).agg(F.max("batch_id")).first()[0]
     publish(spark.createDataFrame([], schema), root, -1 if last is None else last)
 
 
