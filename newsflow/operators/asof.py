@@ -18,40 +18,47 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
 
     1. Only the distinct ``(by, time)`` probes of the left side take part, so repeated times cost
        nothing and a bucket holds at most ``bucket_ms`` probes.
-    2. Probes and right rows meet in one window per ``(by, bucket)``. A small table with one row
-       per bucket hands the last right row of the earlier buckets in.
+    2. Probes and right rows are shuffled once, by ``(by, bucket)``. One reader of that exchange
+       fills forward within the bucket; another keeps each bucket's last right row, and that small
+       table hands the row of the earlier buckets in where a bucket starts without one.
     3. The answers go back to the left rows by an equi-join, which adaptive execution splits when
        one time is hot.
     """
-    probes = left.select(*by, F.col(left_ts).alias("_t")).where(F.col("_t").isNotNull()).distinct()
-    row = F.struct(*[F.col(f"`{v}`") for v in values])
-    marks = probes.select(*by, "_t", F.lit(2).alias("_side"), F.lit(None).alias("_v")).unionByName(
-        right.select(
-            *by, (F.col(right_ts) + available_after_ms).alias("_t"), F.lit(1).alias("_side"), row.alias("_v")
-        )
-    ).withColumn("_b", F.floor(F.col("_t") / bucket_ms))
-
-    known = F.when(F.col("_v").isNotNull(), F.col("_t"))
+    start = F.col("_t") - F.pmod(F.col("_t"), F.lit(bucket_ms))
+    probes = left.select(*by, F.col(left_ts).alias("_t")).distinct().withColumn("_v", F.lit(None))
+    known = right.select(
+        *by,
+        (F.col(right_ts) + available_after_ms).alias("_t"),
+        F.struct(*[F.col(f"`{v}`") for v in values]).alias("_v"),
+    )
+    # both readers below use exactly these columns, so that they share the exchange
+    marks = (
+        probes.unionByName(known)
+        .dropna(subset=[*by, "_t"])
+        .withColumn("_b", start)
+        .repartition(*by, "_b")
+    )
+
+    is_known = F.col("_v").isNotNull()
     earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         marks.groupBy(*by, "_b")
-        .agg(F.max_by("_v", known).alias("_last"))
-        .select(
-            *by,
-            (F.col("_b") * bucket_ms).alias("_t"),
-            F.lit(0).alias("_side"),
-            F.last("_last", ignorenulls=True).over(earlier).alias("_v"),
-            "_b",
-        )
-        .where("_v IS NOT NULL")
+        .agg(F.max_by("_v", F.when(is_known, F.col("_t"))).alias("_last"))
+        .select(*by, "_b", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+        .where("_carry IS NOT NULL")
     )
 
-    upto = Window.partitionBy(*by, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    upto = (
+        Window.partitionBy(*by, "_b")
+        .orderBy("_t", is_known.desc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     answers = (
-        marks.unionByName(carry)
-        .withColumn("_hit", F.last("_v", ignorenulls=True).over(upto))
-        .where((F.col("_side") == 2) & F.col("_hit").isNotNull())
-        .select(*by, F.col("_t").alias(left_ts), "_hit")
+        marks.withColumn("_fill", F.last("_v", ignorenulls=True).over(upto))
+        .where(~is_known)
+        .join(carry, [*by, "_b"], "left")
+        .select(*by, F.col("_t").alias(left_ts), F.coalesce("_fill", "_carry").alias("_hit"))
+        .where("_hit IS NOT NULL")
     )
     joined = left.join(answers, [*by, left_ts], how)
     return joined.select(*[f"`{c}`" for c in left.columns], *[f"_hit.`{v}`" for v in values])

@@ -16,7 +16,7 @@ def ohlcv_bars(ticks: DataFrame, by: list[str], ts_ms: Column, price: Column, vo
     """Bars keyed by their opening time. ``order`` decides the first and last tick of a bar."""
     rows = ticks.select(
         *by,
-        (F.floor(ts_ms / interval_ms) * interval_ms).cast("bigint").alias("timestamp"),
+        (ts_ms - F.pmod(ts_ms, F.lit(interval_ms))).alias("timestamp"),
         order.alias("_o"),
         price.alias("_p"),
         volume.alias("_v"),
@@ -34,12 +34,12 @@ def _halo_blocks(bars: DataFrame, by: list[str], ts: str, halo: int, block_rows:
     """Cut each symbol's bars into blocks of ``block_rows`` consecutive bars, every block carrying
     the ``halo`` bars before it.
 
-    Adds ``_rn`` (row number in the symbol), ``_blk`` and ``_own`` (false for halo copies). No task
+    Adds ``_rn`` (row number in the symbol), ``_blk`` (first row number of the block) and ``_own``
+    (false for halo copies). No task
     sees a whole symbol: rows are numbered within a day, and only the per-day counts are summed up
     over the symbol.
     """
-    day = F.floor(F.col(ts) / _DAY_MS)
-    dated = bars.withColumn("_day", day)
+    dated = bars.withColumn("_day", F.col(ts) - F.pmod(F.col(ts), F.lit(_DAY_MS)))
     before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dated.groupBy(*by, "_day")
@@ -52,12 +52,11 @@ def _halo_blocks(bars: DataFrame, by: list[str], ts: str, halo: int, block_rows:
         .withColumn("_rn", F.col("_before") + F.row_number().over(in_day) - 1)
         .drop("_day", "_before")
     )
-    block = F.floor(F.col("_rn") / block_rows)
-    copies = F.when(
-        F.col("_rn") % block_rows >= block_rows - halo, F.array(block, block + 1)
-    ).otherwise(F.array(block))
+    place = F.col("_rn") % block_rows
+    block = F.col("_rn") - place
+    copies = F.when(place >= block_rows - halo, F.array(block, block + block_rows)).otherwise(F.array(block))
     return numbered.withColumn("_blk", F.explode(copies)).withColumn(
-        "_own", F.floor(F.col("_rn") / block_rows) == F.col("_blk")
+        "_own", F.col("_rn") >= F.col("_blk")
     )
 
 
@@ -90,34 +89,29 @@ def indicators(bars: DataFrame, by: list[str], ts: str = "timestamp", length: in
     blocks = _halo_blocks(bars, by, ts, halo, block_rows)
     w = Window.partitionBy(*by, "_blk").orderBy("_rn")
     frame = w.rowsBetween(-(limit - 2), 0)
-    prev = F.lag("close").over(w)
-    weight = F.pow(F.lit(length / (length - 1)), F.col("_rn") - F.col("_blk") * block_rows)
-    steps = (
-        blocks.withColumn("_prev", prev)
-        .withColumn("_chg", F.col("close") - F.col("_prev"))
-        .withColumn("_gain", F.greatest(F.col("_chg"), F.when(F.col("_chg").isNotNull(), 0.0)))
-        .withColumn("_loss", F.greatest(-F.col("_chg"), F.when(F.col("_chg").isNotNull(), 0.0)))
-        .withColumn("true_range", true_range(F.col("high"), F.col("low"), F.col("_prev")))
-        .withColumn("_w", weight)
+    prev, change = F.col("_prev"), F.col("close") - F.col("_prev")
+    steps = blocks.withColumn("_prev", F.lag("close").over(w)).select(
+        *bars.columns,
+        "_blk",
+        "_rn",
+        "_own",
+        F.when(prev.isNotNull(), F.greatest(change, F.lit(0.0))).alias("_gain"),
+        F.when(prev.isNotNull(), F.greatest(-change, F.lit(0.0))).alias("_loss"),
+        true_range(F.col("high"), F.col("low"), prev).alias("true_range"),
+        F.pow(F.lit(length / (length - 1)), F.col("_rn") - F.col("_blk")).alias("_w"),
     )
-    gain = _smoothed(F.col("_gain"), F.col("_w"), frame, length, adjust)
-    loss = _smoothed(F.col("_loss"), F.col("_w"), frame, length, adjust)
-    atr = _smoothed(F.col("true_range"), F.col("_w"), frame, length, adjust)
-    ready = F.count("_chg").over(frame) >= length
-    return (
-        steps.withColumn("_g", gain)
-        .withColumn("_l", loss)
-        .withColumn("_a", atr)
-        .withColumn("_ready", ready)
-        .where("_own")
-        .select(
-            *bars.columns,
-            "true_range",
-            F.when(F.col("_ready"), F.try_divide(100 * F.col("_g"), F.col("_g") + F.col("_l"))).alias(
-                f"rsi_{length}"
-            ),
-            F.when(F.col("_ready"), F.col("_a")).alias(f"atr_{length}"),
-        )
+    smooth = {
+        f"_{x}": _smoothed(F.col(x), F.col("_w"), frame, length, adjust) for x in ("_gain", "_loss", "true_range")
+    }
+    ready = F.count("_gain").over(frame) >= length
+    # one select, so that all sums share one window pass
+    done = steps.select("*", ready.alias("_ready"), *[c.alias(n) for n, c in smooth.items()]).where("_own")
+    rsi = F.try_divide(100 * F.col("__gain"), F.col("__gain") + F.col("__loss"))
+    return done.select(
+        *bars.columns,
+        "true_range",
+        F.when(F.col("_ready"), rsi).alias(f"rsi_{length}"),
+        F.when(F.col("_ready"), F.col("_true_range")).alias(f"atr_{length}"),
     )
 
 

@@ -13,22 +13,20 @@ _LOG_MESSAGE = f"struct<result:{schemas.DEX_LOG.simpleString()}>"
 
 def route(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``route``: tx for a text result, log for an object with topics, empty or other."""
-    result = F.try_variant_get(F.try_parse_json(F.col(value)), "$.result", "variant")
     kind = F.schema_of_variant(F.col("_r"))
     text = F.try_variant_get(F.col("_r"), "$", "string")
+    topics = F.try_variant_get(F.col("_r"), "$.topics", "variant")
     empty = F.col("_r").isNull() | F.is_variant_null(F.col("_r")) | text.isin("", "{}", "[]", "0", "false")
-    return (
-        messages.withColumn("_r", result)
-        .withColumn(
-            "route",
-            F.when(empty, "empty")
-            .when(kind == "STRING", "tx")
-            .when(kind.startswith("OBJECT") & F.try_variant_get(F.col("_r"), "$.topics", "variant").isNotNull(), "log")
-            .otherwise("other"),
-        )
-        .withColumn("tx_hash", F.when(F.col("route") == "tx", text))
-        .drop("_r")
+    target = (
+        F.when(empty, "empty")
+        .when(kind == "STRING", "tx")
+        .when(kind.startswith("OBJECT") & topics.isNotNull(), "log")
+        .otherwise("other")
     )
+    routed = F.struct(target.alias("route"), F.when(kind == "STRING", F.nullif(text, F.lit(""))).alias("tx_hash"))
+    parsed = messages.withColumn("_r", F.try_variant_get(F.try_parse_json(F.col(value)), "$.result", "variant"))
+    # as a generator the parse runs once; as plain columns every later filter would repeat it
+    return parsed.select(*[f"`{c}`" for c in messages.columns], F.inline(F.array(routed)))
 
 
 def tx_hashes(routed: DataFrame) -> DataFrame:
@@ -37,9 +35,9 @@ def tx_hashes(routed: DataFrame) -> DataFrame:
 
 def logs(routed: DataFrame, value: str = "value") -> DataFrame:
     """Typed log rows of the routed messages."""
-    parsed = F.from_json(F.col(value), _LOG_MESSAGE)
     rest = [c for c in routed.columns if c not in (value, "route", "tx_hash")]
-    return routed.where("route = 'log'").withColumn("_log", parsed["result"]).select(*rest, "_log.*")
+    log = F.from_json(F.col(value), _LOG_MESSAGE)["result"]
+    return routed.where("route = 'log'").select(*rest, F.inline(F.array(log)))
 
 
 def pool_logs(rows: DataFrame, pools: list[str] | DataFrame, topics: tuple[str, ...] = (S.SWAP_TOPIC, S.SYNC_TOPIC)) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import scalars as S
-from newsflow.operators.knn import knn_join
+from newsflow.operators.knn import Bound, knn_join
+from newsflow.operators.news import extreme_gate
 
 
 def backtest_stats(hits: DataFrame, queries: DataFrame, q_id: str, sim_threshold: float = 0.9,
@@ -84,15 +87,14 @@ def trade_signals(stats: DataFrame, mode: str = "strict", sim: float = 0.9, win:
 
 def analysis_decisions(scored: DataFrame, memory: DataFrame, *, q_id: str = "id", m_id: str = "id", k: int = 10,
                        sim_threshold: float = 0.9, win_threshold: float = 0.65, ret: str = "return_24h",
-                       point_in_time: bool = False, **options) -> DataFrame:
+                       point_in_time: bool = False, bounds: Sequence[Bound] = (), **options) -> DataFrame:
     """Decision of the analysis job: extreme scores are back-tested, the others pass undecided."""
-    from newsflow.operators.news import extreme_gate
-
+    older = [("sentiment_es", "<", "sentiment_es")] if point_in_time else []
     gated = extreme_gate(scored)
     asked = gated.where("backtested")
     hits = knn_join(
         asked, memory.where("is_settled"), k, q_id=q_id, m_id=m_id, q_vec="vector", m_vec="vector", carry=[ret],
-        bounds=[("sentiment_es", "<", "sentiment_es")] if point_in_time else [], **options,
+        bounds=[*bounds, *older], **options,
     )
     stats = backtest_stats(hits, asked.select(q_id), q_id, sim_threshold, ret)
     decided = stats.select(

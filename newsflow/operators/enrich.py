@@ -92,6 +92,16 @@ def http_client(url: str, model: str, reply_key: str, timeout_s: float, options:
     return make
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores when they lie in fewer files than there are cores.
+
+    Outside calls and markup parsing cost far more than moving a few rows; a table of many files
+    is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 # ---- the operator ---------------------------------------------------------------------------
 
 def _run_calls(texts: Sequence[str | None], call: Client, pool_size: int, timeout_s: float, retries: int):

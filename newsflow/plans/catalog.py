@@ -14,7 +14,7 @@ from newsflow.functions import markup, scalars as S
 from newsflow.operators import asof, bars as B, chain, decide, enrich, keyed, knn, news, retrain, settle
 from newsflow.plans import inputs as I
 from newsflow.plans import oracle_parts as O
-from newsflow.session import configure
+from newsflow.session import configure, written
 from newsflow.sinks import tables, topics
 from newsflow.sources import feeds, streams
 
@@ -429,8 +429,9 @@ def knn_settled_top10(spark, d):
 def semantic_search_top2(spark, d):
     client = enrich.hashed_words_embedder(DIM)
     asked = enrich.embed(I.table(spark, d, "benchmark"), "text", client, capacity=8)
-    logs = enrich.embed(I.table(spark, d, "documents"), "text", client, capacity=8)
+    logs = enrich.embed(enrich.spread(I.table(spark, d, "documents")), "text", client, capacity=8)
     q, m = (enrich.split_failed(x, "vector", "drop")[0] for x in (asked, logs))
+    q = written(q, "asked")
     return _hit_columns(knn.knn_join(q, m, 2, q_id="item_id", m_id="doc_id", q_vec="vector", m_vec="vector"))
 
 
@@ -496,7 +497,7 @@ def settle_24h_price_later(spark, d):
 
 
 def _scored(spark, d):
-    asked = enrich.score_news(news.clean(I.news(spark, d)).drop("sentiment_score"))
+    asked = enrich.score_news(enrich.spread(news.clean(I.news(spark, d)).drop("sentiment_score")))
     good, _ = enrich.split_failed(asked, "sentiment", "drop")
     return enrich.flatten_score(good, now=F.col("es"))
 
@@ -509,7 +510,8 @@ def enrich_sentiment(spark, d):
 
 @query("enrich_embedding", f"""WITH {O.words_cte("v", "documents", "doc_id", "text", DIM)} SELECT doc_id, slot, round(w, 6) AS weight FROM v""")
 def enrich_embedding(spark, d):
-    asked = enrich.embed(I.table(spark, d, "documents").select("doc_id", "text"), "text", enrich.hashed_words_embedder(DIM), capacity=8)
+    docs = enrich.spread(I.table(spark, d, "documents").select("doc_id", "text"))
+    asked = enrich.embed(docs, "text", enrich.hashed_words_embedder(DIM), capacity=8)
     good, _ = enrich.split_failed(asked, "vector", "drop")
     slots = good.select("doc_id", F.posexplode("vector").alias("slot", "weight")).where("weight <> 0")
     return slots.select("doc_id", F.col("slot").cast("bigint").alias("slot"), _r(F.col("weight").cast("double")).alias("weight"))
@@ -658,7 +660,8 @@ def news_id_md5(spark, d):
 
 @query("html_to_text")
 def html_to_text(spark, d):
-    return I.table(spark, d, "pages").select("page_id", markup.html_to_text(F.col("html")).alias("text"))
+    pages = enrich.spread(I.table(spark, d, "pages").select("page_id", "html"))
+    return pages.select("page_id", markup.html_to_text(F.col("html")).alias("text"))
 
 
 @query("rfc822_to_epoch_ms", """SELECT event_id, CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 0
@@ -805,16 +808,21 @@ SELECT CAST(doc_id AS VARCHAR) AS event_id, CASE WHEN sentiment_score > 8 THEN '
 
 
 def trading_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Clean, score, price features, embed, similar history, statistics: all but the decision."""
-    scored = _scored(spark, d).withColumn("id", F.col("doc_id"))
+    """All of the trading flow but the decision.
+
+    Price features come first, so that no model is asked about news without a bar; all model
+    answers are written once.
+    """
+    rows = news.require_pubdate(news.clean(I.news(spark, d))).drop("sentiment_score", "id")
     featured = asof.asof_join(
-        news.require_pubdate(scored), I.kline_rows(spark, d), "pubDate", "timestamp", ["symbol"],
-        ["rsi_14", "atr_14", "price_at_t"],
-    ).withColumn("rsi_14", _r("rsi_14"))
-    embedded, _ = enrich.split_failed(
-        enrich.embed(featured, "raw_content", enrich.hashed_words_embedder(DIM), capacity=8), "vector", "drop"
+        rows, I.kline_rows(spark, d), "pubDate", "timestamp", ["symbol"], ["rsi_14", "atr_14", "price_at_t"]
+    ).withColumns({"rsi_14": _r("rsi_14"), "id": F.col("doc_id")})
+    scored, _ = enrich.split_failed(enrich.score_news(enrich.spread(featured)), "sentiment", "drop")
+    asked = enrich.embed(
+        enrich.flatten_score(scored, now=F.col("es")), "raw_content", enrich.hashed_words_embedder(DIM), capacity=8
     )
-    history = decide.similar_history(embedded, I.memory(spark, d), strategy="blocks")
+    embedded = written(enrich.split_failed(asked, "vector", "drop")[0], "embedded")
+    history = decide.similar_history(embedded, I.memory(spark, d))
     return decide.backtest_stats(history, embedded.drop("vector"), "id", SIM_HYBRID)
 
 

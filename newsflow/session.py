@@ -34,15 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never used path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder, and read back.
+
+    For results of outside calls, or of work that several later steps read: nothing before this
+    point runs again when an executor is lost, and each reader takes only its columns.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
