@@ -60,58 +60,60 @@ def _halo_blocks(bars: DataFrame, by: list[str], ts: str, halo: int, block_rows:
     )
 
 
-def _smoothed(x: Column, weight: Column, frame, length: int, adjust: bool) -> Column:
-    """Wilder mean of ``x`` over the frame, up to the common factor that ``weight`` carries."""
-    total = F.sum(x * weight).over(frame)
-    if adjust:
-        return total / F.sum(F.when(x.isNotNull(), weight)).over(frame)
-    # the oldest value keeps the full remaining weight
-    n = F.count(x).over(frame)
+def _smoothed(x: Column, weight: Column, n: Column, frame, length: int, adjust: bool) -> Column:
+    """Wilder mean of the frame's ``n`` values. ``weight`` grows by ``length / (length - 1)`` a row."""
     keep = (length - 1) / length
-    oldest = F.first(x, ignorenulls=True).over(frame)
-    return total / (F.last(weight).over(frame) * length) + F.pow(F.lit(keep), n) * oldest
+    total = F.sum(x * weight).over(frame) / weight
+    left_over = F.pow(F.lit(keep), n)
+    if adjust:
+        return total / (length * (1 - left_over))
+    # without adjustment the oldest value keeps all of the remaining weight
+    return total / length + left_over * F.first(x, ignorenulls=True).over(frame)
 
 
 def indicators(bars: DataFrame, by: list[str], ts: str = "timestamp", length: int = 14,
                limit: int = 100, adjust: bool = True, block_rows: int = 1000) -> DataFrame:
-    """Adds ``true_range``, ``rsi_<length>`` and ``atr_<length>``.
+    """Adds ``true_range``, ``rsi_<length>`` and ``atr_<length>``; bars without prices drop out.
 
     A bar's value is the one computed when that bar is the newest of ``limit`` fetched bars, so
     its frame holds ``limit - 1`` differences. The first ``length`` bars of a symbol stay null.
 
     The exponential weights are written as growing powers of the row number inside a block, so a
     plain ``sum`` over the frame gives the smoothed value; all terms are non-negative, so nothing
-    cancels.
+    cancels. Only the first bar of a symbol has no difference, which gives the number of values in
+    a frame without counting.
     """
     halo = limit - 1
     if block_rows < halo:
         raise ValueError("block_rows must be at least limit - 1")
-    blocks = _halo_blocks(bars, by, ts, halo, block_rows)
+    blocks = _halo_blocks(bars.dropna(subset=["high", "low", "close"]), by, ts, halo, block_rows)
     w = Window.partitionBy(*by, "_blk").orderBy("_rn")
     frame = w.rowsBetween(-(limit - 2), 0)
     prev, change = F.col("_prev"), F.col("close") - F.col("_prev")
     steps = blocks.withColumn("_prev", F.lag("close").over(w)).select(
         *bars.columns,
-        "_blk",
-        "_rn",
         "_own",
         F.when(prev.isNotNull(), F.greatest(change, F.lit(0.0))).alias("_gain"),
         F.when(prev.isNotNull(), F.greatest(-change, F.lit(0.0))).alias("_loss"),
         true_range(F.col("high"), F.col("low"), prev).alias("true_range"),
         F.pow(F.lit(length / (length - 1)), F.col("_rn") - F.col("_blk")).alias("_w"),
+        F.least("_rn", F.lit(halo)).alias("_n"),
+        "_blk",
+        "_rn",
     )
     smooth = {
-        f"_{x}": _smoothed(F.col(x), F.col("_w"), frame, length, adjust) for x in ("_gain", "_loss", "true_range")
+        f"_{x}": _smoothed(F.col(x), F.col("_w"), F.col("_n"), frame, length, adjust)
+        for x in ("_gain", "_loss", "true_range")
     }
-    ready = F.count("_gain").over(frame) >= length
     # one select, so that all sums share one window pass
-    done = steps.select("*", ready.alias("_ready"), *[c.alias(n) for n, c in smooth.items()]).where("_own")
+    done = steps.select("*", *[c.alias(n) for n, c in smooth.items()]).where("_own")
+    ready = F.col("_n") >= length
     rsi = F.try_divide(100 * F.col("__gain"), F.col("__gain") + F.col("__loss"))
     return done.select(
         *bars.columns,
         "true_range",
-        F.when(F.col("_ready"), rsi).alias(f"rsi_{length}"),
-        F.when(F.col("_ready"), F.col("_true_range")).alias(f"atr_{length}"),
+        F.when(ready, rsi).alias(f"rsi_{length}"),
+        F.when(ready, F.col("_true_range")).alias(f"atr_{length}"),
     )
 
 

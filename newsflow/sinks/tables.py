@@ -25,13 +25,10 @@ def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows at ``path``, or an empty frame when nothing is there yet."""
     try:
-        reader = spark.read.schema(schema)
-        if base:
-            reader = reader.option("basePath", base)
-        return reader.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -46,21 +43,38 @@ def _published(spark: SparkSession, root: str) -> tuple[int, int]:
     return (-1, -1) if last["v"] is None else (last["v"], last["b"])
 
 
-def read_appended(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All rows of an append-only table."""
-    return read_current(spark, root, schema, keys=None)
+def _delta(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return _read(spark, f"{root}/delta", T.StructType(schema.fields + _BATCH.fields))
 
 
-def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: list[str] | None) -> DataFrame:
+def last_batch(spark: SparkSession, root: str) -> int:
+    """Number of the newest batch, -1 before the first."""
+    last = _read(spark, f"{root}/delta", _BATCH).agg(F.max("batch_id")).first()[0]
+    return max(_published(spark, root)[1], -1 if last is None else last)
+
+
+def read_batch(spark: SparkSession, root: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The stored rows of one micro-batch."""
+    return _read(spark, f"{root}/delta/batch_id={batch_id}", schema)
+
+
+def read_appended(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """All rows of an append-only table, or those of the batches before one."""
+    return read_current(spark, root, schema, keys=None, before=before)
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: list[str] | None,
+                 before: int | None = None) -> DataFrame:
     """The table's rows now: the newest version with later batches merged over it by key.
 
     The later batches are small next to the version, so the version is not shuffled: adaptive
     execution broadcasts their keys when their measured size allows it.
     """
     version, upto = _published(spark, root)
-    tagged = T.StructType(schema.fields + _BATCH.fields)
-    delta = _read(spark, f"{root}/delta", tagged).where(F.col("batch_id") > upto)
-    names = schema.fieldNames()
+    delta = _delta(spark, root, schema).where(F.col("batch_id") > upto)
+    if before is not None:
+        delta = delta.where(F.col("batch_id") < before)
+    names = [f"`{n}`" for n in schema.fieldNames()]
     base = (
         spark.createDataFrame([], schema)
         if version < 0
@@ -84,18 +98,13 @@ def publish(rows: DataFrame, root: str, upto_batch: int) -> int:
 
 def compact(spark: SparkSession, root: str, schema: T.StructType, keys: list[str] | None) -> int:
     """Fold the batches so far into a new version. Run it while no batch is being written."""
-    tagged = T.StructType(schema.fields + _BATCH.fields)
-    last = _read(spark, f"{root}/delta", tagged).agg(F.max("batch_id")).first()[0]
-    upto = max(_published(spark, root)[1], -1 if last is None else last)
-    return publish(read_current(spark, root, schema, keys), root, upto)
+    return publish(read_current(spark, root, schema, keys), root, last_batch(spark, root))
 
 
 def create_table(spark: SparkSession, root: str, schema: T.StructType, replace: bool = False) -> None:
     """Publish an empty first version. An existing table is kept unless ``replace``."""
-    if _published(spark, root)[0] >= 0 and not replace:
-        return
-    last = _read(spark, f"{root}/delta", _BATCH).agg(F.max("batch_id")).first()[0]
-    publish(spark.createDataFrame([], schema), root, -1 if last is None else last)
+    if replace or _published(spark, root)[0] < 0:
+        publish(spark.createDataFrame([], schema), root, last_batch(spark, root))
 
 
 def backup(rows: DataFrame, folder: str, start_ms: int, end_ms: int) -> str:

@@ -1,0 +1,139 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsflow import schemas
+from newsflow.functions import markup, scalars as S
+
+
+def one(spark, rows, schema, *cols):
+    return [tuple(r) for r in spark.createDataFrame(rows, schema).select(*cols).collect()]
+
+
+@pytest.mark.parametrize(
+    "text, filled",
+    [("a", True), ("", False), ("  ", False), ("\t\n", False), ("\t x", True), (None, False), ("\x01\x1f", False)],
+)
+def test_blank_means_control_characters_too(spark, text, filled):
+    assert one(spark, [(text,)], "t string", S.is_filled(F.col("t"))) == [(filled,)]
+
+
+def test_news_id_ignores_absent_parts(spark):
+    got = one(spark, [("http://x", "T"), (None, "T"), (None, None)], "l string, t string", S.news_id(F.col("l"), F.col("t")))
+    want = [hashlib.md5(s.encode()).hexdigest() for s in ("http://xT", "T", "")]
+    assert [g[0] for g in got] == want
+
+
+@pytest.mark.parametrize(
+    "text, ms",
+    [
+        ("Mon, 01 Jan 2024 00:00:07 GMT", 1704067207000),
+        ("Mon, 01 Jan 2024 08:00:07 +0800", 1704067207000),
+        ("1 Jan 2024 00:00 GMT", 1704067200000),
+        ("Sun, 31 Dec 2023 19:00:07 EST", 1704067207000),
+        ("Mon, 1 Jan 24 00:00:07 +0000", 1704067207000),
+        ("Mon, 01 Jan 2024 00:00:07 +0000 (UTC)", 1704067207000),
+        ("Mon, 01 Jan 2024 00:00:07 Z", 1704067207000),
+        ("not a date", 0),
+        ("", 0),
+        (None, 0),
+    ],
+)
+def test_rfc822(spark, text, ms):
+    assert one(spark, [(text,)], "t string", S.rfc822_to_epoch_ms(F.col("t"))) == [(ms,)]
+
+
+def test_shanghai_clock(spark):
+    assert one(spark, [(1704067200000,)], "t bigint", S.shanghai_datetime(F.col("t"))) == [("2024-01-01 08:00:00",)]
+
+
+@pytest.mark.parametrize(
+    "reply, score, reason",
+    [
+        ('```json\n{"sentiment_score": 7, "sentiment_reason": "up"}\n```', "7", "up"),
+        ('so: {"sentiment_score": 7, "sentiment_reason": "a {b}"} end', "7", "a {b}"),
+        ("nothing here", None, None),
+        ("} backwards {", None, None),
+        ("", None, None),
+        (None, None, None),
+        ('{"sentiment_reason": "x"}', None, "x"),
+    ],
+)
+def test_model_reply(spark, reply, score, reason):
+    parsed = S.model_reply(F.col("t"), schemas.MODEL_REPLY)
+    got = one(spark, [(reply,)], "t string", parsed["sentiment_score"], parsed["sentiment_reason"])
+    assert got == [(score, reason)]
+
+
+@pytest.mark.parametrize("text, score", [("1", 1), ("10", 10), ("0", None), ("11", None), ("x", None), (None, None)])
+def test_scores_outside_the_scale_are_refused(spark, text, score):
+    assert one(spark, [(text,)], "t string", S.valid_score(F.col("t"))) == [(score,)]
+
+
+@pytest.mark.parametrize("score, action", [(1, "SELL"), (2, "HOLD"), (8, "HOLD"), (9, "BUY")])
+def test_action(spark, score, action):
+    assert one(spark, [(score,)], "s int", S.decision_action(F.col("s"))) == [(action,)]
+
+
+def test_rates(spark):
+    rows = [(100.0, 110.0), (0.0, 5.0), (100.0, 90.0)]
+    rate = S.return_rate(F.col("b"), F.col("s"))
+    assert one(spark, rows, "b double, s double", rate, S.win_flag(rate)) == [(0.1, 1.0), (None, 0.0), (-0.1, 0.0)]
+
+
+def test_rsi_floor_rounds_half_up(spark):
+    assert one(spark, [(30.125,), (30.375,)], "r double", S.rsi_floor(F.col("r"))) == [(25.13,), (25.38,)]
+
+
+def test_cosine(spark):
+    rows = [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])]
+    got = one(spark, rows, "a array<float>, b array<float>", S.cosine_similarity(F.col("a"), F.col("b")))
+    assert got[0][0] == pytest.approx(2 ** -0.5)
+    assert got[1][0] is None
+
+
+def test_hex(spark):
+    assert one(spark, [(bytearray(b"\x0a\xff"),), (None,)], "b binary", S.hex_text(F.col("b"))) == [("0x0aff",), ("0x",)]
+    assert one(spark, [("0xAB",), ("ab",), (None,)], "t string", S.normal_hex(F.col("t"))) == [("0xab",), ("0xab",), ("0x",)]
+
+
+def test_absolute_url(spark):
+    got = one(spark, [("/a",), ("http://b/c",)], "u string", S.absolute_url(F.col("u"), "https://h/"))
+    assert got == [("https://h/a",), ("http://b/c",)]
+
+
+def test_asset_tag(spark):
+    words = {"ethereum": "ETH", "bitcoin": "BTC"}
+    got = one(spark, [("Ethereum and bitcoin",), ("Bitcoin!",), ("none",)], "t string", S.asset_tag(F.col("t"), words))
+    assert got == [("ETH",), ("BTC",), ("UNKNOWN",)]
+
+
+def test_day_label_and_preview(spark):
+    assert one(spark, [(1704067200000,)], "t bigint", S.day_label(F.col("t"))) == [("20240101",)]
+    assert one(spark, [("abcdef",)], "t string", S.preview(F.col("t"), 3)) == [("abc...",)]
+
+
+def test_html_text():
+    html = "<p>a &amp; b<br>c</p><script>x</script><style>y</style><!-- z --><b>d"
+    assert markup.text_of(html) == "a & bcd"
+    assert markup.text_of(None) == ""
+    assert markup.text_of("plain") == "plain"
+
+
+def test_html_rows():
+    page = (
+        '<div class="news-row"><a class="nc-title" href="/1"><span class="title-text"><span> T1 </span><span>x</span></span>'
+        '<span class="si-source-domain">s.com</span></a><div class="nc-currency"><a>ETH</a></div></div>'
+        '<div class="news-row"><a class="nc-title" href="/2"><span class="title-text"><i>no</i><span>late</span></span></a></div>'
+        '<div class="news-row"><b>ad</b></div>'
+    )
+    from newsflow.sources import feeds
+
+    rows = markup.read_rows(page, feeds.NEWS_ROW, feeds.NEWS_PICKS)
+    assert rows == [{"link": "/1", "title": "T1", "source": "s.com", "currency": "ETH"}, {"link": "/2"}, {}]
+
+
+def test_broken_html_does_not_raise():
+    assert markup.read_rows("<div class='news-row'><a class='nc-title' href", (None, "news-row"), ()) == [{}]
+    assert markup.read_rows("</div></p>", (None, "news-row"), ()) == []
