@@ -79,7 +79,7 @@ def _score_stream(batches: Iterator[pd.DataFrame], *, queries, k, bounds, column
     q = queries.value
     best = None
     for memory in batches:
-        if memory.empty:
+        if memory.empty or q.empty:
             continue
         hits = _best(q, memory, k, bounds)
         best = hits if best is None else pd.concat([best, hits], ignore_index=True)
