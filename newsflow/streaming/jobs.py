@@ -114,7 +114,9 @@ def trading_rows(items: DataFrame, klines: DataFrame, models: Models, cfg: JobCo
 
 def decide_batch(rows: DataFrame, memory: DataFrame, cfg: JobConfig, now: Column | None = None) -> DataFrame:
     """Signals for stored memory rows."""
-    asked = rows.withColumnsRenamed({"event_id": "id", "pub_date": "pubDate"})
+    asked = rows.drop("is_settled", "win_rate", "return").withColumnsRenamed(
+        {"event_id": "id", "pub_date": "pubDate"}
+    )
     hits = decide.similar_history(asked, memory, cfg.top_k, point_in_time=cfg.point_in_time)
     stats = decide.backtest_stats(hits, asked.drop("vector"), "id", cfg.sim_threshold)
     return decide.trade_signals(
