@@ -41,33 +41,46 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
 
 def _best(queries: pd.DataFrame, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -> pd.DataFrame:
     """The best ``k`` memory rows of each query within one pair of blocks."""
-    memory = memory.sort_values("m_id", kind="stable", ignore_index=True)
-    right = _unit_rows(memory["m_vec"])
     keep = [c for c in memory.columns if c not in ("m_vec", "m_part") and not c.startswith("mb_")]
+    asked = dict(list(queries.groupby("q_part", sort=False)))
     out = []
-    for start in range(0, len(queries), _MATRIX_ROWS):
-        q = queries.iloc[start:start + _MATRIX_ROWS]
-        sim = _unit_rows(q["q_vec"]) @ right.T
-        ok = q["q_part"].to_numpy()[:, None] == memory["m_part"].to_numpy()[None, :]
-        for i, (_, op, _) in enumerate(bounds):
-            ok &= _COMPARE[op](memory[f"mb_{i}"].to_numpy()[None, :], q[f"qb_{i}"].to_numpy()[:, None])
-        score = np.where(ok, np.round(sim, _RANK_DIGITS), -np.inf)
-        if score.shape[1] > k:
-            least = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
-            ok &= score >= least[:, None]
-        rows, cols = np.nonzero(ok)
-        # memory is sorted by id: a stable order on (row, -score) breaks ties by id
-        order = np.lexsort((cols, -score[rows, cols], rows))
-        rows, cols = rows[order], cols[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        rows, cols = rows[place < k], cols[place < k]
-        hits = memory.loc[cols, keep].reset_index(drop=True)
-        hits.insert(0, "q_id", q["q_id"].to_numpy()[rows])
-        hits["sim"] = sim[rows, cols]
-        out.append(hits)
+    for part, rows in memory.groupby("m_part", sort=False):
+        if part not in asked:
+            continue
+        rows = rows.sort_values("m_id", kind="stable", ignore_index=True)
+        right = _unit_rows(rows["m_vec"])
+        for start in range(0, len(asked[part]), _MATRIX_ROWS):
+            q = asked[part].iloc[start:start + _MATRIX_ROWS]
+            sim = _unit_rows(q["q_vec"]) @ right.T
+            at, hit = _top_cells(sim, _allowed(q, rows, bounds, sim.shape), k)
+            found = rows.loc[hit, keep].reset_index(drop=True)
+            found.insert(0, "q_id", q["q_id"].to_numpy()[at])
+            found["sim"] = sim[at, hit]
+            out.append(found)
+    if not out:
+        return memory.iloc[:0][keep].assign(q_id=queries["q_id"].iloc[:0], sim=np.empty(0))
     return pd.concat(out, ignore_index=True)
 
 
+def _allowed(q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], shape) -> np.ndarray:
+    ok = np.ones(shape, dtype=bool)
+    for i, (_, op, _) in enumerate(bounds):
+        ok &= _COMPARE[op](m[f"mb_{i}"].to_numpy()[None, :], q[f"qb_{i}"].to_numpy()[:, None])
+    return ok
+
+
+def _top_cells(sim: np.ndarray, ok: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the ``k`` best allowed cells of each row; ties go to the left."""
+    score = np.where(ok, np.round(sim, _RANK_DIGITS), -np.inf)
+    if score.shape[1] > k:
+        least = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k, None]
+        above = ok & (score > least)
+        tied = ok & (score == least)
+        room = k - above.sum(axis=1, keepdims=True)
+        ok = above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room))
+    return np.nonzero(ok)
+
+
 def _score_blocks(q: pd.DataFrame, m: pd.DataFrame, *, k: int, bounds, columns) -> pd.DataFrame:
     if q.empty or m.empty:
         return pd.DataFrame(columns=columns)
@@ -81,33 +94,36 @@ def _score_stream(batches: Iterator[pd.DataFrame], *, queries, k, bounds, column
     for memory in batches:
         if memory.empty or q.empty:
             continue
-        hits = _best(q, memory, k, bounds)
+        hits = _best(q, memory, k, bounds)[columns]
         best = hits if best is None else pd.concat([best, hits], ignore_index=True)
         best["_r"] = -best["sim"].round(_RANK_DIGITS)
         best = best.sort_values(["q_id", "_r", "m_id"], kind="stable", ignore_index=True)
         best = best[best.groupby("q_id", sort=False).cumcount() < k].drop(columns="_r")
     if best is not None:
-        yield best[columns]
+        yield best
 
 
-def _block_counts(rows: DataFrame, part: str, block_rows: int) -> Column:
-    """Number of blocks for each partition value, as an expression.
+def _part_sizes(rows: DataFrame, part: str) -> dict[int, int]:
+    """Number of rows for each partition value.
 
     The values are few by nature (scores 1..10, cells); more than ``_MAX_PARTS`` is an error.
     """
     counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_PARTS + 1).collect()
     if len(counts) > _MAX_PARTS:
         raise ValueError(f"more than {_MAX_PARTS} values of the partition column")
-    large = {r[0]: -(-r["n"] // block_rows) for r in counts if r["n"] > block_rows}
-    if not large:
-        return F.lit(1)
-    kind = rows.schema[part].dataType
-    pairs = [x for v, n in large.items() for x in (F.lit(v).cast(kind), F.lit(int(n)))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(part)), F.lit(1))
+    return {r[0]: r["n"] for r in counts}
+
+
+def _blocks(sizes: dict[int, int], part: str, block_rows: int) -> Column:
+    """Number of blocks of a row's partition value; only values above one block need an entry."""
+    pairs = [F.lit(x).cast("bigint") for v, n in sizes.items() if n > block_rows for x in (v, -(-n // block_rows))]
+    if not pairs:
+        return F.lit(1).cast("bigint")
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(part)), F.lit(1).cast("bigint"))
 
 
 def _block_of(ident: str, blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(ident), blocks).cast("int")
+    return F.pmod(F.xxhash64(ident), blocks)
 
 
 def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str,
@@ -148,38 +164,50 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
     )
     columns = out.fieldNames()
 
-    local = None
-    if strategy in ("auto", "broadcast"):
-        small = _small_enough(q, broadcast_bytes)
-        if small is None and strategy == "broadcast":
-            raise ValueError("queries exceed broadcast_bytes")
-        if small is not None:
-            shared = q.sparkSession.sparkContext.broadcast(small)
-            local = m.mapInPandas(
-                partial(_score_stream, queries=shared, k=k, bounds=tuple(bounds), columns=columns), out
-            )
-    if local is None:
-        m_blocks = _block_counts(m, "m_part", block_rows)
-        q_blocks = _block_counts(q, "q_part", block_rows)
-        left = (
-            q.withColumn("_p", F.col("q_part"))
-            .withColumn("_qb", _block_of("q_id", q_blocks))
-            .withColumn("m_part", F.col("q_part"))
-            .withColumn("_mb", F.explode(F.sequence(F.lit(0), m_blocks - 1)))
-            .drop("m_part")
-        )
-        right = (
-            m.withColumn("_p", F.col("m_part"))
-            .withColumn("_mb", _block_of("m_id", m_blocks))
-            .withColumn("q_part", F.col("m_part"))
-            .withColumn("_qb", F.explode(F.sequence(F.lit(0), q_blocks - 1)))
-            .drop("q_part")
+    small = _small_enough(q, broadcast_bytes) if strategy in ("auto", "broadcast") else None
+    if small is not None:
+        shared = q.sparkSession.sparkContext.broadcast(small)
+        hits = _possible(m, small, bounds).mapInPandas(
+            partial(_score_stream, queries=shared, k=k, bounds=tuple(bounds), columns=columns), out
         )
-        keys = ["_p", "_mb", "_qb"]
-        local = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-            partial(_score_blocks, k=k, bounds=tuple(bounds), columns=columns), out
-        )
-    return top_k(local, k)
+        return top_k(hits, k)
+    if strategy == "broadcast":
+        raise ValueError("queries exceed broadcast_bytes")
+
+    q_sizes = _part_sizes(q, "q_part")
+    m = m.where(F.col("m_part").isin(list(q_sizes)))
+    m_sizes = _part_sizes(m, "m_part")
+    left = (
+        q.withColumn("_p", F.col("q_part"))
+        .withColumn("_qb", _block_of("q_id", _blocks(q_sizes, "q_part", block_rows)))
+        .withColumn("_mb", F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(m_sizes, "q_part", block_rows) - 1)))
+    )
+    right = (
+        m.withColumn("_p", F.col("m_part"))
+        .withColumn("_mb", _block_of("m_id", _blocks(m_sizes, "m_part", block_rows)))
+        .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(q_sizes, "m_part", block_rows) - 1)))
+    )
+    keys = ["_p", "_mb", "_qb"]
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        partial(_score_blocks, k=k, bounds=tuple(bounds), columns=columns), out
+    )
+    return top_k(hits, k)
+
+
+def _possible(m: DataFrame, queries: pd.DataFrame, bounds: Sequence[Bound]) -> DataFrame:
+    """Memory rows that at least one query can match, as filters that reach the scan."""
+    if queries.empty:
+        return m.limit(0)
+    parts = queries["q_part"].unique().tolist()
+    if len(parts) <= _MAX_PARTS:
+        m = m.where(F.col("m_part").isin(parts))
+    for i, (_, op, _) in enumerate(bounds):
+        values = queries[f"qb_{i}"]
+        if op in (">=", ">"):
+            m = m.where(F.col(f"mb_{i}") >= F.lit(values.min().item()))
+        elif op in ("<=", "<"):
+            m = m.where(F.col(f"mb_{i}") <= F.lit(values.max().item()))
+    return m
 
 
 def top_k(hits: DataFrame, k: int) -> DataFrame:

@@ -7,6 +7,7 @@ its own folder; a version counts only once its row is in ``versions``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -85,11 +86,11 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: lis
     return upsert(base, delta, keys, ["batch_id"])
 
 
-def publish(rows: DataFrame, root: str, upto_batch: int) -> int:
+def publish(rows: DataFrame, root: str, upto_batch: int, partition_by: Sequence[str] = ()) -> int:
     """Make ``rows`` the table's next version, covering all batches up to ``upto_batch``."""
     spark = rows.sparkSession
     version = _published(spark, root)[0] + 1
-    rows.write.mode("overwrite").parquet(f"{root}/base/v={version}")
+    rows.write.mode("overwrite").parquet(f"{root}/base/v={version}", partitionBy=list(partition_by) or None)
     spark.createDataFrame([(version, upto_batch)], _VERSION).coalesce(1).write.mode("append").parquet(
         f"{root}/versions"
     )

@@ -21,8 +21,12 @@ def round_robin(rows: DataFrame, partitions: int) -> DataFrame:
 
 
 def keyed_order(rows: DataFrame, key: str, order: list[str], partitions: int) -> DataFrame:
-    """All rows of a key in one output partition and in order, as a keyed topic keeps them."""
-    return rows.repartition(partitions, key).sortWithinPartitions(key, *order)
+    """Rows sorted by key and order over all partitions, so each key's rows leave in order.
+
+    The ranges are cut by volume: a key with very many rows lies in several neighbouring partitions
+    instead of overloading one.
+    """
+    return rows.repartitionByRange(partitions, key, *order).sortWithinPartitions(key, *order)
 
 
 def in_input_order(rows: DataFrame, partition: str, offset: str) -> DataFrame:

@@ -57,9 +57,15 @@ def current_memory(spark: SparkSession, memory_root: str, settle_root: str) -> D
 
 
 def fold_settlements(spark: SparkSession, memory_root: str, settle_root: str) -> int:
-    """New memory version with the settlements written into the rows. Run it between batches."""
+    """New memory version with the settlements written into the rows; the settlement log restarts.
+
+    Run it between batches. Stopping half-way is harmless: settlements applied twice change nothing.
+    """
     upto = tables.last_batch(spark, memory_root)
-    return tables.publish(current_memory(spark, memory_root, settle_root), memory_root, upto)
+    rows = current_memory(spark, memory_root, settle_root)
+    version = tables.publish(rows, memory_root, upto, partition_by=["sentiment_score"])
+    tables.publish(spark.createDataFrame([], SETTLEMENT), settle_root, tables.last_batch(spark, settle_root))
+    return version
 
 
 def _rejects(rows: DataFrame, stage: str, ident: str = "id") -> DataFrame:
@@ -90,6 +96,29 @@ def rss_intake(responses: DataFrame, now: Column | None = None, horizon: str | N
     return topics.to_json_value(fresh_news(feeds.rss_items(feeds.landed_ok(responses), now), now, horizon))
 
 
+SEEN = T.StructType([T.StructField("id", T.StringType())])
+
+
+def intake_batch(cfg: JobConfig, seen_root: str, order: list[str],
+                 now: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """Work of one batch of items with the seen ids in a table.
+
+    An id repeated very often is reduced before the shuffle, which the state of a stream cannot do.
+    """
+
+    def work(items: DataFrame, batch_id: int) -> None:
+        seen = tables.read_appended(items.sparkSession, seen_root, SEEN, before=batch_id)
+        firsts = news.dedup_new(items, seen, order).persist()
+        try:
+            at = F.col("es") if now is None else now
+            tables.write_batch(topics.to_json_value(news.fresh_only(firsts, at)), cfg.signal_path, batch_id)
+            tables.write_batch(firsts.select("id"), seen_root, batch_id)
+        finally:
+            firsts.unpersist()
+
+    return work
+
+
 # ---- trading --------------------------------------------------------------------------------
 
 def trading_rows(items: DataFrame, klines: DataFrame, models: Models, cfg: JobConfig,

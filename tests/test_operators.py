@@ -263,11 +263,11 @@ def test_json_drops_nulls_and_keys_partition(spark):
     df = spark.createDataFrame([("a", None), ("b", 2)], "k string, sell_time bigint")
     assert [tuple(r) for r in topics.to_json_value(df, "k").collect()] == [("a", '{"k":"a"}'), ("b", '{"k":"b","sell_time":2}')]
     rows = spark.createDataFrame([(f"k{i % 5}", i) for i in range(50)], "k string, n int")
-    parts = topics.keyed_order(rows, "k", ["n"], 4).withColumn("p", F.spark_partition_id()).collect()
-    where = {}
-    for r in parts:
-        where.setdefault(r["k"], []).append((r["p"], r["n"]))
-    assert all(len({p for p, _ in v}) == 1 and [n for _, n in v] == sorted(n for _, n in v) for v in where.values())
+    hot = rows.unionByName(spark.createDataFrame([("k1", i) for i in range(100, 300)], "k string, n int"))
+    parts = topics.keyed_order(hot, "k", ["n"], 4).withColumn("p", F.spark_partition_id()).collect()
+    leaving = [(r["k"], r["n"]) for r in sorted(parts, key=lambda r: r["p"])]  # partition by partition
+    assert leaving == sorted(leaving) and len(leaving) == 250
+    assert len({r["p"] for r in parts if r["k"] == "k1"}) > 1
     spread = topics.round_robin(rows, 5).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
     assert len(spread) == 5
 

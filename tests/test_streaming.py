@@ -138,6 +138,9 @@ def test_settlement_job_and_its_use_in_decisions(spark, tmp_path, land):
     # folding keeps the state and later batches
     jobs.fold_settlements(spark, cfg.memory_path, settled)
     assert state() == want
+    assert tables.read_appended(spark, settled, jobs.SETTLEMENT).count() == 0
+    work(spark.read.text(f"{folder}/2.txt"), 1)
+    assert state() == want
 
     query = spark.createDataFrame([("q", "t", 9, 40.0, 1.0, 100.0, T0 + 5, T0 + 5, [1.0] * DIM, False, 0.0, 0.0)], schemas.MEMORY)
     memory = jobs.current_memory(spark, cfg.memory_path, settled)
@@ -255,3 +258,19 @@ def test_dedup_with_horizon_and_counts(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start())
     query.awaitTermination(120)
     assert [tuple(r) for r in spark.table("counts").collect()] == [("src", 5)]
+
+
+def test_intake_with_a_table_of_seen_ids(spark, tmp_path):
+    cfg, seen = config(tmp_path), str(tmp_path / "seen")
+    work = jobs.intake_batch(cfg, seen, ["es"], F.lit(T0).cast("bigint"))
+    old = T0 - 10 ** 8
+
+    def items(*rows):
+        return spark.createDataFrame([(i, "t", "s", p, "src", es) for i, p, es in rows], schemas.NEWS_ITEM)
+
+    first = items(("x", 0, 1), ("x", 0, 2), ("stale", old, 3))
+    work(first, 0)
+    work(items(("x", 0, 4), ("stale", T0, 5), ("y", T0, 6)), 1)
+    work(first, 0)  # replay
+    got = [json.loads(r["value"])["id"] for r in spark.read.parquet(f"{cfg.signal_path}/delta").collect()]
+    assert sorted(got) == ["x", "y"]
