@@ -11,6 +11,17 @@ MINUTE_MS = 60_000
 _DAY_MS = 86_400_000
 
 
+def tick_order(ts: Column, seq: Column) -> Column:
+    """Time, then sequence number, as one number.
+
+    A fixed-width ordering lets the bars be built by hash aggregation; an ordering by a struct
+    would sort all ticks first.
+    """
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(19,0)")
+    shift = F.lit("10000000000000000000").cast("decimal(20,0)")  # above every sequence number
+    return (micros * shift + seq).cast("decimal(38,0)")
+
+
 def ohlcv_bars(ticks: DataFrame, by: list[str], ts_ms: Column, price: Column, volume: Column,
                order: Column, interval_ms: int = MINUTE_MS) -> DataFrame:
     """Bars keyed by their opening time. ``order`` decides the first and last tick of a bar."""

@@ -202,7 +202,7 @@ def kline_replace_into(spark, d):
     ticks = I.ticks(spark, d)
     stored = B.ohlcv_bars(
         ticks, ["symbol"], S.to_epoch_ms(F.col("ts")) - settle.DAY_MS, F.col("price"), F.col("volume"),
-        F.struct("ts", "event_id"),
+        B.tick_order(F.col("ts"), F.col("event_id")),
     ).withColumn("origin", F.lit("stored"))
     fetched = I.bars(spark, d).withColumn("origin", F.lit("fetched"))
     return keyed.upsert(stored, fetched, ["symbol", "timestamp"])

@@ -62,7 +62,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars of every symbol."""
     return B.ohlcv_bars(
         ticks(spark, sf_dir), ["symbol"], S.to_epoch_ms(F.col("ts")), F.col("price"), F.col("volume"),
-        F.struct("ts", "event_id"),
+        B.tick_order(F.col("ts"), F.col("event_id")),
     )
 
 

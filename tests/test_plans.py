@@ -45,3 +45,8 @@ def test_asof_shares_one_exchange(spark, sf):
     df = entry.queries()["asof_price_features"](spark, sf)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_bars_are_hash_aggregated(spark, sf):
+    text = plan(entry.queries()["ohlcv_bars"](spark, sf))
+    assert "HashAggregate" in text and "SortAggregate" not in text
