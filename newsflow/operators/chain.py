@@ -13,18 +13,20 @@ _LOG_MESSAGE = f"struct<result:{schemas.DEX_LOG.simpleString()}>"
 
 def route(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``route``: tx for a text result, log for an object with topics, empty or other."""
-    kind = F.schema_of_variant(F.col("_r"))
-    text = F.try_variant_get(F.col("_r"), "$", "string")
+    result = F.try_variant_get(F.try_parse_json(F.col(value)), "$.result", "variant")
+    parsed = messages.withColumn("_r", result).withColumn("_kind", F.schema_of_variant(F.col("_r")))
+    # objects are never turned into text, which would cost more than all the rest
+    whole = F.try_variant_get(F.col("_r"), "$", "string")
+    parsed = parsed.withColumn("_text", F.when(~F.col("_kind").startswith("OBJECT"), whole))
+    kind, text = F.col("_kind"), F.col("_text")
     topics = F.try_variant_get(F.col("_r"), "$.topics", "variant")
-    empty = F.col("_r").isNull() | F.is_variant_null(F.col("_r")) | text.isin("", "{}", "[]", "0", "false")
     target = (
-        F.when(empty, "empty")
+        F.when(kind.isNull() | kind.isin("VOID", "OBJECT<>") | text.isin("", "[]", "0", "false"), "empty")
         .when(kind == "STRING", "tx")
         .when(kind.startswith("OBJECT") & topics.isNotNull(), "log")
         .otherwise("other")
     )
     routed = F.struct(target.alias("route"), F.when(kind == "STRING", F.nullif(text, F.lit(""))).alias("tx_hash"))
-    parsed = messages.withColumn("_r", F.try_variant_get(F.try_parse_json(F.col(value)), "$.result", "variant"))
     # as a generator the parse runs once; as plain columns every later filter would repeat it
     return parsed.select(*[f"`{c}`" for c in messages.columns], F.inline(F.array(routed)))
 
