@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.operators.keyed import latest_per_key
+
 HOUR_MS = 3_600_000
 
 
@@ -62,3 +64,14 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by
     )
     joined = left.join(answers, [*by, left_ts], how)
     return joined.select(*[f"`{c}`" for c in left.columns], *[f"_hit.`{v}`" for v in values])
+
+
+def reachable_rows(right: DataFrame, right_ts: str, by: list[str], low: int, high: int) -> DataFrame:
+    """The right rows that probes between ``low`` and ``high`` can match.
+
+    Of the rows up to ``low`` only the last of each key counts, and Spark finds it before the
+    shuffle; so a small batch against a long history moves few rows.
+    """
+    t = F.col(right_ts)
+    last = latest_per_key(right.where(t <= low), by, [right_ts]).where(t.isNotNull())
+    return right.where((t > low) & (t <= high)).unionByName(last)

@@ -117,6 +117,14 @@ def scraped_item_filter(spark, d):
     return feeds.scraped_items(I.news_row_pages(spark, d), "https://site.example")
 
 
+@query("scraped_sentiment_items", f"""SELECT CASE WHEN regexp_matches(lower(text), '(^|\\W)the(\\W|$)') THEN 'ENG' ELSE 'UNKNOWN' END AS asset,
+    '[' || text || ']' AS raw_text, 'site-' || CASE WHEN doc_id % 7 <> 0 THEN source ELSE 'Unknown' END AS source, {NOW // 1000} AS timestamp
+    FROM documents WHERE doc_id % 19 <> 0 AND doc_id % 17 <> 0""")
+def scraped_sentiment_items(spark, d):
+    pages = I.news_row_pages(spark, d)
+    return feeds.sentiment_items(pages, "site-", {"the": "ENG"}, now=_lit_ms(NOW))
+
+
 @query("ohlcv_bars", f"WITH {O.BARS} SELECT symbol, timestamp, open, high, low, close, volume FROM bars")
 def ohlcv_bars(spark, d):
     return I.bars(spark, d)
@@ -446,6 +454,24 @@ def knn_ivf_approx(spark, d):
     )
 
 
+ALL_HITS = O.MEMORY + """,
+pairs AS (SELECT q.event_id AS q_id, m.event_id AS m_id, list_cosine_similarity(q.vector, m.vector) AS sim
+    FROM memory q JOIN memory m ON m.is_settled AND m.event_id <> q.event_id),
+hits AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(sim, 10) DESC, m_id) AS rank FROM pairs QUALIFY rank <= 5)"""
+
+
+@query("knn_ivf_all_cells", f"WITH {ALL_HITS} {HIT_SQL}")
+def knn_ivf_all_cells(spark, d):
+    """The approximate search with every cell probed, which is exact."""
+    m = I.memory(spark, d)
+    return _hit_columns(
+        knn.knn_ivf(
+            m, m.where("is_settled"), 5, q_id="event_id", m_id="event_id", q_vec="vector", m_vec="vector",
+            bounds=[("event_id", "!=", "event_id")], nlist=8, nprobe=8,
+        )
+    )
+
+
 @query("settle_by_event_id", f"WITH {O.SETTLED} SELECT event_id, round(rate, 6) AS rate, win, outcome FROM done")
 def settle_by_event_id(spark, d):
     done = settle.settlements(I.signals(spark, d), I.memory(spark, d), "offset_id")
@@ -658,7 +684,10 @@ def news_id_md5(spark, d):
     return I.table(spark, d, "pages").select("page_id", S.news_id(F.col("url"), F.col("html")).alias("id"))
 
 
-@query("html_to_text")
+@query("html_to_text", """WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html,
+    '<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'gs'), '<[/!a-zA-Z][^>]*>', '', 'g') AS t FROM pages)
+    SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(t, '&copy;', chr(169)), '&middot;', chr(183)),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;?', '&', 'g') AS text FROM bare""")
 def html_to_text(spark, d):
     pages = enrich.spread(I.table(spark, d, "pages").select("page_id", "html"))
     return pages.select("page_id", markup.html_to_text(F.col("html")).alias("text"))

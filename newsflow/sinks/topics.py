@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -34,6 +34,19 @@ def in_input_order(rows: DataFrame, partition: str, offset: str) -> DataFrame:
     return rows.sortWithinPartitions(partition, offset)
 
 
+def tapped(rows: DataFrame, stage: str, *metrics: Column) -> DataFrame:
+    """Counts the rows that pass, without another pass over them.
+
+    A stream shows the numbers in its progress, a batch through an ``Observation`` of that name.
+    """
+    return rows.observe(stage, F.count(F.lit(1)).alias("rows"), *metrics)
+
+
+def console(rows: DataFrame, stage: str) -> DataStreamWriter:
+    """Print a stage of a stream while developing."""
+    return rows.writeStream.format("console").queryName(stage).option("truncate", "true")
+
+
 def kafka_sink_options(cfg: JobConfig, acks: str = "1") -> dict[str, str]:
     return {"kafka.bootstrap.servers": cfg.kafka_servers, "topic": cfg.sink_topic, "kafka.acks": acks}
 

@@ -74,3 +74,19 @@ def scraped_items(pages: DataFrame, host: str) -> DataFrame:
     from newsflow.operators.news import keep_scraped
 
     return keep_scraped(news_rows(pages)).withColumn("link", S.absolute_url(F.col("link"), host))
+
+
+def sentiment_items(pages: DataFrame, prefix: str, keywords: dict[str, str] | None = None,
+                    now: Column | None = None) -> DataFrame:
+    """SentimentData rows of HTML pages: titles with an asset tag, collection time in seconds."""
+    at = S.now_ms() if now is None else now
+    rows = news_rows(pages).select(
+        S.strip_blank(F.col("title")).alias("raw_text"),
+        S.strip_blank(S.or_default(F.col("source"), "Unknown")).alias("source"),
+    )
+    return rows.where(F.length("raw_text") > 0).select(
+        S.asset_tag(F.col("raw_text"), keywords or {}).alias("asset"),
+        "raw_text",
+        F.concat(F.lit(prefix), F.col("source")).alias("source"),
+        F.floor(at / 1000).alias("timestamp"),
+    )

@@ -108,30 +108,56 @@ def intake_batch(cfg: JobConfig, seen_root: str, order: list[str],
 
     def work(items: DataFrame, batch_id: int) -> None:
         seen = tables.read_appended(items.sparkSession, seen_root, SEEN, before=batch_id)
-        firsts = news.dedup_new(items, seen, order).persist()
+        firsts = keyed.first_per_key(items, ["id"], order).persist()
         try:
+            # the batch is the small side: its ids go to the seen table, which is then not shuffled
+            again = seen.join(firsts.select("id"), "id", "left_semi")
+            new = firsts.join(again, "id", "left_anti").persist()
             at = F.col("es") if now is None else now
-            tables.write_batch(topics.to_json_value(news.fresh_only(firsts, at)), cfg.signal_path, batch_id)
-            tables.write_batch(firsts.select("id"), seen_root, batch_id)
+            tables.write_batch(topics.to_json_value(news.fresh_only(new, at)), cfg.signal_path, batch_id)
+            tables.write_batch(new.select("id"), seen_root, batch_id)
+            new.unpersist()
         finally:
             firsts.unpersist()
 
     return work
 
 
+MARK = T.StructType([T.StructField("last_id", T.LongType())])
+
+
+def newer_posts_batch(cfg: JobConfig, mark_root: str) -> Callable[[DataFrame, int], None]:
+    """Work of one batch of REST posts: forward those above the stored mark, then raise the mark.
+
+    The mark lives in a table, so a restart does not send old posts again.
+    """
+
+    def work(posts: DataFrame, batch_id: int) -> None:
+        marks = tables.read_appended(posts.sparkSession, mark_root, MARK, before=batch_id)
+        mark = marks.agg(F.max("last_id")).scalar()
+        new = news.new_above(posts, mark)
+        tables.write_batch(topics.to_json_value(new), cfg.signal_path, batch_id)
+        tables.write_batch(posts.agg(F.max("id").alias("last_id")), mark_root, batch_id)
+
+    return work
+
+
 # ---- trading --------------------------------------------------------------------------------
 
 def trading_rows(items: DataFrame, klines: DataFrame, models: Models, cfg: JobConfig,
                  now: Column | None = None) -> DataFrame:
     """News with price features, ``sentiment`` and ``vector`` results (good or failed).
 
-    Features come before the models: news without an earlier bar is never sent to them.
+    Features come before the models: news without an earlier bar is never sent to them. ``items``
+    is read several times; a stream passes its batch persisted.
     """
     by = ["symbol"] if cfg.symbol is None and "symbol" in items.columns else []
     prices = klines if cfg.symbol is None or "symbol" not in klines.columns else klines.where(F.col("symbol") == cfg.symbol)
-    featured = asof.asof_join(
-        news.require_pubdate(news.clean(items)), prices, "pubDate", "timestamp", by, ["rsi_14", "atr_14", "price_at_t"]
-    )
+    usable = news.require_pubdate(news.clean(items))
+    low, high = usable.agg(F.min("pubDate"), F.max("pubDate")).first()
+    values = ["rsi_14", "atr_14", "price_at_t"]
+    near = asof.reachable_rows(prices.select(*by, "timestamp", *values), "timestamp", by, low or 0, high or 0)
+    featured = asof.asof_join(usable, near, "pubDate", "timestamp", by, values)
     scored = enrich.score_news(featured, models.scorer, capacity=cfg.score_capacity, timeout_s=cfg.score_timeout_s)
     flat = scored.withColumn("raw_content", F.when(F.col("sentiment.ok"), F.col("summary"))).withColumn(
         "sentiment_es", S.now_ms() if now is None else now
@@ -159,7 +185,7 @@ def trading_batch(cfg: JobConfig, models: Models, klines: Callable[[], DataFrame
 
     def work(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        items = streams.parse_json(messages, schemas.NEWS_ITEM)
+        items = streams.parse_json(messages, schemas.NEWS_ITEM).persist()
         rows = trading_rows(items, klines(), models, cfg, now).persist()
         try:
             good, no_score = enrich.split_failed(rows, "sentiment")
@@ -177,6 +203,7 @@ def trading_batch(cfg: JobConfig, models: Models, klines: Callable[[], DataFrame
                 tables.write_batch(refused, cfg.reject_path, batch_id)
         finally:
             rows.unpersist()
+            items.unpersist()
         stored = tables.read_batch(spark, cfg.memory_path, batch_id, schemas.MEMORY)
         signals = decide_batch(stored, current_memory(spark, cfg.memory_path, settle_root), cfg, now)
         tables.write_batch(topics.to_json_value(signals), cfg.signal_path, batch_id)

@@ -274,3 +274,30 @@ def test_intake_with_a_table_of_seen_ids(spark, tmp_path):
     work(first, 0)  # replay
     got = [json.loads(r["value"])["id"] for r in spark.read.parquet(f"{cfg.signal_path}/delta").collect()]
     assert sorted(got) == ["x", "y"]
+
+
+def test_posts_above_the_stored_mark(spark, tmp_path):
+    cfg, marks = config(tmp_path), str(tmp_path / "marks")
+
+    def posts(*ids):
+        return spark.createDataFrame([(i, "t", "d", "u", "p", "rest") for i in ids], schemas.NEWS_REST)
+
+    work = jobs.newer_posts_batch(cfg, marks)
+    work(posts(3, 2, 1), 0)
+    work(posts(5, 4, 3), 1)
+    work(posts(5, 4, 3), 1)  # replay
+    work(posts(), 2)
+    work(posts(6, 5), 3)
+    got = [json.loads(r["value"])["id"] for r in spark.read.parquet(f"{cfg.signal_path}/delta").collect()]
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+
+
+def test_taps_count_rows_on_the_way(spark, tmp_path, land):
+    from newsflow.sinks import topics
+
+    folder, write = land
+    write("1.txt", ["a", "b", "c"])
+    stream = topics.tapped(streams.read_text_stream(spark, folder), "raw")
+    query = (stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    query.awaitTermination(60)
+    assert any((p.observedMetrics.get("raw") or {"rows": 0})["rows"] == 3 for p in query.recentProgress)

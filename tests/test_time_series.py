@@ -132,6 +132,20 @@ def test_asof_keeps_repeated_left_rows(spark):
     assert asof.asof_join(left, right, "t", "rt", ["k"], ["v"]).count() == 1000
 
 
+def test_reachable_rows_do_not_change_the_answers(spark):
+    rng = random.Random(8)
+    right = [(k, t, float(t), None) for k in "ab" for t in sorted(rng.sample(range(1000), 40))] + [("c", 5, 5.0, None)]
+    left = [(rng.choice("abc"), rng.randrange(600, 700), i) for i in range(50)]
+    r, l = spark.createDataFrame(right, RIGHT), spark.createDataFrame(left, LEFT)
+    times = [t for _, t, _ in left]
+    near = asof.reachable_rows(r, "rt", ["k"], min(times), max(times))
+    assert near.count() < r.count()
+    got = {x["id"]: (x["v"], None) for x in asof.asof_join(l, near, "t", "rt", ["k"], ["v"], "left").collect()}
+    assert got == brute(left, right)
+    single = r.where("k = 'a'").drop("k")
+    assert asof.reachable_rows(single, "rt", [], -5, -1).count() == 0
+
+
 def test_to_epoch_ms_keeps_milliseconds(spark):
     got = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.123456' AS t").select(S.to_epoch_ms(F.col("t"))).first()[0]
     assert got == 1704067200123
