@@ -10,8 +10,10 @@ import hashlib
 import json
 import math
 import re
+import time
 import urllib.request
-from collections.abc import Callable, Iterator, Sequence
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor, TimeoutError as CallTimeout
 from functools import lru_cache
 
@@ -104,8 +106,11 @@ def spread(rows: DataFrame) -> DataFrame:
 
 # ---- the operator ---------------------------------------------------------------------------
 
-def _run_calls(texts: Sequence[str | None], call: Client, pool_size: int, timeout_s: float, retries: int):
-    """Results in input order. A call past its time is given up, together with its thread."""
+def _run_calls(texts: Iterable[str | None], call: Client, in_flight: int, timeout_s: float, retries: int):
+    """Results in input order, with at most ``in_flight`` calls running.
+
+    A call past its time is given up together with its thread; its place goes to a new one.
+    """
 
     def attempt(text: str):
         for left in range(retries, -1, -1):
@@ -115,25 +120,32 @@ def _run_calls(texts: Sequence[str | None], call: Client, pool_size: int, timeou
                 if left == 0:
                     raise
 
-    pool = ThreadPoolExecutor(pool_size)
+    pool = ThreadPoolExecutor(in_flight)
+    waiting: deque = deque()
+
+    def oldest():
+        nonlocal pool
+        future, deadline = waiting.popleft()
+        if future is None:
+            return False, "no input", None
+        try:
+            return True, None, future.result(timeout=max(0.0, deadline - time.monotonic()))
+        except CallTimeout:
+            # calls that still run in the old pool finish there
+            pool.shutdown(wait=False)
+            pool = ThreadPoolExecutor(in_flight)
+            return False, "timeout", None
+        except Exception as error:  # the row carries the error
+            return False, f"{type(error).__name__}: {error}", None
+
     try:
-        for start in range(0, len(texts), pool_size):
-            futures = [None if t is None else pool.submit(attempt, t) for t in texts[start:start + pool_size]]
-            hung = False
-            for future in futures:
-                if future is None:
-                    yield False, "no input", None
-                    continue
-                try:
-                    yield True, None, future.result(timeout=timeout_s)
-                except CallTimeout:
-                    hung = True
-                    yield False, "timeout", None
-                except Exception as error:  # the row carries the error
-                    yield False, f"{type(error).__name__}: {error}", None
-            if hung:
-                pool.shutdown(wait=False, cancel_futures=True)
-                pool = ThreadPoolExecutor(pool_size)
+        for text in texts:
+            if len(waiting) == in_flight:
+                yield oldest()
+            future = None if text is None else pool.submit(attempt, text)
+            waiting.append((future, time.monotonic() + timeout_s))
+        while waiting:
+            yield oldest()
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
 

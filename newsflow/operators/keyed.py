@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def _one_per_key(rows: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
-    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    by = F.struct(*order)  # never null, so a key whose order is unknown still keeps a row
     return (
         rows.groupBy(*keys)
         .agg(pick(F.struct(*[F.col(f"`{c}`") for c in rest]), by).alias("_row"))
@@ -22,12 +22,12 @@ def _one_per_key(rows: DataFrame, keys: list[str], order: list[str], pick) -> Da
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Last write wins. ``order`` must be unique and not null within a key."""
+    """Last write wins. ``order`` must be unique within a key."""
     return _one_per_key(rows, keys, order, F.max_by)
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First sighting wins. ``order`` must be unique and not null within a key."""
+    """First sighting wins. ``order`` must be unique within a key."""
     return _one_per_key(rows, keys, order, F.min_by)
 
 

@@ -118,7 +118,7 @@ def scraped_item_filter(spark, d):
 
 
 @query("scraped_sentiment_items", f"""SELECT CASE WHEN regexp_matches(lower(text), '(^|\\W)the(\\W|$)') THEN 'ENG' ELSE 'UNKNOWN' END AS asset,
-    '[' || text || ']' AS raw_text, 'site-' || CASE WHEN doc_id % 7 <> 0 THEN source ELSE 'Unknown' END AS source, {NOW // 1000} AS timestamp
+    '[' || text || ']' AS raw_text, 'site-' || CASE WHEN doc_id % 7 <> 0 THEN source ELSE 'Unknown' END AS source, CAST({NOW // 1000} AS BIGINT) AS timestamp
     FROM documents WHERE doc_id % 19 <> 0 AND doc_id % 17 <> 0""")
 def scraped_sentiment_items(spark, d):
     pages = I.news_row_pages(spark, d)

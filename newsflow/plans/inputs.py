@@ -272,12 +272,11 @@ def chain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transaction_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known transaction bodies: views without a body, contract creations, absent inputs."""
+    """Transaction bodies: other hashes than announced (view), contract creations, absent inputs."""
     return (
         chain_events(spark, sf_dir)
-        .where("event_type <> 'view'")
         .selectExpr(
-            "hash",
+            "CASE WHEN event_type = 'view' THEN concat('0x', md5(hash)) ELSE hash END AS hash",
             "CASE WHEN event_id % 7 = 0 THEN NULL ELSE address END AS `to`",
             "CAST(1000000000 + event_id AS STRING) AS gasPrice",
             "CAST(event_id % 5 AS STRING) AS maxPriorityFeePerGas",
