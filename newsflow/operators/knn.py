@@ -39,27 +39,30 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return m / np.where(norms > 0, norms, 1.0)
 
 
-def _best(queries: pd.DataFrame, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -> pd.DataFrame:
-    """The best ``k`` memory rows of each query within one pair of blocks."""
+def _by_part(queries: pd.DataFrame) -> dict:
+    """Queries of each partition value with their unit vectors."""
+    return {part: (rows, _unit_rows(rows["q_vec"])) for part, rows in queries.groupby("q_part", sort=False)}
+
+
+def _best(asked: dict, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -> pd.DataFrame | None:
+    """The best ``k`` memory rows of each query within one pair of blocks, None when there are none."""
     keep = [c for c in memory.columns if c not in ("m_vec", "m_part") and not c.startswith("mb_")]
-    asked = dict(list(queries.groupby("q_part", sort=False)))
     out = []
     for part, rows in memory.groupby("m_part", sort=False):
         if part not in asked:
             continue
         rows = rows.sort_values("m_id", kind="stable", ignore_index=True)
         right = _unit_rows(rows["m_vec"])
-        for start in range(0, len(asked[part]), _MATRIX_ROWS):
-            q = asked[part].iloc[start:start + _MATRIX_ROWS]
-            sim = _unit_rows(q["q_vec"]) @ right.T
+        queries, units = asked[part]
+        for start in range(0, len(queries), _MATRIX_ROWS):
+            q = queries.iloc[start:start + _MATRIX_ROWS]
+            sim = units[start:start + _MATRIX_ROWS] @ right.T
             at, hit = _top_cells(sim, _allowed(q, rows, bounds, sim.shape), k)
             found = rows.loc[hit, keep].reset_index(drop=True)
             found.insert(0, "q_id", q["q_id"].to_numpy()[at])
             found["sim"] = sim[at, hit]
             out.append(found)
-    if not out:
-        return memory.iloc[:0][keep].assign(q_id=queries["q_id"].iloc[:0], sim=np.empty(0))
-    return pd.concat(out, ignore_index=True)
+    return pd.concat(out, ignore_index=True) if out else None
 
 
 def _allowed(q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], shape) -> np.ndarray:
@@ -71,36 +74,52 @@ def _allowed(q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], shape) -
 
 def _top_cells(sim: np.ndarray, ok: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the ``k`` best allowed cells of each row; ties go to the left."""
-    score = np.where(ok, np.round(sim, _RANK_DIGITS), -np.inf)
-    if score.shape[1] > k:
-        least = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k, None]
-        above = ok & (score > least)
-        tied = ok & (score == least)
+    score = np.where(ok, sim, -np.inf)
+    width = score.shape[1]
+    if width <= k:
+        return np.nonzero(ok)
+    least = np.partition(score, width - k, axis=1)[:, width - k, None]
+    # a little below the k-th value, so that all cells equal to it after rounding are in
+    rows, cols = np.nonzero(ok & (score >= least - 2 * 10.0 ** -_RANK_DIGITS))
+    if len(rows) > 8 * k * len(score):  # a large group of copies: settle the ties in place
+        score = np.round(score, _RANK_DIGITS)
+        least = np.partition(score, width - k, axis=1)[:, width - k, None]
+        above, tied = ok & (score > least), ok & (score == least)
         room = k - above.sum(axis=1, keepdims=True)
-        ok = above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room))
-    return np.nonzero(ok)
+        return np.nonzero(above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room)))
+    order = np.lexsort((cols, -np.round(score[rows, cols], _RANK_DIGITS), rows))
+    rows, cols = rows[order], cols[order]
+    first = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+    return rows[first], cols[first]
 
 
 def _score_blocks(q: pd.DataFrame, m: pd.DataFrame, *, k: int, bounds, columns) -> pd.DataFrame:
-    if q.empty or m.empty:
-        return pd.DataFrame(columns=columns)
-    return _best(q, m, k, bounds)[columns]
+    hits = None if q.empty or m.empty else _best(_by_part(q), m, k, bounds)
+    return pd.DataFrame(columns=columns) if hits is None else hits[columns]
 
 
 def _score_stream(batches: Iterator[pd.DataFrame], *, queries, k, bounds, columns) -> Iterator[pd.DataFrame]:
     """Running best ``k`` of a memory partition against broadcast queries."""
     q = queries.value
-    best = None
+    asked = _by_part(q)
+    parts: list[pd.DataFrame] = []
     for memory in batches:
-        if memory.empty or q.empty:
+        hits = None if memory.empty else _best(asked, memory, k, bounds)
+        if hits is None:
             continue
-        hits = _best(q, memory, k, bounds)[columns]
-        best = hits if best is None else pd.concat([best, hits], ignore_index=True)
-        best["_r"] = -best["sim"].round(_RANK_DIGITS)
-        best = best.sort_values(["q_id", "_r", "m_id"], kind="stable", ignore_index=True)
-        best = best[best.groupby("q_id", sort=False).cumcount() < k].drop(columns="_r")
-    if best is not None:
-        yield best
+        parts.append(hits[columns])
+        if sum(map(len, parts)) > 8 * k * len(q):
+            parts = [_merge(parts, k)]
+    if parts:
+        yield _merge(parts, k)
+
+
+def _merge(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The best ``k`` rows of each query over several results."""
+    hits = pd.concat(parts, ignore_index=True)
+    rank = -hits["sim"].round(_RANK_DIGITS)
+    hits = hits.assign(_r=rank).sort_values(["q_id", "_r", "m_id"], kind="stable", ignore_index=True)
+    return hits[hits.groupby("q_id", sort=False).cumcount() < k].drop(columns="_r")
 
 
 def _part_sizes(rows: DataFrame, part: str) -> dict[int, int]:

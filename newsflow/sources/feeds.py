@@ -13,6 +13,7 @@ _RSS = (
 _POST = "struct<id:bigint,title:string,domain:string,url:string,published_at:string>"
 _REST = f"struct<results:array<{_POST}>>"
 
+# Elements and classes that hold the fields of the two page kinds.
 TWEET_ROW = ("div", "timeline-item")
 TWEET_PICKS = (markup.Pick("text", (("div", "tweet-content"),)),)
 NEWS_ROW = (None, "news-row")

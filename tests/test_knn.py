@@ -145,7 +145,9 @@ def test_history_is_limited_to_the_past(spark):
     assert found(decide.similar_history(query, memory, point_in_time=False)) == {"q": ["new", "old", "edge"]}
 
 
-def test_pandas_helper_keeps_ties_in_id_order():
-    memory = pd.DataFrame({"m_id": [3, 1, 2], "m_vec": [[1.0, 0.0]] * 3, "m_part": [0] * 3})
-    queries = pd.DataFrame({"q_id": [9], "q_vec": [[1.0, 0.0]], "q_part": [0]})
-    assert knn._best(queries, memory, 2, ()).m_id.tolist() == [1, 2]
+def test_ties_keep_id_order_with_few_and_many_copies():
+    for copies in (3, 500):
+        memory = pd.DataFrame({"m_id": range(copies, 0, -1), "m_vec": [[1.0, 0.0]] * copies, "m_part": [0] * copies})
+        queries = pd.DataFrame({"q_id": [9, 8], "q_vec": [[1.0, 0.0], [0.5, 0.5]], "q_part": [0, 0]})
+        best = knn._best(knn._by_part(queries), memory, 2, ())
+        assert best.groupby("q_id").m_id.apply(list).to_dict() == {8: [1, 2], 9: [1, 2]}
