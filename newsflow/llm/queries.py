@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.llm import packing
+from newsflow.llm import lexicon, packing, sharding, token_counts
 from newsflow.llm.common import documents
+from newsflow.session import written
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -16,9 +17,26 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.lengths(documents(spark, sf_dir), BYTE_TOKENIZER)
+    return token_counts.suffix_sums(written(token_counts.histogram(counted), "lengths"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(documents(spark, sf_dir), sharding.fill())
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    encoded = lexicon.encode(docs, BYTE_TOKENIZER, lexicon.build(docs, BYTE_TOKENIZER))
+    return lexicon.digests(lexicon.decode(encoded, BYTE_TOKENIZER))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir), WORD_TOKENIZER))
 
 
-QUERIES: dict[str, Query] = {"op8_packing": op8_packing}
+QUERIES: dict[str, Query] = {
+    "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+}
 ORACLES: dict[str, str] = {}
