@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsflow.llm import lexicon, packing, sharding, token_counts
+from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, sharding, token_counts
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -17,6 +18,10 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.verdicts(exact_dedup.build(documents(spark, sf_dir)))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.lengths(documents(spark, sf_dir), BYTE_TOKENIZER)
     return token_counts.suffix_sums(written(token_counts.histogram(counted), "lengths"))
@@ -36,7 +41,33 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir), WORD_TOKENIZER))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
-    "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+    "op1_exact_dedup": op1_exact_dedup, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+    "op9_line_dedup": op9_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents),
+g AS (SELECT h, arg_min(doc_id, (-n, doc_id)) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)
+"""
+
+OP9_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+s AS (SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM l),
+k AS (SELECT *, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM s),
+common AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM k LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL}
