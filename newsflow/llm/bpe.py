@@ -118,7 +118,7 @@ class Codec:
     ``kept`` bounds the distinct pieces that a task remembers; it forgets them all beyond that.
     """
 
-    def __init__(self, spec: str, kept: int = 800_000) -> None:
+    def __init__(self, spec: str, kept: int = 250_000) -> None:
         self.spec, self.kept = spec, kept
         self.by_words = bool(json.loads(spec)["model"]["end_of_word_suffix"])
         # many pieces are cut in one call: a zero byte, which no plain piece has, ends each like the end of a text
@@ -176,7 +176,7 @@ class Codec:
         out = []
         for start in range(0, len(texts), 256):  # few texts at a time hold few pieces at once
             split = [self.pieces(t) if t else [] for t in texts[start : start + 256]]
-            if len(self.known) > self.kept:
+            if len(self.known) + len(self.word_ids) > self.kept:
                 self.known, self.word_ids = {}, {"\x00": _END}
             if new := set().union(*split).difference(self.known):
                 self.learn(list(new))

@@ -126,7 +126,7 @@ class Transducer:
 class LexiconCodec(Codec):
     """Words by the transducer where it holds them, by exact merging else."""
 
-    def __init__(self, spec: str, transducer: Transducer, kept: int = 800_000) -> None:
+    def __init__(self, spec: str, transducer: Transducer, kept: int = 250_000) -> None:
         super().__init__(spec, kept)
         self.transducer = transducer
 
@@ -142,7 +142,7 @@ class LexiconCodec(Codec):
         return out
 
 
-def count_words(docs: DataFrame, tokenizer: str, held: int = 500_000) -> DataFrame:
+def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFrame:
     """``word, n`` over whole texts. Each task adds up its pieces before the shuffle, ``held`` at a time."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
 

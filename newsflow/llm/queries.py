@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, sharding, token_counts
+from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -22,6 +22,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(exact_dedup.build(documents(spark, sf_dir)))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).withColumn("held_out", F.coalesce(toxicity.held_out(), F.lit(False)))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.lengths(documents(spark, sf_dir), BYTE_TOKENIZER)
     return token_counts.suffix_sums(written(token_counts.histogram(counted), "lengths"))
@@ -47,7 +53,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op1_exact_dedup": op1_exact_dedup, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+    "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
 }
 
