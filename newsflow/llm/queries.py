@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, sharding, token_counts, toxicity
+from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -52,9 +52,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
-    "op9_line_dedup": op9_line_dedup,
+    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality,
 }
 
 OP1_SQL = r"""
@@ -76,4 +80,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL}
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, string_split(t, chr(10)) AS ls FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
+g3 AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram FROM g),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g3) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS x(o) GROUP BY doc_id),
+l AS (SELECT doc_id, source, md5(t) AS h, unnest(ls) AS line FROM w),
+k AS (
+  SELECT doc_id, source, h, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT t) AS n_docs FROM d GROUP BY source),
+held AS (SELECT source, key, count(DISTINCT h) AS n FROM k GROUP BY source, key),
+common AS (SELECT source, key FROM held JOIN hosts USING (source) WHERE n > 50 AND n > 0.2 * n_docs),
+lost AS (SELECT doc_id, sum(words) AS gone FROM k SEMI JOIN common USING (source, key) GROUP BY doc_id),
+f AS (
+  SELECT doc_id, len(ws) AS n_words, list_sum(list_transform(ws, lambda x: length(x))) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, n_dup_lines, n_repeat_words, gone
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
+c AS (
+  SELECT doc_id, n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0)::BIGINT AS n_boilerplate_words FROM f)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+  AND NOT (n_words - n_boilerplate_words < 50 AND n_words - n_boilerplate_words < 0.5 * n_words) AS kept
+FROM c
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL, "op10_quality": OP10_SQL}
