@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, quality, sharding, token_counts, toxicity
+from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, pii, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -37,6 +37,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), sharding.fill())
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.digests(pii.find(docs, pii.train(docs)))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     encoded = lexicon.encode(docs, BYTE_TOKENIZER, lexicon.build(docs, BYTE_TOKENIZER))
@@ -57,7 +62,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+    "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op5_pii": op5_pii,
+    "op6_bpe": op6_bpe, "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality,
 }
 
