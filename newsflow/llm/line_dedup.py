@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.llm.common import SPACES, parts_for, texts
 from newsflow.llm.cuckoo import NO_DOC, LiveIndex, document
@@ -55,33 +56,42 @@ def build(docs: DataFrame, min_chars: int = MIN_CHARS, each: int = EACH) -> Live
 
 
 def dropped_keys(index: LiveIndex, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``_doc, _dropped``: the keys that each document loses."""
+    """``_llm_doc, _llm_dropped``: the keys that each document loses."""
     common = index.entries.where(F.col("n") >= min_docs).select("key", document("second").alias("_keeper"))
     lost = index.members.join(common, "key").where(F.expr("NOT doc_id <=> _keeper"))
-    return lost.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("key").alias("_dropped"))
+    return lost.groupBy(F.col("doc_id").alias("_llm_doc")).agg(F.collect_list("key").alias("_llm_dropped"))
 
 
 def apply(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped`` with the lost lines cut out."""
+    """``docs`` with the lost lines cut out of ``text``, and ``_llm_lines``, ``_llm_lost``: how many lines
+    there were and went."""
+    at = docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_llm_lines", T.LongType()), T.StructField("_llm_lost", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, before, lost = [], [], []
-            for text, keys in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                lines = text.split("\n")
+            for text, keys in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                lines = (text or "").split("\n")
                 gone = set(keys or ())
                 stay = [x for x in lines if line_key(x) not in gone] if gone else lines
-                kept.append("\n".join(stay))
+                kept.append("\n".join(stay) if gone else text)
                 before.append(len(lines))
                 lost.append(len(lines) - len(stay))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(lost, pa.int64())],
-                names=["doc_id", "text", "n_lines", "n_dropped"],
-            )
+            columns = [*batch.columns[:-1], pa.array(before, pa.int64()), pa.array(lost, pa.int64())]
+            columns[at] = pa.array(kept, batch.column(at).type)
+            yield pa.record_batch(columns, names=[f.name for f in schema])
 
-    rows = texts(docs).join(dropped, F.expr("doc_id <=> _doc"), "left").select("doc_id", "text", "_dropped")
-    return rows.mapInArrow(run, "doc_id long, text string, n_lines long, n_dropped long")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_doc"))
+    return docs.join(dropped, same, "left").drop("_llm_doc").mapInArrow(run, schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    return apply(docs, dropped_keys(build(docs, min_chars), min_docs))
+    """``doc_id, text, n_lines, n_dropped``."""
+    cut = apply(docs.select("doc_id", "text"), dropped_keys(build(docs, min_chars), min_docs))
+    return cut.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("_llm_lines").alias("n_lines"), F.col("_llm_lost").alias("n_dropped"))
+
+
+def without_repeats(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with the lost lines cut out of ``text``, all other columns as they are."""
+    return apply(docs, dropped_keys(build(docs, min_chars), min_docs)).drop("_llm_lines", "_llm_lost")

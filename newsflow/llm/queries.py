@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, packing, pii, quality, sharding, token_counts, toxicity
+from newsflow.llm import exact_dedup, lexicon, line_dedup, near_dup, packing, pii, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -48,6 +48,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.digests(lexicon.decode(encoded, BYTE_TOKENIZER))
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir), WORD_TOKENIZER))
 
@@ -63,7 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op5_pii": op5_pii,
-    "op6_bpe": op6_bpe, "op8_packing": op8_packing,
+    "op6_bpe": op6_bpe, "op7_near_dup": op7_near_dup, "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality,
 }
 
