@@ -6,7 +6,7 @@ sets share at least 75 of 100 of what they hold together. Such a pair shares one
 ``T = ceil(0.75 n)`` is the least overlap. The order puts shingles that many documents hold last; their
 counts come from all documents, and at most ``frequent`` of them are told apart.
 
-1. Each task hashes its texts and keeps those first shingles; equal sets become one node.
+1. Each task hashes its texts; equal sets are one node, with those first shingles.
 2. The nodes of an inverted list are sorted by size, and each is tied to the smallest that can still be
    its partner. No pairs are made: a list of m nodes makes less than m ties. The ties' components
    are clusters; every link lies within one.
@@ -20,8 +20,8 @@ Hashes have 64 bits; so have the digests of whole sets that stand for nodes.
 
 Defined results: a null or empty text has no shingles and is linked with nothing; with fewer words
 than five the whole sequence is one shingle; a null ``doc_id`` is smaller than any other; rows that
-repeat a ``doc_id`` are one document, which links whatever any of them links; an empty table gives no
-rows.
+repeat a ``doc_id`` are classed each by their own text, and ``keep_one`` keeps all of them if it keeps
+one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -133,35 +133,46 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray
     return shingle[order], n[order]
 
 
-def measured(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``doc_id, n, node, first``: set size, digest, and the shingles of which a partner shares one."""
+def measured(docs: DataFrame) -> DataFrame:
+    """``doc_id, n, node``: the size and the digest of every row's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(1).to_pylist())
+            columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) if len(s) else None for s in sets], pa.int64())]
+            yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n", "node"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, n long, node long")
+
+
+def first_shingles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``node, n, first``: the shingles of each set of which every partner shares one.
+
+    Hashed anew rather than read: these hashes do not compress, and hashing costs less than keeping them.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, weight = shared.value
         for batch in batches:
-            sizes, nodes, first = [], [], []
-            for s in shingle_sets(batch.column(1).to_pylist()):
-                keep = len(s) + (-PERCENT * len(s)) // 100 + 1 if len(s) else 0
+            sets = {digest(s): s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)}
+            first = []
+            for s in sets.values():
                 rank = np.zeros(len(s), np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     rank = np.where(common[at] == s, weight[at], 0)
-                sizes.append(len(s))
-                nodes.append(digest(s) if len(s) else None)
-                first.append(s[np.argsort(rank, kind="stable")[:keep]].astype(np.int64))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "first"],
-            )
+                first.append(s[np.argsort(rank, kind="stable")[: len(s) + (-PERCENT * len(s)) // 100 + 1]].astype(np.int64))
+            columns = [pa.array(list(sets), pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["node", "n", "first"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, node long, first array<long>")
+    return texts(docs).select("text").mapInArrow(run, "node long, n long, first array<long>")
 
 
-def ties(rows: DataFrame) -> DataFrame:
+def ties(firsts: DataFrame) -> DataFrame:
     """``a, b``: each node of a list and the smallest set from which sizes grow to its own without a
     gap that no link can cross."""
-    lists = rows.select("node", "n", F.explode("first").alias("shingle"))
+    lists = firsts.select("node", "n", F.explode("first").alias("shingle"))
     order = Window.partitionBy("shingle").orderBy("n", "node")
     lists = lists.withColumn("_before", F.lag("n").over(order))
     head = F.when(F.expr(f"_before IS NULL OR 100 * _before < {PERCENT} * n"), F.struct("n", "node"))
@@ -242,29 +253,27 @@ def _connect(table: pa.Table) -> pa.Table:
 
 
 def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, cluster, shingles`` of the documents that stand for the nodes of ``members``."""
+    """``node, cluster, size, shingles`` of the documents that stand for the nodes of ``members``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, sets = batch.column(1).to_pylist(), shingle_sets(batch.column(0).to_pylist())
             same = [i for i, s in enumerate(sets) if len(s) and digest(s) == node[i]]  # a repeated doc_id may have other texts
-            yield pa.record_batch(
-                [batch.column(1).take(pa.array(same, pa.int64())), batch.column(2).take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
-                names=["node", "cluster", "shingles"],
-            )
+            rest = [batch.column(i).take(pa.array(same, pa.int64())) for i in (1, 2, 3)]
+            yield pa.record_batch([*rest, pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["node", "cluster", "size", "shingles"])
 
-    rows = texts(docs).join(members, F.expr("doc_id <=> _doc")).select("text", "node", "cluster")
-    return rows.mapInArrow(run, "node long, cluster long, shingles binary")
+    rows = texts(docs).join(members, F.expr("doc_id <=> _doc")).select("text", "node", "cluster", "size")
+    return rows.mapInArrow(run, "node long, cluster long, size long, shingles binary")
 
 
-def links(docs: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], block: int = BLOCK) -> DataFrame:
     """``a, b``: links that connect the nodes of each class."""
     nodes = rows.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_DOC))).alias("doc"))
-    tied = components(ties(rows))
+    tied = components(ties(first_shingles(docs, frequent)))
     clusters = written(tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "cluster"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    members = clusters.join(nodes, "node").select("node", "cluster", F.when(F.col("doc") != NO_DOC, F.col("doc")).alias("_doc"))
-    sets = member_sets(docs, members).join(sizes, "cluster")
+    members = clusters.join(sizes, "cluster").join(nodes, "node")
+    sets = member_sets(docs, members.select("node", "cluster", "size", F.when(F.col("doc") != NO_DOC, F.col("doc")).alias("_doc")))
     # a cluster of b blocks meets in b * (b + 1) / 2 tasks, each of two blocks at most
     blocks = F.ceil(F.col("size") / block)
     sets = sets.withColumn("_own", F.pmod(F.hash("node"), blocks)).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -274,8 +283,8 @@ def links(docs: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def classes(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs``."""
-    rows = written(measured(docs, frequent_shingles(docs, frequent)), "shingled")
-    joined = components(links(docs, rows.select("doc_id", "n", "node", "first")))
+    rows = written(measured(docs), "shingled")
+    joined = components(links(docs, rows, frequent_shingles(docs, frequent)))
     nodes = rows.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_DOC))).alias("doc"))
     nodes = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("doc").alias("component"))
