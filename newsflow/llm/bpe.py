@@ -118,16 +118,20 @@ class Codec:
     ``kept`` bounds the distinct pieces that a task remembers; it forgets them all beyond that.
     """
 
-    def __init__(self, spec: str, kept: int = 250_000) -> None:
+    def __init__(self, spec: str, kept: int = 350_000) -> None:
         self.spec, self.kept = spec, kept
         self.by_words = bool(json.loads(spec)["model"]["end_of_word_suffix"])
         # many pieces are cut in one call: a zero byte, which no plain piece has, ends each like the end of a text
         ended = (WORD_PATTERN if self.by_words else BYTE_PATTERN).replace(r"\p{N}]+", r"\p{N}\x00]+").replace(r"(?!\S)", r"(?![^\s\x00])")
         self.pattern = regex.compile(r"\x00|" + ended)
         self.merges = Merges(spec)
+        self.forget()
+        self._library = None
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {"\x00": _END}
-        self._library = None
 
     @property
     def library(self):
@@ -139,16 +143,17 @@ class Codec:
             self._library.no_padding()
         return self._library
 
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of ``text`` that encode apart from each other."""
+    def pieces(self, text: str) -> tuple[list[str], list[str]]:
+        """Pieces of ``text`` that encode apart from each other: as they are, then such without the space
+        before them."""
         if _SEPARATORS.search(text):
-            return [text]
+            return [text], []
         if self.by_words:
-            return text.split()
+            return text.split(), []
         if text[:1] in " " or text[-1:] in " " or "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
-            return _RUNS.findall(text)
+            return _RUNS.findall(text), []
         first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+        return [first], rest
 
     @staticmethod
     def plain(piece: str) -> bool:
@@ -157,30 +162,34 @@ class Codec:
     def encode_words(self, words: list[str]) -> list[bytes]:
         return self.merges.encode([w.encode() for w in words])
 
-    def learn(self, new: list[str]) -> None:
-        plain = [p for p in new if self.plain(p)]
+    def learn(self, new: list[str]) -> list[bytes]:
+        """The ids of each of some distinct pieces."""
+        every = self.plain("".join(new))
+        plain = new if every else [p for p in new if self.plain(p)]
+        ids: list[bytes] = []
         if plain:
             joined = "\x00".join(plain)
             words = self.pattern.findall(joined.lower() if self.by_words else joined)
             fresh = list(set(words).difference(self.word_ids))
             self.word_ids.update(zip(fresh, self.encode_words(fresh), strict=True))
-            ids = b"".join(map(self.word_ids.__getitem__, words))
-            self.known.update(zip(plain, ids.split(_END), strict=True))
-        if len(plain) < len(new):
-            for p in set(new).difference(plain):
-                found = self.library.encode(p, add_special_tokens=False).ids
-                self.known[p] = np.array(found, "<u4").tobytes()
+            ids = b"".join(map(self.word_ids.__getitem__, words)).split(_END)
+        if every:
+            return ids
+        found = dict(zip(plain, ids, strict=True))
+        return [found[p] if p in found else np.array(self.library.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out = []
         for start in range(0, len(texts), 256):  # few texts at a time hold few pieces at once
-            split = [self.pieces(t) if t else [] for t in texts[start : start + 256]]
-            if len(self.known) + len(self.word_ids) > self.kept:
-                self.known, self.word_ids = {}, {"\x00": _END}
-            if new := set().union(*split).difference(self.known):
-                self.learn(list(new))
-            out += [b"".join(map(self.known.__getitem__, p)) for p in split]
+            split = [self.pieces(t) if t else ([], []) for t in texts[start : start + 256]]
+            if len(self.known) + len(self.spaced) + len(self.word_ids) > self.kept:
+                self.forget()
+            for space, known, parts in (("", self.known, [p for p, _ in split]), (" ", self.spaced, [p for _, p in split])):
+                if new := list(set().union(*parts).difference(known)):
+                    known.update(zip(new, self.learn([space + p for p in new] if space else new), strict=True))
+            known, spaced = self.known.__getitem__, self.spaced.__getitem__
+            out += [b"".join([*map(known, a), *map(spaced, b)]) for a, b in split]
         return out
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.session import written
+
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"  # what the contracts call white space
 
 
@@ -33,3 +35,16 @@ def whole_text() -> Column:
 def parts_for(spark: SparkSession, rows: int, each: int) -> int:
     """Partitions of at most about ``each`` rows, and no fewer than the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
+
+
+def most_counted(counted: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest ``n``, ``most`` at most: all above a cut through the counts' histogram,
+    so no task sorts the rows."""
+    counted = written(counted, "counted")
+    left, cut = most, None
+    for row in counted.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        left -= row["count"]
+        if left < 0:
+            break
+        cut = row.n
+    return counted.where(F.lit(False) if cut is None else F.col("n") >= cut)

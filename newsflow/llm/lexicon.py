@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.bpe import Codec, byte_chars, read_spec
-from newsflow.llm.common import texts
+from newsflow.llm.common import most_counted, texts
 
 SIZE = 1 << 16  # words in the automaton
 
@@ -126,7 +126,7 @@ class Transducer:
 class LexiconCodec(Codec):
     """Words by the transducer where it holds them, by exact merging else."""
 
-    def __init__(self, spec: str, transducer: Transducer, kept: int = 250_000) -> None:
+    def __init__(self, spec: str, transducer: Transducer, kept: int = 350_000) -> None:
         super().__init__(spec, kept)
         self.transducer = transducer
 
@@ -142,16 +142,16 @@ class LexiconCodec(Codec):
         return out
 
 
-def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFrame:
+def count_words(docs: DataFrame, tokenizer: str, held: int = 200_000) -> DataFrame:
     """``word, n`` over whole texts. Each task adds up its pieces before the shuffle, ``held`` at a time."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(spec.value)
         pieces: Counter[str] = Counter()
+        words: Counter[str] = Counter()
 
-        def flush() -> pa.RecordBatch:
-            words: Counter[str] = Counter()
+        def split() -> None:
             plain = [p for p in pieces if codec.plain(p)]
             at = 0
             for w in codec.pattern.findall("\x00".join(plain)):
@@ -160,13 +160,30 @@ def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFra
                 else:
                     words[w] += pieces[plain[at]]
             pieces.clear()
-            return pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+
+        def flush() -> pa.RecordBatch:
+            split()
+            out = pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+            words.clear()
+            return out
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                pieces.update(codec.pieces(text))
-            if len(pieces) > held:
-                yield flush()
+            found = batch.column(0).to_pylist()
+            for at in range(0, len(found), 256):  # small counters first: most pieces come again soon
+                whole: Counter[str] = Counter()
+                spaced: Counter[str] = Counter()
+                for text in found[at : at + 256]:
+                    first, rest = codec.pieces(text)
+                    whole.update(first)
+                    spaced.update(rest)
+                for part, n in whole.items():
+                    pieces[part] += n
+                for part, n in spaced.items():
+                    pieces[" " + part] += n
+                if len(pieces) > held:
+                    split()
+                if len(words) > held:
+                    yield flush()
         yield flush()
 
     counted = texts(docs).select("text").mapInArrow(run, "word string, n long")
@@ -175,7 +192,7 @@ def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFra
 
 def build(docs: DataFrame, tokenizer: str, size: int = SIZE) -> str:
     """Compiles the ``size`` most frequent words; gives the name of the file that executors fetch."""
-    top = count_words(docs, tokenizer).where("word <> ''").orderBy(F.desc("n"), "word").limit(size)
+    top = most_counted(count_words(docs, tokenizer).where("word <> ''"), size)
     words = sorted(row.word.encode() for row in top.select("word").toLocalIterator())
     ids = Codec(read_spec(tokenizer)).merges.encode(words)
     name = f"lexicon-{uuid.uuid4().hex}"

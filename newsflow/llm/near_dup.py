@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import SPACES, texts
+from newsflow.llm.common import SPACES, most_counted, texts
 from newsflow.llm.components import components
 from newsflow.session import written
 
@@ -118,16 +118,7 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray
             yield pa.record_batch([pa.array(found[several].astype(np.int64)), pa.array(counts[several].astype(np.int64))], names=["shingle", "n"])
 
     counted = texts(docs).select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counted = written(counted, "shingles")
-    left, cut = most, None
-    for row in counted.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
-        left -= row["count"]
-        if left < 0:
-            break
-        cut = row.n
-    if cut is None:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    top = counted.where(F.col("n") >= cut).toArrow()
+    top = most_counted(counted, most).toArrow()
     shingle, n = top["shingle"].to_numpy().astype(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingle)
     return shingle[order], n[order]
