@@ -1,13 +1,15 @@
 """Documents whose sets of word shingles are alike: a T-occurrence search with DivideSkip.
 
 A document's set holds the hashes of its distinct five-word shingles. Two documents link when their
-sets share at least 75 of 100 of what they hold together. Such a pair shares one of the first
-``n - T + 1`` shingles of either, in any order that is the same for all documents, where
-``T = ceil(0.75 n)`` is the least overlap. The order puts shingles that many documents hold last; their
-counts come from all documents, and at most ``frequent`` of them are told apart.
+sets share at least 75 of 100 of what they hold together, so ``T = ceil(0.75 n)`` at least. Of the
+``n - T + c`` first shingles of either, in any order that is the same for all documents, they share
+``c``; these are the short lists of the search, the others its long ones. The order puts shingles that
+many documents hold last; their counts come from all documents, and at most ``frequent`` of them are
+told apart.
 
 1. Each task hashes its texts; equal sets are one node, with those first shingles.
-2. The nodes of an inverted list are sorted by size, and each is tied to the smallest that can still be
+2. Sets that share less than ``c`` of their short lists with others are done. The nodes of an inverted
+   list are sorted by size, and each is tied to the smallest that can still be
    its partner. No pairs are made: a list of m nodes makes less than m ties. The ties' components
    are clusters; every link lies within one.
 3. A cluster's sets come together (large clusters in pairs of blocks). Each set asks the others: its
@@ -39,6 +41,7 @@ from newsflow.session import written
 
 WORDS = 5
 PERCENT = 75
+MARGIN = 20  # one of so many shingles must be shared beyond the first, within the short lists
 FREQUENT = 1 << 20  # shingles told apart by their counts; bounds what is broadcast
 BLOCK = 4096  # sets in one block of a large cluster
 SKIP_WEIGHT = 0.0085  # how much of the threshold goes to long lists, as published for DivideSkip
@@ -153,17 +156,34 @@ def first_shingles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) ->
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     rank = np.where(common[at] == s, weight[at], 0)
-                first.append(s[np.argsort(rank, kind="stable")[: len(s) + (-PERCENT * len(s)) // 100 + 1]].astype(np.int64))
+                first.append(s[np.argsort(rank, kind="stable")[: len(s) + (-PERCENT * len(s)) // 100 + 1 + len(s) // MARGIN]].astype(np.int64))
             columns = [pa.array(list(sets), pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array(first, pa.list_(pa.int64()))]
             yield pa.record_batch(columns, names=["node", "n", "first"])
 
     return texts(docs).select("text").mapInArrow(run, "node long, n long, first array<long>")
 
 
-def ties(firsts: DataFrame) -> DataFrame:
+def shared_lists(firsts: DataFrame, rounds: int = 2) -> DataFrame:
+    """``node, n, shingle``: the short lists, without sets that have no candidate.
+
+    A set counts its lists that hold another set of a size that could link. Where these are fewer than
+    it must share with its smallest possible partner, which has three quarters of its size, it has none
+    and leaves; what is left is counted again.
+    """
+    lists = firsts.select("node", "n", F.explode("first").alias("shingle"))
+    order = Window.partitionBy("shingle").orderBy("n", "node")
+    for _ in range(rounds):
+        near = lists.withColumn("_before", F.lag("n").over(order)).withColumn("_after", F.lead("n").over(order))
+        near = near.where(f"100 * _before >= {PERCENT} * n OR 100 * n >= {PERCENT} * _after").select("node", "n", "shingle")
+        lists = written(near, "lists")
+        enough = lists.groupBy("node", "n").agg(F.count("*").alias("_lists")).where(f"_lists >= 1 + {PERCENT} * n div {100 * MARGIN}")
+        lists = lists.join(enough.select("node"), "node").select("node", "n", "shingle")
+    return lists
+
+
+def ties(lists: DataFrame) -> DataFrame:
     """``a, b``: each node of a list and the smallest set from which sizes grow to its own without a
     gap that no link can cross."""
-    lists = firsts.select("node", "n", F.explode("first").alias("shingle"))
     order = Window.partitionBy("shingle").orderBy("n", "node")
     lists = lists.withColumn("_before", F.lag("n").over(order))
     head = F.when(F.expr(f"_before IS NULL OR 100 * _before < {PERCENT} * n"), F.struct("n", "node"))
@@ -260,7 +280,7 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 def links(docs: DataFrame, rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], block: int = BLOCK) -> DataFrame:
     """``a, b``: links that connect the nodes of each class."""
     nodes = rows.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_DOC))).alias("doc"))
-    tied = components(ties(first_shingles(docs, frequent)))
+    tied = components(ties(shared_lists(first_shingles(docs, frequent))))
     clusters = written(tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "cluster"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     members = clusters.join(sizes, "cluster").join(nodes, "node")
