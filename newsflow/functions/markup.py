@@ -49,13 +49,13 @@ def text_of(html: str | None) -> str:
 @F.pandas_udf(T.StringType())
 def _html_text_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for html in batches:
-        yield html.map(text_of)
+        yield html.map(text_of, na_action="ignore")
 
 
 def html_to_text(html: Column) -> Column:
-    """Text of an HTML column. Text without markup or entities stays in the JVM."""
+    """Text of an HTML column. Text without markup or entities stays in the JVM; Python gets null for it."""
     plain = ~html.rlike("[<&]")
-    return F.when(html.isNull(), "").when(plain, html).otherwise(_html_text_udf(html))
+    return F.when(html.isNull(), "").when(plain, html).otherwise(_html_text_udf(F.when(~plain, html)))
 
 
 @dataclass(frozen=True)

@@ -96,7 +96,7 @@ def analysis_decisions(scored: DataFrame, memory: DataFrame, *, q_id: str = "id"
         asked, memory.where("is_settled"), k, q_id=q_id, m_id=m_id, q_vec="vector", m_vec="vector", carry=[ret],
         bounds=[*bounds, *older], **options,
     )
-    stats = backtest_stats(hits, asked.select(q_id), q_id, sim_threshold, ret)
+    stats = backtest_stats(hits, asked.select(q_id).distinct(), q_id, sim_threshold, ret)
     decided = stats.select(
         q_id,
         S.buy_decision(F.col("max_similarity"), F.col("win_rate"), sim_threshold, win_threshold).alias("decision"),

@@ -12,9 +12,8 @@ import math
 import re
 import time
 import urllib.request
-from collections import deque
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor, TimeoutError as CallTimeout
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, TimeoutError as CallTimeout, wait
 from functools import lru_cache
 
 import pandas as pd
@@ -94,22 +93,19 @@ def http_client(url: str, model: str, reply_key: str, timeout_s: float, options:
     return make
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores when they lie in fewer files than there are cores.
-
-    Outside calls and markup parsing cost far more than moving a few rows; a table of many files
-    is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+def spread(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt out evenly, for outside calls and markup parsing that cost more than moving a few rows."""
+    return rows.repartition(partitions)
 
 
 # ---- the operator ---------------------------------------------------------------------------
 
-def _run_calls(texts: Iterable[str | None], call: Client, in_flight: int, timeout_s: float, retries: int):
-    """Results in input order, with at most ``in_flight`` calls running.
+def _run_calls(texts: Iterable[str | None], call: Client, in_flight: int, timeout_s: float, retries: int, ordered: bool = True):
+    """A result for each text, in input order, with never more than ``in_flight`` calls running.
 
-    A call past its time is given up together with its thread; its place goes to a new one.
+    A call past its time is given up, but keeps its place in the pool until it returns; calls that
+    find no place in their own time are not started. When ``ordered`` the oldest call holds up the
+    next start; else any call that ends lets the next one start.
     """
 
     def attempt(text: str):
@@ -121,38 +117,47 @@ def _run_calls(texts: Iterable[str | None], call: Client, in_flight: int, timeou
                     raise
 
     pool = ThreadPoolExecutor(in_flight)
-    waiting: deque = deque()
+    results: list = []
+    waiting: dict = {}
 
-    def oldest():
-        nonlocal pool
-        future, deadline = waiting.popleft()
-        if future is None:
-            return False, "no input", None
+    def finish(future, at: int, deadline: float) -> None:
         try:
-            return True, None, future.result(timeout=max(0.0, deadline - time.monotonic()))
+            results[at] = (True, None, future.result(timeout=max(0.0, deadline - time.monotonic())))
         except CallTimeout:
-            # calls that still run in the old pool finish there
-            pool.shutdown(wait=False)
-            pool = ThreadPoolExecutor(in_flight)
-            return False, "timeout", None
+            future.cancel()
+            results[at] = (False, "timeout", None)
         except Exception as error:  # the row carries the error
-            return False, f"{type(error).__name__}: {error}", None
+            results[at] = (False, f"{type(error).__name__}: {error}", None)
+
+    def make_room() -> None:
+        ready = next(iter(waiting))
+        if not ordered:
+            first = min(deadline for _, deadline in waiting.values())
+            done, _ = wait(waiting, timeout=max(0.0, first - time.monotonic()), return_when=FIRST_COMPLETED)
+            late = [f for f, (_, deadline) in waiting.items() if deadline <= time.monotonic()]
+            ready = next(iter(done), late[0] if late else ready)
+        finish(ready, *waiting.pop(ready))
 
     try:
         for text in texts:
-            if len(waiting) == in_flight:
-                yield oldest()
-            future = None if text is None else pool.submit(attempt, text)
-            waiting.append((future, time.monotonic() + timeout_s))
+            results.append((False, "no input", None))
+            if text is not None:
+                if len(waiting) == in_flight:
+                    make_room()
+                waiting[pool.submit(attempt, text)] = (len(results) - 1, time.monotonic() + timeout_s)
         while waiting:
-            yield oldest()
+            make_room()
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
+    return results
 
 
 def enrich(rows: DataFrame, text: str, out: str, client: ClientFactory, value_type: T.DataType, *,
-           capacity: int = 50, timeout_s: float = 10.0, retries: int = 1) -> DataFrame:
-    """Adds ``out``: a struct ``ok, error, value``. Only the text column travels to Python."""
+           capacity: int = 50, timeout_s: float = 10.0, retries: int = 1, tasks: int = 1, ordered: bool = True) -> DataFrame:
+    """Adds ``out``: a struct ``ok, error, value``. Only the text column travels to Python.
+
+    ``capacity`` calls may run at once in all; each of the ``tasks`` that run side by side gets its share.
+    """
     result = T.StructType(
         [
             T.StructField("ok", T.BooleanType()),
@@ -165,7 +170,7 @@ def enrich(rows: DataFrame, text: str, out: str, client: ClientFactory, value_ty
     def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         call = client()
         for texts in batches:
-            done = list(_run_calls(texts.tolist(), call, capacity, timeout_s, retries))
+            done = _run_calls(texts.tolist(), call, max(1, capacity // tasks), timeout_s, retries, ordered)
             yield pd.DataFrame(
                 {
                     "ok": [d[0] for d in done],

@@ -7,7 +7,7 @@ no group grows with the data: a hot partition value simply has more blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import partial
 
 import numpy as np
@@ -28,8 +28,6 @@ _COMPARE = {
 }
 _RANK_DIGITS = 10  # similarities equal to this many digits are ties, broken by the memory id
 _MATRIX_ROWS = 1024
-_MAX_PARTS = 4096
-_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -98,47 +96,10 @@ def _score_blocks(q: pd.DataFrame, m: pd.DataFrame, *, k: int, bounds, columns)
     return pd.DataFrame(columns=columns) if hits is None else hits[columns]
 
 
-def _score_stream(batches: Iterator[pd.DataFrame], *, queries, k, bounds, columns) -> Iterator[pd.DataFrame]:
-    """Running best ``k`` of a memory partition against broadcast queries."""
-    q = queries.value
-    asked = _by_part(q)
-    parts: list[pd.DataFrame] = []
-    for memory in batches:
-        hits = None if memory.empty else _best(asked, memory, k, bounds)
-        if hits is None:
-            continue
-        parts.append(hits[columns])
-        if sum(map(len, parts)) > 8 * k * len(q):
-            parts = [_merge(parts, k)]
-    if parts:
-        yield _merge(parts, k)
-
-
-def _merge(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    """The best ``k`` rows of each query over several results."""
-    hits = pd.concat(parts, ignore_index=True)
-    rank = -hits["sim"].round(_RANK_DIGITS)
-    hits = hits.assign(_r=rank).sort_values(["q_id", "_r", "m_id"], kind="stable", ignore_index=True)
-    return hits[hits.groupby("q_id", sort=False).cumcount() < k].drop(columns="_r")
-
-
-def _part_sizes(rows: DataFrame, part: str) -> dict[int, int]:
-    """Number of rows for each partition value.
-
-    The values are few by nature (scores 1..10, cells); more than ``_MAX_PARTS`` is an error.
-    """
-    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_PARTS + 1).collect()
-    if len(counts) > _MAX_PARTS:
-        raise ValueError(f"more than {_MAX_PARTS} values of the partition column")
-    return {r[0]: r["n"] for r in counts}
-
-
-def _blocks(sizes: dict[int, int], part: str, block_rows: int) -> Column:
-    """Number of blocks of a row's partition value; only values above one block need an entry."""
-    pairs = [F.lit(x).cast("bigint") for v, n in sizes.items() if n > block_rows for x in (v, -(-n // block_rows))]
-    if not pairs:
-        return F.lit(1).cast("bigint")
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(part)), F.lit(1).cast("bigint"))
+def _sizes(rows: DataFrame, part: str, blocks: str, block_rows: int) -> DataFrame:
+    """The number of blocks of each partition value, as a frame."""
+    n = F.ceil(F.count(F.lit(1)) / block_rows).alias(blocks)
+    return rows.groupBy(F.col(part).alias("_part")).agg(n)
 
 
 def _block_of(ident: str, blocks: Column) -> Column:
@@ -147,17 +108,13 @@ def _block_of(ident: str, blocks: Column) -> Column:
 
 def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str,
              m_vec: str, part: tuple[str, str] | None = None, bounds: Sequence[Bound] = (),
-             carry: Sequence[str] = (), strategy: str = "auto", broadcast_bytes: int = _BROADCAST_BYTES,
-             block_rows: int = 8192) -> DataFrame:
+             carry: Sequence[str] = (), block_rows: int = 8192) -> DataFrame:
     """The ``k`` most cosine-similar memory rows of each query: ``q_id, m_id, sim, rank`` + ``carry``.
 
     ``part`` names an equality between a query and a memory column; ``bounds`` are further
     comparisons. All of them hold before the ranking, so no valid neighbour is lost. Equal
-    similarities rank by memory id.
-
-    ``strategy``: ``broadcast`` ships the queries to the memory scan, which then needs no shuffle;
-    ``blocks`` shuffles both sides in blocks; ``auto`` takes the first only when the queries are
-    seen to fit in ``broadcast_bytes``.
+    similarities rank by memory id. Rows of one ``q_id`` (and partition value) are one query and are searched once; join
+    the neighbours back by ``q_id``. Nothing runs while the search is being built.
     """
     q_part, m_part = part if part else (None, None)
     q = queries.where(F.col(q_vec).isNotNull()).select(
@@ -183,28 +140,17 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
     )
     columns = out.fieldNames()
 
-    small = _small_enough(q, broadcast_bytes) if strategy in ("auto", "broadcast") else None
-    if small is not None:
-        shared = q.sparkSession.sparkContext.broadcast(small)
-        hits = _possible(m, small, bounds).mapInPandas(
-            partial(_score_stream, queries=shared, k=k, bounds=tuple(bounds), columns=columns), out
-        )
-        return top_k(hits, k)
-    if strategy == "broadcast":
-        raise ValueError("queries exceed broadcast_bytes")
-
-    q_sizes = _part_sizes(q, "q_part")
-    m = m.where(F.col("m_part").isin(list(q_sizes)))
-    m_sizes = _part_sizes(m, "m_part")
+    fields = [c for c in q.columns if c not in ("q_id", "q_part")]
+    q = q.groupBy("q_id", "q_part").agg(F.min(F.struct(*fields)).alias("_q")).select("q_id", "q_part", "_q.*")
+    blocks = _sizes(q, "q_part", "_q_blocks", block_rows).join(_sizes(m, "m_part", "_m_blocks", block_rows), "_part")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     left = (
-        q.withColumn("_p", F.col("q_part"))
-        .withColumn("_qb", _block_of("q_id", _blocks(q_sizes, "q_part", block_rows)))
-        .withColumn("_mb", F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(m_sizes, "q_part", block_rows) - 1)))
+        q.withColumn("_part", F.col("q_part")).join(blocks, "_part").withColumnRenamed("_part", "_p")
+        .withColumn("_qb", _block_of("q_id", F.col("_q_blocks"))).withColumn("_mb", every("_m_blocks")).drop("_q_blocks", "_m_blocks")
     )
     right = (
-        m.withColumn("_p", F.col("m_part"))
-        .withColumn("_mb", _block_of("m_id", _blocks(m_sizes, "m_part", block_rows)))
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(q_sizes, "m_part", block_rows) - 1)))
+        m.withColumn("_part", F.col("m_part")).join(blocks, "_part").withColumnRenamed("_part", "_p")
+        .withColumn("_mb", _block_of("m_id", F.col("_m_blocks"))).withColumn("_qb", every("_q_blocks")).drop("_q_blocks", "_m_blocks")
     )
     keys = ["_p", "_mb", "_qb"]
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
@@ -213,38 +159,12 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
     return top_k(hits, k)
 
 
-def _possible(m: DataFrame, queries: pd.DataFrame, bounds: Sequence[Bound]) -> DataFrame:
-    """Memory rows that at least one query can match, as filters that reach the scan."""
-    if queries.empty:
-        return m.limit(0)
-    parts = queries["q_part"].unique().tolist()
-    if len(parts) <= _MAX_PARTS:
-        m = m.where(F.col("m_part").isin(parts))
-    for i, (_, op, _) in enumerate(bounds):
-        values = queries[f"qb_{i}"]
-        if op in (">=", ">"):
-            m = m.where(F.col(f"mb_{i}") >= F.lit(values.min().item()))
-        elif op in ("<=", "<"):
-            m = m.where(F.col(f"mb_{i}") <= F.lit(values.max().item()))
-    return m
-
-
 def top_k(hits: DataFrame, k: int) -> DataFrame:
     """Rank the local winners. Spark cuts each group to ``k`` before the shuffle."""
     best = Window.partitionBy("q_id").orderBy(F.round("sim", _RANK_DIGITS).desc(), "m_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def _small_enough(q: DataFrame, max_bytes: int) -> pd.DataFrame | None:
-    """The queries as a frame when they fit in ``max_bytes``, else None."""
-    first = q.select(F.size("q_vec")).first()
-    if first is None:
-        return q.limit(0).toPandas()
-    max_rows = max(1, max_bytes // (8 * max(1, first[0])))
-    head = q.limit(max_rows + 1).toPandas()
-    return head if len(head) <= max_rows else None
-
-
 # ---- approximate search ---------------------------------------------------------------------
 
 def fit_cells(memory: DataFrame, vec: str, nlist: int = 128, seed: int = 42, max_iter: int = 20) -> list[list[float]]:

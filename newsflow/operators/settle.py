@@ -64,20 +64,24 @@ def settle_by_age(memory: DataFrame, now: Column, prices: DataFrame, *, price: s
                   price_ts: str = "timestamp", by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Settle due rows from a price table ``(price_ts, price_at_t)``.
 
-    ``now`` uses the one latest price for all rows, read as a scalar subquery; ``t_plus_24h`` uses
-    each row's own price a day later. Returns the settled rows and those refused (price of zero, or
-    no later price).
+    ``now`` uses the latest price (of each key of ``by``); ``t_plus_24h`` uses each row's own price a day
+    later, from a bar after the row itself. Returns the settled rows and those refused (price of zero,
+    or no later price).
     """
     due = due_unsettled(memory, now, ts)
     if price == "now":
-        latest = prices.agg(F.max_by("price_at_t", price_ts).alias("p"))
-        priced = due.withColumn("price_after_24h", latest.scalar())
+        latest = F.max_by("price_at_t", price_ts).alias("price_after_24h")
+        due = due.drop("price_after_24h")
+        if by:
+            priced = due.join(prices.groupBy(*by).agg(latest), by, "left")
+        else:
+            priced = due.withColumn("price_after_24h", prices.agg(latest).scalar())
     elif price == "t_plus_24h":
         later = due.withColumn("_later", F.col(ts) + DAY_MS)
-        right = prices.select(*(by or []), price_ts, F.col("price_at_t").alias("price_after_24h"))
-        priced = asof_join(
-            later.drop("price_after_24h"), right, "_later", price_ts, by or [], ["price_after_24h"], how="left"
-        ).drop("_later")
+        right = prices.select(*(by or []), price_ts, F.col("price_at_t").alias("_price"), F.col(price_ts).alias("_bar"))
+        priced = asof_join(later.drop("price_after_24h"), right, "_later", price_ts, by or [], ["_price", "_bar"], how="left")
+        after = F.when(F.col("_bar") > F.col(ts), F.col("_price"))
+        priced = priced.withColumn("price_after_24h", after).drop("_later", "_price", "_bar")
     else:
         raise ValueError("price is now or t_plus_24h")
     rate = S.return_rate(F.col("price_at_t"), F.col("price_after_24h"))

@@ -50,6 +50,10 @@ def _lit_ms(ms: int):
     return F.lit(ms).cast("bigint")
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _r(c, digits: int = 6):
     return F.round(c, digits)
 
@@ -183,7 +187,7 @@ def signals_to_json(spark, d):
 @query("employee_round_robin", f"WITH {O.EMPLOYEES} SELECT * FROM changes")
 def employee_round_robin(spark, d):
     rows = I.employee_changes(spark, d).withColumn("message_time", _ms("message_time"))
-    return topics.round_robin(rows.withColumnRenamed("message_time", "message_ms"), 8)
+    return topics.round_robin(rows.withColumnRenamed("message_time", "message_ms"), _partitions(spark))
 
 
 @query("employee_projection", f"WITH {O.EMPLOYEES} SELECT id, name, department, salary, message_ms FROM changes")
@@ -246,7 +250,7 @@ def _chain_logs(spark, d):
 @query("keyed_partitioning", f"""WITH {O.CHAIN} SELECT low_address AS key, blockNumber AS "blockNumber", logIndex AS "logIndex", hash AS "transactionHash" FROM logs""")
 def keyed_partitioning(spark, d):
     rows = _chain_logs(spark, d).withColumn("key", S.normal_hex(F.col("address")))
-    ordered = topics.keyed_order(rows, "key", ["blockNumber", "logIndex"], 8)
+    ordered = topics.keyed_order(rows, "key", ["blockNumber", "logIndex"], _partitions(spark))
     return ordered.select("key", "blockNumber", "logIndex", "transactionHash")
 
 
@@ -356,9 +360,9 @@ def drop_failed_enrichment(spark, d):
     replied = enrich.enrich(
         I.model_replies(spark, d), "reply", "_reply", _silent_on_empty, enrich.REPLY_TYPE, capacity=8
     )
-    good, bad = enrich.split_failed(enrich.parse_replies(replied), "sentiment")
-    return good.select("doc_id", "sentiment.sentiment_score", F.lit(None).cast("string").alias("reason")).unionByName(
-        bad.select("doc_id", F.lit(None).cast("bigint").alias("sentiment_score"), "reason")
+    parsed, r = enrich.parse_replies(replied), F.col("sentiment")
+    return parsed.select(
+        "doc_id", F.when(r["ok"], r["value"]["sentiment_score"]).alias("sentiment_score"), F.when(~r["ok"], r["error"]).alias("reason")
     )
 
 
@@ -437,7 +441,7 @@ def knn_settled_top10(spark, d):
 def semantic_search_top2(spark, d):
     client = enrich.hashed_words_embedder(DIM)
     asked = enrich.embed(I.table(spark, d, "benchmark"), "text", client, capacity=8)
-    logs = enrich.embed(enrich.spread(I.table(spark, d, "documents")), "text", client, capacity=8)
+    logs = enrich.embed(enrich.spread(I.table(spark, d, "documents"), _partitions(spark)), "text", client, capacity=8)
     q, m = (enrich.split_failed(x, "vector", "drop")[0] for x in (asked, logs))
     q = written(q, "asked")
     return _hit_columns(knn.knn_join(q, m, 2, q_id="item_id", m_id="doc_id", q_vec="vector", m_vec="vector"))
@@ -467,7 +471,7 @@ def knn_ivf_all_cells(spark, d):
     return _hit_columns(
         knn.knn_ivf(
             m, m.where("is_settled"), 5, q_id="event_id", m_id="event_id", q_vec="vector", m_vec="vector",
-            bounds=[("event_id", "!=", "event_id")], nlist=8, nprobe=8,
+            bounds=[("event_id", "!=", "event_id")], nlist=128, nprobe=128,
         )
     )
 
@@ -502,18 +506,19 @@ def _price_memory(spark, d):
     return I.memory(spark, d).withColumnRenamed("sentiment_es", "timestamp")
 
 
-@query("settle_24h_price_cross", f"""WITH {O.MEMORY}, {O.BARS}, last AS (SELECT arg_max(close, timestamp) AS p FROM bars WHERE symbol = 'click')
+@query("settle_24h_price_cross", f"""WITH {O.MEMORY}, {O.BARS}, last AS (SELECT symbol, arg_max(close, timestamp) AS p FROM bars GROUP BY symbol)
     SELECT event_id, price_at_t, p AS price_after_24h, round((p - price_at_t) / price_at_t, 6) AS return_24h, true AS is_settled
-    FROM memory, last WHERE {AGED} AND price_at_t <> 0""")
+    FROM memory JOIN last USING (symbol) WHERE {AGED} AND price_at_t <> 0""")
 def settle_24h_price_cross(spark, d):
-    prices = I.bars(spark, d).where("symbol = 'click'").withColumnRenamed("close", "price_at_t")
-    done, _ = settle.settle_by_age(_price_memory(spark, d), _lit_ms(NOW), prices)
+    prices = I.bars(spark, d).withColumnRenamed("close", "price_at_t")
+    done, _ = settle.settle_by_age(_price_memory(spark, d), _lit_ms(NOW), prices, by=["symbol"])
     return done.select("event_id", "price_at_t", "price_after_24h", _r("return_24h").alias("return_24h"), "is_settled")
 
 
 @query("settle_24h_price_later", f"""WITH {O.MEMORY}, {O.BARS}, due AS (SELECT * FROM memory WHERE {AGED})
     SELECT m.event_id, m.price_at_t, b.close AS price_after_24h, round((b.close - m.price_at_t) / m.price_at_t, 6) AS return_24h
-    FROM due m ASOF JOIN bars b ON m.symbol = b.symbol AND m.sentiment_es + 86400000 >= b.timestamp WHERE m.price_at_t <> 0""")
+    FROM due m ASOF JOIN bars b ON m.symbol = b.symbol AND m.sentiment_es + 86400000 >= b.timestamp
+    WHERE m.price_at_t <> 0 AND b.timestamp > m.sentiment_es""")
 def settle_24h_price_later(spark, d):
     prices = I.bars(spark, d).withColumnRenamed("close", "price_at_t")
     done, _ = settle.settle_by_age(
@@ -523,7 +528,7 @@ def settle_24h_price_later(spark, d):
 
 
 def _scored(spark, d):
-    asked = enrich.score_news(enrich.spread(news.clean(I.news(spark, d)).drop("sentiment_score")))
+    asked = enrich.score_news(enrich.spread(news.clean(I.news(spark, d)).drop("sentiment_score"), _partitions(spark)))
     good, _ = enrich.split_failed(asked, "sentiment", "drop")
     return enrich.flatten_score(good, now=F.col("es"))
 
@@ -536,7 +541,7 @@ def enrich_sentiment(spark, d):
 
 @query("enrich_embedding", f"""WITH {O.words_cte("v", "documents", "doc_id", "text", DIM)} SELECT doc_id, slot, round(w, 6) AS weight FROM v""")
 def enrich_embedding(spark, d):
-    docs = enrich.spread(I.table(spark, d, "documents").select("doc_id", "text"))
+    docs = enrich.spread(I.table(spark, d, "documents").select("doc_id", "text"), _partitions(spark))
     asked = enrich.embed(docs, "text", enrich.hashed_words_embedder(DIM), capacity=8)
     good, _ = enrich.split_failed(asked, "vector", "drop")
     slots = good.select("doc_id", F.posexplode("vector").alias("slot", "weight")).where("weight <> 0")
@@ -598,10 +603,10 @@ def fetch_new_count(spark, d):
 
 
 @query("win_rate_summary", f"""WITH {O.SETTLED} SELECT sentiment_score, count(*) AS n, round(avg(win), 6) AS avg_win, round(avg(rate), 6) AS avg_return
-    FROM done JOIN memory USING (event_id) GROUP BY 1""")
+    FROM done JOIN memory USING (event_id) WHERE outcome = 'settled' GROUP BY 1""")
 def win_rate_summary(spark, d):
     m = I.memory(spark, d)
-    done = settle.settlements(I.signals(spark, d), m, "offset_id").join(m.select("event_id", "sentiment_score"), "event_id")
+    done = settle.settlements(I.signals(spark, d), m, "offset_id").where("outcome = 'settled'").join(m.select("event_id", "sentiment_score"), "event_id")
     return settle.win_rate_summary(done).withColumns({"avg_win": _r("avg_win"), "avg_return": _r("avg_return")})
 
 
@@ -689,7 +694,7 @@ def news_id_md5(spark, d):
     SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(t, '&copy;', chr(169)), '&middot;', chr(183)),
     '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;?', '&', 'g') AS text FROM bare""")
 def html_to_text(spark, d):
-    pages = enrich.spread(I.table(spark, d, "pages").select("page_id", "html"))
+    pages = enrich.spread(I.table(spark, d, "pages").select("page_id", "html"), _partitions(spark))
     return pages.select("page_id", markup.html_to_text(F.col("html")).alias("text"))
 
 
@@ -822,7 +827,7 @@ def predict_return(spark, d):
 # ============================================================================ whole flows
 
 FLOW = f"""WITH {SCORED}, {O.INDICATORS}, {O.MEMORY}, {O.words_cte("v", "scored", "doc_id", "summary", DIM)},
-featured AS (SELECT n.doc_id, n.sentiment_score, n.pubDate, n.es, k.price_at_t, round(k.rsi_14, 6) AS rsi_14
+featured AS (SELECT n.doc_id, n.id, n.sentiment_score, n.pubDate, n.es, k.price_at_t, round(k.rsi_14, 6) AS rsi_14
     FROM scored n ASOF JOIN klines k ON n.symbol = k.symbol AND n.pubDate >= k.timestamp),
 q_len AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM v GROUP BY 1),
 m_len AS (SELECT event_id, sqrt(list_sum(list_transform(vector, lambda x: x * x))) AS len FROM memory),
@@ -832,7 +837,7 @@ pairs AS (SELECT f.doc_id AS q_id, m.event_id AS m_id, any_value(m.ret) AS ret,
 hits AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(sim, 10) DESC, m_id) AS rank FROM pairs QUALIFY rank <= 5),
 rated AS (SELECT f.*, count(sim) FILTER (sim > {SIM_HYBRID}) AS n, coalesce(max(sim) FILTER (sim > {SIM_HYBRID}), 0) AS best,
     count(*) FILTER (sim > {SIM_HYBRID} AND ret > 0) AS won FROM featured f LEFT JOIN hits ON hits.q_id = f.doc_id GROUP BY ALL)
-SELECT CAST(doc_id AS VARCHAR) AS event_id, CASE WHEN sentiment_score > 8 THEN 'BUY' WHEN sentiment_score < 2 THEN 'SELL' ELSE 'HOLD' END AS action,
+SELECT id AS event_id, CASE WHEN sentiment_score > 8 THEN 'BUY' WHEN sentiment_score < 2 THEN 'SELL' ELSE 'HOLD' END AS action,
     'ETH' AS token, pubDate AS "pubDate", es AS sentiment_es, sentiment_score AS trigger_score, price_at_t AS buy_price FROM rated"""
 
 
@@ -842,21 +847,22 @@ def trading_stats(spark: SparkSession, d: str) -> DataFrame:
     Price features come first, so that no model is asked about news without a bar; all model
     answers are written once.
     """
-    rows = news.require_pubdate(news.clean(I.news(spark, d))).drop("sentiment_score", "id")
+    rows = news.require_pubdate(news.clean(I.news(spark, d))).drop("sentiment_score")
     featured = asof.asof_join(
         rows, I.kline_rows(spark, d), "pubDate", "timestamp", ["symbol"], ["rsi_14", "atr_14", "price_at_t"]
-    ).withColumns({"rsi_14": _r("rsi_14"), "id": F.col("doc_id")})
-    scored, _ = enrich.split_failed(enrich.score_news(enrich.spread(featured)), "sentiment", "drop")
+    ).withColumn("rsi_14", _r("rsi_14"))
+    scored, _ = enrich.split_failed(enrich.score_news(featured), "sentiment", "drop")
     asked = enrich.embed(
         enrich.flatten_score(scored, now=F.col("es")), "raw_content", enrich.hashed_words_embedder(DIM), capacity=8
     )
     embedded = written(enrich.split_failed(asked, "vector", "drop")[0], "embedded")
-    history = decide.similar_history(embedded, I.memory(spark, d))
-    return decide.backtest_stats(history, embedded.drop("vector"), "id", SIM_HYBRID)
+    # copies of one item carry the same id, but are asked about at their own times
+    history = decide.similar_history(embedded, I.memory(spark, d), q_id="doc_id")
+    return decide.backtest_stats(history, embedded.drop("vector"), "doc_id", SIM_HYBRID)
 
 
 def _signals(stats: DataFrame, mode: str) -> DataFrame:
-    rows = decide.trade_signals(stats, mode, SIM_HYBRID, 0.5, now=_lit_ms(NOW))
+    rows = decide.trade_signals(stats, mode, SIM_HYBRID, now=_lit_ms(NOW))
     return rows.select("event_id", "action", "token", "pubDate", "sentiment_es", "trigger_score", "buy_price")
 
 
@@ -865,6 +871,6 @@ def trading_signals_score_only(spark, d):
     return _signals(trading_stats(spark, d), "score_only")
 
 
-@query("trading_signals_strict", f"{FLOW} WHERE best > {SIM_HYBRID} AND won > 0.5 * n")
+@query("trading_signals_strict", f"{FLOW} WHERE best > {SIM_HYBRID} AND won / n > 0.65")
 def trading_signals_strict(spark, d):
     return _signals(trading_stats(spark, d), "strict")

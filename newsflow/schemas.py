@@ -78,8 +78,6 @@ MODEL_REPLY = _row({
     "sentiment_score": _TEXT, "sentiment_reason": _TEXT, "reasoning": _TEXT,
 })
 
-# Declared lengths of text columns in the memory tables.
+# Declared lengths of text columns in memory tables elsewhere; our tables keep texts of any length.
 MEMORY_TEXT_LIMITS = {"event_id": 128, "title": 512}
-MEMORY_V1_TEXT_LIMITS = {"raw_content": 5000, "sentiment_reason": 1000}
-LOG_MEMORY_TEXT_LIMITS = {"raw_log": 8192}
 VECTOR_DIM = 768

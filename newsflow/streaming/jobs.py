@@ -185,16 +185,17 @@ def trading_batch(cfg: JobConfig, models: Models, klines: Callable[[], DataFrame
 
     def work(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        items = streams.parse_json(messages, schemas.NEWS_ITEM).persist()
+        parsed = streams.parse_json(messages, schemas.NEWS_ITEM)
+        # copies of one item in a batch are one item: asked once, remembered once
+        once = keyed.first_per_key(parsed.where("id IS NOT NULL"), ["id"], ["es", "pubDate", "title", "summary"])
+        items = once.unionByName(parsed.where("id IS NULL")).persist()
         rows = trading_rows(items, klines(), models, cfg, now).persist()
         try:
             good, no_score = enrich.split_failed(rows, "sentiment")
             good, no_vector = enrich.split_failed(good, "vector")
             good = good.withColumn("sentiment_score", F.col("sentiment.sentiment_score"))
-            # a title may be longer than the memory allows; such rows are refused, not cut
-            kept, oversize = news.split_oversize(
-                tables.with_memory_defaults(good), schemas.MEMORY_TEXT_LIMITS, "vector", cfg.vector_dim
-            )
+            # texts of any length are kept; only a vector of another model cannot be compared
+            kept, oversize = news.split_oversize(tables.with_memory_defaults(good), {}, "vector", cfg.vector_dim)
             tables.write_batch(kept, cfg.memory_path, batch_id)
             if cfg.reject_path:
                 refused = _rejects(no_score, "sentiment").unionByName(
@@ -258,8 +259,7 @@ def risk_log_batch(cfg: JobConfig, embedder: enrich.ClientFactory) -> Callable[[
             enrich.embed(asked, "raw_log", embedder, capacity=100, timeout_s=30.0), "vector", "drop"
         )
         fields = rows.select("id", "raw_log", "vector", F.lit(None).cast("map<string,string>").alias("extra"))
-        kept, _ = news.split_oversize(fields, schemas.LOG_MEMORY_TEXT_LIMITS)
-        tables.write_batch(kept, cfg.memory_path, batch_id)
+        tables.write_batch(fields, cfg.memory_path, batch_id)
 
     return work
 

@@ -46,12 +46,7 @@ def found(df):
 NAMES = dict(q_id="id", m_id="id", q_vec="vec", m_vec="vec")
 
 
-@pytest.mark.parametrize("options", [
-    dict(strategy="broadcast"),
-    dict(strategy="blocks"),
-    dict(strategy="blocks", block_rows=16),
-    dict(strategy="auto", broadcast_bytes=1),
-])
+@pytest.mark.parametrize("options", [dict(), dict(block_rows=16)])
 def test_exact_search_equals_brute_force(spark, options):
     rows = vectors(300, 8, 1, copies=90)
     df = spark.createDataFrame(rows, SCHEMA)
@@ -65,9 +60,8 @@ def test_exact_search_equals_brute_force(spark, options):
 def test_search_without_partition(spark):
     rows = vectors(120, 4, 2)
     df = spark.createDataFrame(rows, SCHEMA)
-    for strategy in ("broadcast", "blocks"):
-        got = knn.knn_join(df, df, 3, **NAMES, bounds=[("id", "!=", "id")], strategy=strategy, block_rows=50)
-        assert found(got) == brute(rows, rows, 3, part=False, x=False)
+    got = knn.knn_join(df, df, 3, **NAMES, bounds=[("id", "!=", "id")], block_rows=50)
+    assert found(got) == brute(rows, rows, 3, part=False, x=False)
 
 
 def test_null_and_zero_vectors(spark):
@@ -80,15 +74,26 @@ def test_null_and_zero_vectors(spark):
 def test_no_queries_or_no_memory(spark):
     df = spark.createDataFrame(vectors(5, 4, 3), SCHEMA)
     none = df.where("id < 0")
-    for strategy in ("auto", "blocks"):
-        assert knn.knn_join(none, df, 5, **NAMES, strategy=strategy).count() == 0
-        assert knn.knn_join(df, none, 5, **NAMES, strategy=strategy).count() == 0
+    assert knn.knn_join(none, df, 5, **NAMES).count() == 0
+    assert knn.knn_join(df, none, 5, **NAMES).count() == 0
 
 
-def test_broadcast_is_refused_when_too_large(spark):
-    df = spark.createDataFrame(vectors(50, 4, 3), SCHEMA)
-    with pytest.raises(ValueError):
-        knn.knn_join(df, df, 5, **NAMES, strategy="broadcast", broadcast_bytes=64)
+def test_copies_of_a_query_get_the_neighbours_of_one(spark):
+    rows = vectors(60, 4, 9)
+    df = spark.createDataFrame(rows, SCHEMA)
+    twice = df.where("id < 5").unionByName(df.where("id < 3"))
+    got = knn.knn_join(twice, df, 4, **NAMES, bounds=[("id", "!=", "id")], carry=["ret"])
+    assert found(got) == {q: ids for q, ids in brute(rows, rows, 4, part=False, x=False).items() if q < 5}
+    stats = decide.backtest_stats(got, twice.select("id"), "id", -1.0, "ret").collect()
+    assert sorted((r["id"], r["valid_matches"]) for r in stats) == [(0, 4), (0, 4), (1, 4), (1, 4), (2, 4), (2, 4), (3, 4), (4, 4)]
+
+
+def test_building_a_search_runs_no_job_and_takes_many_cells(spark):
+    df = spark.createDataFrame(vectors(40, 4, 10), SCHEMA).withColumn("part", F.col("id") * 1000)
+    spark.sparkContext.setJobGroup("building", "none may run")
+    built = knn.knn_join(df, df, 2, **NAMES, part=("part", "part"))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    assert built.count() == 40
 
 
 def test_ivf_is_exact_when_all_cells_are_searched(spark):

@@ -1,3 +1,4 @@
+import threading
 import time
 
 import pytest
@@ -111,6 +112,35 @@ def flaky():
     return make
 
 
+def test_hung_calls_keep_their_places():
+    running, most, lock = [0], [0], threading.Lock()
+
+    def hung(text):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        time.sleep(1.0)
+        with lock:
+            running[0] -= 1
+
+    got = enrich._run_calls([str(i) for i in range(20)], hung, 2, 0.05, 0)
+    assert [r[1] for r in got] == ["timeout"] * 20 and most[0] == 2
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_fast_calls_pass_a_slow_one_if_order_is_free(ordered):
+    ended = []
+
+    def call(text):
+        time.sleep(0.6 if text == "slow" else 0.01)
+        ended.append(text)
+        return text
+
+    got = enrich._run_calls(["slow", *"abcdef"], call, 2, 5.0, 0, ordered)
+    assert [r[2] for r in got] == ["slow", *"abcdef"]
+    assert (ended.index("slow") >= 5) is not ordered
+
+
 def test_enrich_keeps_order_and_carries_errors(spark, flaky):
     texts = ["a", "slow", "b", "bad", "once", None, "c"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
