@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from newsflow.llm.bpe import Codec, byte_chars, read_spec
 from newsflow.llm.common import most_counted, texts
 
-SIZE = 1 << 16  # words in the automaton
+SIZE = 1 << 17  # words in the automaton
 
 
 class Transducer:
@@ -126,7 +126,7 @@ class Transducer:
 class LexiconCodec(Codec):
     """Words by the transducer where it holds them, by exact merging else."""
 
-    def __init__(self, spec: str, transducer: Transducer, kept: int = 350_000) -> None:
+    def __init__(self, spec: str, transducer: Transducer, kept: int = 300_000) -> None:
         super().__init__(spec, kept)
         self.transducer = transducer
 
@@ -142,7 +142,20 @@ class LexiconCodec(Codec):
         return out
 
 
-def count_words(docs: DataFrame, tokenizer: str, held: int = 200_000) -> DataFrame:
+class Decoder:
+    """Texts of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
+
+    def __init__(self, spec: str) -> None:
+        content = json.loads(spec)
+        byte_of = {c: b for b, c in enumerate(byte_chars())}
+        self.pieces = {i: bytes(map(byte_of.__getitem__, token)) for token, i in content["model"]["vocab"].items()}
+        self.pieces |= {t["id"]: t["content"].encode() for t in content["added_tokens"]}
+
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFrame:
     """``word, n`` over whole texts. Each task adds up its pieces before the shuffle, ``held`` at a time."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
 
@@ -216,24 +229,32 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, ids, text``, special tokens included; bytes that are no UTF-8 become U+FFFD."""
+    """``doc_id, ids, text`` of encoded rows."""
     spec = encoded.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        content = json.loads(spec.value)
-        byte_of = {c: b for b, c in enumerate(byte_chars())}
-        pieces = {i: bytes(map(byte_of.__getitem__, token)) for token, i in content["model"]["vocab"].items()}
-        pieces |= {t["id"]: t["content"].encode() for t in content["added_tokens"]}
+        decoder = Decoder(spec.value)
         for batch in batches:
-            out = []
-            for ids in batch.column(1).to_pylist():
-                known = map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())
-                out.append(b"".join(known).decode("utf-8", "replace"))
+            out = [decoder.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``doc_id, ids, text``, the text from the ids alone."""
+    spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, decoder = LexiconCodec(spec.value, Transducer.open(SparkFiles.get(lexicon))), Decoder(spec.value)
+        for batch in batches:
+            ids = codec.encode(batch.column(1).to_pylist())
+            out = [decoder.decode(i) for i in ids]
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), pa.array(out, pa.string())], names=["doc_id", "ids", "text"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -44,8 +44,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    encoded = lexicon.encode(docs, BYTE_TOKENIZER, lexicon.build(docs, BYTE_TOKENIZER))
-    return lexicon.digests(lexicon.decode(encoded, BYTE_TOKENIZER))
+    return lexicon.digests(lexicon.round_trip(docs, BYTE_TOKENIZER, lexicon.build(docs, BYTE_TOKENIZER)))
 
 
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

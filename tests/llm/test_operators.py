@@ -185,6 +185,14 @@ def test_bpe_round_trip(spark, docs):
     assert ordered(queries.op6_bpe(spark, docs).collect()) == ordered(want)
 
 
+def test_encoding_and_decoding_apart(spark, docs):
+    frame = spark.read.parquet(f"{docs}/documents.parquet")
+    name = lexicon.build(frame, queries.BYTE_TOKENIZER, size=8)
+    apart = lexicon.decode(lexicon.encode(frame, queries.BYTE_TOKENIZER, name), queries.BYTE_TOKENIZER)
+    assert sorted(r.text for r in apart.collect()) == sorted(t or "" for _, t in ROWS)
+    assert ordered(apart.collect()) == ordered(lexicon.round_trip(frame, queries.BYTE_TOKENIZER, name).collect())
+
+
 def test_lexicon_counts_all_words(spark, docs):
     plain_rows = [(d, t) for d, t in ROWS if lexicon.Codec.plain(t or "")]  # other pieces never ask the lexicon
     frame = spark.createDataFrame(plain_rows, "doc_id long, text string")
