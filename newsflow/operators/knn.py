@@ -142,14 +142,19 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
 
     fields = [c for c in q.columns if c not in ("q_id", "q_part")]
     q = q.groupBy("q_id", "q_part").agg(F.min(F.struct(*fields)).alias("_q")).select("q_id", "q_part", "_q.*")
-    blocks = _sizes(q, "q_part", "_q_blocks", block_rows).join(_sizes(m, "m_part", "_m_blocks", block_rows), "_part")
+    if part:
+        blocks = _sizes(q, "q_part", "_q_blocks", block_rows).join(_sizes(m, "m_part", "_m_blocks", block_rows), "_part")
+        sized = lambda rows: rows.join(blocks, "_part")
+    else:  # two numbers, read as scalar subqueries
+        number = lambda rows: rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1))).scalar()
+        sized = lambda rows: rows.withColumn("_q_blocks", number(q)).withColumn("_m_blocks", number(m))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     left = (
-        q.withColumn("_part", F.col("q_part")).join(blocks, "_part").withColumnRenamed("_part", "_p")
+        sized(q.withColumn("_part", F.col("q_part"))).withColumnRenamed("_part", "_p")
         .withColumn("_qb", _block_of("q_id", F.col("_q_blocks"))).withColumn("_mb", every("_m_blocks")).drop("_q_blocks", "_m_blocks")
     )
     right = (
-        m.withColumn("_part", F.col("m_part")).join(blocks, "_part").withColumnRenamed("_part", "_p")
+        sized(m.withColumn("_part", F.col("m_part"))).withColumnRenamed("_part", "_p")
         .withColumn("_mb", _block_of("m_id", F.col("_m_blocks"))).withColumn("_qb", every("_q_blocks")).drop("_q_blocks", "_m_blocks")
     )
     keys = ["_p", "_mb", "_qb"]
