@@ -14,6 +14,7 @@ import re
 import numpy as np
 import regex
 
+LONG = 256  # code points of a piece beyond which the library's heap is faster than rounds over arrays
 _END = b"\xff\xff\xff\xff"  # between the ids of two pieces; no id comes near it
 NONE = np.int64(1 << 40)  # rank of a pair that never merges
 
@@ -164,8 +165,8 @@ class Codec:
 
     def learn(self, new: list[str]) -> list[bytes]:
         """The ids of each of some distinct pieces."""
-        every = self.plain("".join(new))
-        plain = new if every else [p for p in new if self.plain(p)]
+        every = max(map(len, new)) <= LONG and self.plain("".join(new))
+        plain = new if every else [p for p in new if len(p) <= LONG and self.plain(p)]
         ids: list[bytes] = []
         if plain:
             joined = "\x00".join(plain)

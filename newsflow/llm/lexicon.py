@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.bpe import Codec, byte_chars, read_spec
+from newsflow.llm.bpe import LONG, Codec, byte_chars, read_spec
 from newsflow.llm.common import most_counted, texts
 
 SIZE = 1 << 17  # words in the automaton
@@ -206,7 +206,7 @@ def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFra
 def build(docs: DataFrame, tokenizer: str, size: int = SIZE) -> str:
     """Compiles the ``size`` most frequent words; gives the name of the file that executors fetch."""
     top = most_counted(count_words(docs, tokenizer).where("word <> ''"), size)
-    words = sorted(row.word.encode() for row in top.select("word").toLocalIterator())
+    words = sorted(row.word.encode() for row in top.select("word").toLocalIterator() if len(row.word) <= LONG)
     ids = Codec(read_spec(tokenizer)).merges.encode(words)
     name = f"lexicon-{uuid.uuid4().hex}"
     path = os.path.join(tempfile.mkdtemp(), name)
