@@ -1,14 +1,15 @@
 """Quality rules: figures of each text, and line frequency across the documents of a host.
 
 Lines are normalised (white space at the ends stripped, A-Z in lower case) and hashed. For each host
-the documents that hold a line are counted, copies of one text as one document. Lines above the
-host's limit (more than ``min_docs`` documents, and more than ``share`` of the host's documents) are
-boilerplate. A document that fails the rules on its own figures is rejected; so is a depleted one, of
-which less than ``least_words`` words and less than ``least_share`` of its words are left without
-boilerplate.
+the documents that hold a line are counted, copies of one text as one document. Lines held by more
+than ``min_docs`` documents of the host are boilerplate, however large the host; a ``share`` above zero
+also asks for more than this part of the host's documents. ``without_boilerplate`` takes these lines out
+of the texts. A document that fails the rules on its own figures is rejected; so is a depleted one, of
+which less than ``least_words`` words and less than ``least_share`` of its words are left in that text.
 
 Defined results: a null or empty text has no words and fails; a null host is a host of its own; rows
-that repeat a ``doc_id`` are judged each by their own text; an empty table gives no rows.
+that repeat a ``doc_id`` are judged each by their own text; an empty table gives no rows; a text of
+boilerplate alone becomes empty, and a null text stays null.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.llm.common import SPACES, whole_text
 from newsflow.session import written
@@ -31,11 +32,22 @@ MIN_DOCS, SHARE = 50, 0.2
 LEAST_WORDS, LEAST_SHARE = 50, 0.5
 
 _FIGURES = (
-    "row long, doc_id long, host string, content binary, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, lines array<struct<key: binary, words: long>>"
+    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_left long"
 )
 
 
+def line_key(line: bytes) -> bytes:
+    return hashlib.md5(line.strip(SPACES.encode()).lower(), usedforsecurity=False).digest()
+
+
+def cut(text: str, gone: list[bytes] | None) -> str:
+    """``text`` without the lines whose keys are ``gone``."""
+    if not gone:
+        return text
+    keys = set(gone)
+    return "\n".join(x for x in text.split("\n") if line_key(x.encode()) not in keys)
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of three found twice or more."""
     grams = list(zip(words, words[1:], words[2:], strict=False))
@@ -50,63 +62,101 @@ def repeated_words(words: list[bytes]) -> int:
     return total
 
 
-def figures(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per row of ``docs``, with a number of its own and its distinct lines that have words."""
+def held_lines(docs: DataFrame, host: str = "source") -> DataFrame:
+    """``host``, a digest of the text (``content``) and its distinct lines that have words (``keys``), by row."""
+    blanks = SPACES.encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contents, keys = [], []
+            for text in batch.column(1).to_pylist():
+                data = text.encode()
+                contents.append(hashlib.md5(data, usedforsecurity=False).digest())
+                keys.append(list({line_key(x) for x in data.split(b"\n") if x.strip(blanks)}))
+            columns = [batch.column(0), pa.array(contents, pa.binary()), pa.array(keys, pa.list_(pa.binary()))]
+            yield pa.record_batch(columns, names=["host", "content", "keys"])
+
+    rows = docs.select(F.col(host).cast("string").alias("host"), whole_text().alias("text"))
+    return rows.mapInArrow(run, "host string, content binary, keys array<binary>")
+
+
+def boilerplate(held: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+    """``host, key``: lines above their host's limit. Counts are added up before the shuffle."""
+    distinct = held.groupBy("host", "content").agg(F.first("keys").alias("keys"))
+    hosts = distinct.groupBy("host").agg(F.count("*").alias("n_docs"))
+    counted = distinct.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n_held"))
+    counted = counted.where(F.col("n_held") > min_docs)
+    if share <= 0:
+        return counted.select("host", "key")
+    above = counted.alias("l").join(hosts.alias("h"), F.expr("l.host <=> h.host")).where(F.col("n_held") > share * F.col("n_docs"))
+    return above.select("l.host", "key")
+
+
+def with_gone(docs: DataFrame, host: str, min_docs: int, share: float) -> DataFrame:
+    """``docs`` and ``_llm_gone``: the keys of the boilerplate lines of each text, or null.
+
+    The keys are written by host and text, so where few texts have such lines they are broadcast and no
+    text is shuffled.
+    """
+    held = written(held_lines(docs, host), "lines")
+    common = boilerplate(held, min_docs, share).select(F.col("host").alias("_host"), F.col("key").alias("_key"))
+    lines = held.select("host", "content", F.explode("keys").alias("key")).join(common, F.expr("key = _key AND host <=> _host"))
+    gone = lines.groupBy(F.col("host").alias("_llm_host"), F.col("content").alias("_llm_content")).agg(F.collect_set("key").alias("_llm_gone"))
+    same = F.col(host).cast("string").eqNullSafe(F.col("_llm_host")) & (F.unhex(F.md5(whole_text())) == F.col("_llm_content"))
+    return docs.join(written(gone, "gone"), same, "left").drop("_llm_host", "_llm_content")
+
+
+def without_boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+    """``docs`` with the boilerplate lines of each row's host cut out of ``text``, all other columns as they are."""
+    at, schema = docs.columns.index("text"), T.StructType(docs.schema.fields)
+    names = [f.name for f in schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gone = batch.column(batch.num_columns - 1).to_pylist()
+            columns = list(batch.columns[:-1])
+            texts = [text and cut(text, keys) for text, keys in zip(columns[at].to_pylist(), gone, strict=True)]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.record_batch(columns, names=names)
+
+    return with_gone(docs, host, min_docs, share).mapInArrow(run, schema)
+
+
+def figures(docs: DataFrame) -> DataFrame:
+    """The figures of every row's text, and ``n_left``: the words of that text without the lines ``_llm_gone``."""
     symbols, blanks = SYMBOLS.encode(), SPACES.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out: list[list] = [[] for _ in range(10)]
-            for doc, name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out: list[list] = [[] for _ in range(7)]
+            for doc, text, gone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
                 words = data.split()
                 spaces = len(data) - len(data.translate(None, blanks))
                 raw = [x for x in data.split(b"\n") if x.strip(blanks)]
-                lines: Counter[bytes] = Counter()
-                for line in raw:
-                    lines[hashlib.md5(line.strip(blanks).lower(), usedforsecurity=False).digest()] += len(line.split())
                 values = (
-                    row, doc, name, hashlib.md5(data, usedforsecurity=False).digest(), len(words), len(text) - spaces,
-                    len(data) - len(data.translate(None, symbols)), len(raw) - len(set(raw)), repeated_words(words),
-                    [{"key": k, "words": n} for k, n in lines.items()],
+                    doc, len(words), len(text) - spaces, len(data) - len(data.translate(None, symbols)), len(raw) - len(set(raw)),
+                    repeated_words(words), len(cut(text, gone).encode().split()) if gone else len(words),
                 )
-                row += 1
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), *[pa.int64()] * 5, pa.list_(pa.struct([("key", pa.binary()), ("words", pa.int64())]))]
-            names = [c.split()[0] for c in _FIGURES.split(", ")[:9]] + ["lines"]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=[c.split()[0] for c in _FIGURES.split(", ")])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), whole_text().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), "_llm_gone")
     return rows.mapInArrow(run, _FIGURES)
 
 
-def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """``host, key``: lines above their host's limit. Counts are added up before the shuffle."""
-    distinct = measured.select("host", "content", "lines.key").groupBy("host", "content").agg(F.first("key").alias("keys"))
-    hosts = distinct.groupBy("host").agg(F.count("*").alias("n_docs"))
-    held = distinct.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n_held"))
-    held = held.where(F.col("n_held") > min_docs)
-    above = held.alias("l").join(hosts.alias("h"), F.expr("l.host <=> h.host")).where(F.col("n_held") > share * F.col("n_docs"))
-    return above.select("l.host", "key")
-
-
 def judge(
     docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
     least_words: int = LEAST_WORDS, least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """The figures, ``base_failed``, ``n_boilerplate_words`` and ``kept`` of every row."""
-    measured = written(figures(docs, host), "figures")
-    common = boilerplate(measured, min_docs, share).select(F.col("host").alias("_host"), F.col("key").alias("_key"))
-    lines = measured.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.key", "line.words")
-    lost = lines.join(common, F.expr("key = _key AND host <=> _host")).groupBy(F.col("row").alias("_row")).agg(F.sum("words").alias("_lost"))
-    judged = measured.drop("lines", "content").join(lost, F.col("row") == F.col("_row"), "left")
-    gone = F.coalesce("_lost", F.lit(0))
-    left = F.col("n_words") - gone
+    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), "text")
+    judged = figures(with_gone(rows, "host", min_docs, share))
+    left = F.col("n_left")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = (left < least_words) & (left < least_share * F.col("n_words"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & ~depleted).alias("kept"), gone.alias("n_boilerplate_words"),
+        (~failed & ~depleted).alias("kept"), (F.col("n_words") - left).alias("n_boilerplate_words"),
     )

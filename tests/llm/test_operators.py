@@ -254,6 +254,18 @@ def test_frequent_lines_deplete(spark):
     assert got[200].kept and not got[50].base_failed and got[50].n_boilerplate_words == 55
 
 
+def test_frequent_lines_are_cut_from_the_texts(spark):
+    rows = [(i, f" A Notice \nw{i} own\n\nlast" if i % 2 else f"w{i} own\na notice\n\nlast {i}", "h", i) for i in range(30)]
+    rows += [(40, "a notice\nrest", "other", 0), (41, None, "h", 0), (42, "A NOTICE", "h", 0), (43, "a notice\nrest", None, 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, more int")
+    got = {r.doc_id: r for r in quality.without_boilerplate(frame, min_docs=20).collect()}
+    assert len(got) == len(rows) and all(got[d].source == h and got[d].more == m for d, _, h, m in rows)
+    assert [got[i].text for i in range(2)] == ["w0 own\n\nlast 0", "w1 own\n\nlast"]
+    assert [got[i].text for i in (40, 41, 42, 43)] == ["a notice\nrest", None, "", "a notice\nrest"]
+    judged = {r.doc_id: r for r in quality.judge(frame, min_docs=20).collect()}
+    assert all(judged[d].n_words - judged[d].n_boilerplate_words == len((got[d].text or "").split()) for d in got)
+
+
 def test_stages_of_the_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
