@@ -28,7 +28,7 @@ from newsflow.session import written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 0.5
-MIN_DOCS, SHARE = 50, 0.2
+MIN_DOCS, SHARE = 50, 0.0
 LEAST_WORDS, LEAST_SHARE = 50, 0.5
 
 _FIGURES = (

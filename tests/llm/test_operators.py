@@ -266,6 +266,25 @@ def test_frequent_lines_are_cut_from_the_texts(spark):
     assert all(judged[d].n_words - judged[d].n_boilerplate_words == len((got[d].text or "").split()) for d in got)
 
 
+def test_limit_does_not_rise_with_the_host(spark):
+    rows = [(i, f"a notice\nw{i}" if i % 9 == 0 else f"w{i}", "h") for i in range(900)]  # a ninth of the host
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.text for r in quality.without_boilerplate(frame).collect()} == {f"w{i}" for i in range(900)}
+
+
+def test_repeated_lines_of_the_given_documents_fall(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    keyed = {}
+    for r in docs.collect():
+        for line in {x.strip().lower() for x in (r.text or "").split("\n")} - {""}:
+            keyed.setdefault((r.source, line), set()).add(r.text)
+    frequent = {k for k, held in keyed.items() if len(held) > 50}
+    assert frequent
+    left = quality.without_boilerplate(docs).collect()
+    assert len(left) == docs.count()
+    assert not any((r.source, x.strip().lower()) in frequent for r in left for x in (r.text or "").split("\n"))
+
+
 def test_stages_of_the_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
