@@ -818,8 +818,8 @@ def training_set(spark, d):
 
 @query("predict_return")
 def predict_return(spark, d):
-    """Train on the training window, score every unsettled row. Twenty trees instead of 200."""
-    model = retrain.fit(retrain.training_set(_trained(spark, d), label="return"), trees=20)
+    """Train on the training window, score every unsettled row."""
+    model = retrain.fit(retrain.training_set(_trained(spark, d), label="return"))
     rows = I.memory(spark, d).where("NOT is_settled")
     return retrain.predict(model, rows).select("event_id", _r("predicted_return").alias("predicted_return"))
 

@@ -1,5 +1,6 @@
 """The plans of the scalable operators: no products, no whole-table window, pushed-down scans."""
 
+import inspect
 import re
 
 import pytest
@@ -50,3 +51,20 @@ def test_asof_shares_one_exchange(spark, sf):
 def test_bars_are_hash_aggregated(spark, sf):
     text = plan(entry.queries()["ohlcv_bars"](spark, sf))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_predictions_come_from_all_trees(spark, monkeypatch):
+    from newsflow.operators import retrain
+    from newsflow.plans import catalog
+
+    asked = []
+    signature, fit = inspect.signature(retrain.fit), retrain.fit
+
+    def quick(*args, **options):
+        asked.append(signature.bind(*args, **options))
+        asked[-1].apply_defaults()
+        return fit(args[0], trees=1)
+
+    monkeypatch.setattr(retrain, "fit", quick)
+    assert catalog.QUERIES["predict_return"](spark, "/root/testdata/sf0.001").count() > 0
+    assert [a.arguments["trees"] for a in asked] == [200]
