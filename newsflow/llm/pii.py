@@ -2,15 +2,17 @@
 
 Base spans follow fixed formats and always stay. Beside them wide patterns propose candidates, which
 may overlap; boosted trees score each by its format and its surroundings. They are trained on at most
-``sample`` candidates (those with the smallest hash of place and document) whose class the checks tell:
+``sample`` candidates whose class the checks tell, an equal part for each kind and class (those with the
+smallest hash of place and document), so no kind is lost where another is far more frequent:
 what overlaps a valid base span of its kind, or follows the name of a secret, is personal; what fails
-its checksum or range, or is a bare number, is not; the rest teaches nothing. On a fold that the trees
-have not seen, each kind gets the lowest threshold at which the chosen are right as often as asked.
+its checksum or range, or is a bare number, is not; the rest teaches nothing. Over all such candidates
+that the trees have not seen (of the sample a quarter of each kind and class, and all others), each kind
+gets the lowest threshold at which the chosen are right as often as asked.
 Chosen candidates that overlap no base span are added; of those that overlap each other the first,
 then the likelier.
 
 The trees become one expression, so candidates are found, scored and chosen inside the row: nothing
-is exploded or shuffled. Texts without a digit or an at sign are not searched.
+is exploded or shuffled to find spans. Texts without a digit or an at sign are not searched.
 
 Defined results: a null or empty text has no spans; repeated rows are searched each; without
 candidates of both classes to train on nothing is added; an empty table gives no rows.
@@ -25,13 +27,14 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.session import written
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 SAMPLE = 20_000  # candidates that train the trees
+SALTED = 50  # of these from each salted group
 TREES, DEPTH = 12, 3
 PRECISION = 0.95
 AROUND = 24  # code points of context on either side
@@ -189,8 +192,8 @@ def _nodes(node) -> object:
     return int(split.featureIndex()), float(split.threshold()), _nodes(node.leftChild()), _nodes(node.rightChild())
 
 
-def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` candidates with features, class and fold."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """All candidates whose class the checks tell, with class and hash."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("wide"))
     rows = rows.select("doc", "base", F.explode("wide").alias("c"))
@@ -200,26 +203,45 @@ def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         c["kind"] == "secret", bare & (F.length("c.value") < 16)
     )
     label = F.when(overlaps(F.col("base"), c, True) | (c["kind"] == "secret") & c["value"].rlike(_NAMED), 1.0).when(wrong, 0.0)
-    order = F.xxhash64("doc", "c.start", "c.rank")
-    rows = rows.select("c", label.alias("label"), order.alias("hash")).where("label IS NOT NULL").orderBy("hash").limit(sample)
-    return rows.select(
-        "label", c["kind"].alias("kind"), (F.pmod("hash", F.lit(4)) == 0).alias("apart"), *(x.alias(f"f{i}") for i, x in enumerate(features(c)))
-    )
+    order = F.xxhash64("doc", "c.start", "c.rank", "c.value")
+    return rows.select("c", c["kind"].alias("kind"), label.alias("label"), order.alias("hash")).where("label IS NOT NULL")
+
+
+def sampled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most ``sample`` of the labelled rows with features and fold, an equal part for each kind and class.
+
+    Groups are salted, so a frequent kind is not ranked in one task, and each task sends at most
+    ``SALTED`` rows of a group.
+    """
+    part = max(1, sample // (2 * len(KINDS)))
+    salts = -(-part // SALTED)
+    group = Window.partitionBy("kind", "label", F.pmod(F.xxhash64("hash"), F.lit(salts))).orderBy("hash")
+    few = rows.withColumn("place", F.row_number().over(group)).where(F.col("place") <= part // salts)
+    few = few.select("kind", "label", "hash", *(x.alias(f"f{i}") for i, x in enumerate(features(F.col("c")))))
+    place = F.row_number().over(Window.partitionBy("kind", "label").orderBy("hash"))
+    return few.withColumn("apart", place % 4 == 1)
+
+
+def bins(rows: DataFrame, seen: DataFrame, model: Model) -> DataFrame:
+    """How many labelled rows outside ``seen`` have a score, in hundredths, by kind, and how many of them are right."""
+    f = F.array(*features(F.col("c")))
+    score = let(f, lambda f: model.score([f[i] for i in range(N_FEATURES)]))
+    scored = rows.join(F.broadcast(seen.select("hash")), "hash", "left_anti").select("kind", "label", F.floor(score * 100).alias("bin"))
+    return scored.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> Model:
-    """Boosted trees on three folds of four, thresholds on the other."""
-    rows = written(labelled(docs, sample), "candidates")
-    if rows.where("NOT apart").select("label").distinct().count() < 2:
+    """Boosted trees on three of four sampled candidates, thresholds on all others."""
+    every = labelled(docs)
+    seen = written(sampled(every, sample), "candidates").where("NOT apart")
+    if seen.select("label").distinct().count() < 2:
         return Model()
-    names = [n for n in rows.columns if n.startswith("f")]
-    table = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-    fitted = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=7, checkpointInterval=-1).fit(table.where("NOT apart"))
+    names = [n for n in seen.columns if n.startswith("f")]
+    table = VectorAssembler(inputCols=names, outputCol="features").transform(seen)
+    fitted = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=7, checkpointInterval=-1).fit(table)
     parts = [(float(w), _nodes(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)]
-    model = Model(parts)
-    scored = rows.where("apart").select("kind", "label", F.floor(model.score([F.col(n) for n in names]) * 100).alias("bin"))
     thresholds: dict[str, float] = {}
-    found = scored.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()  # kinds x 101 rows
+    found = bins(every, seen, Model(parts)).collect()  # kinds x 101 rows
     for kind in KINDS:
         n = good = 0.0
         thresholds[kind] = math.inf

@@ -175,6 +175,22 @@ def test_pii_adds_and_redacts(spark):
     assert pii.redact(frame, model).columns == frame.columns
 
 
+def test_pii_keeps_rare_kinds(spark):
+    """Kinds that bare tokens outnumber by a thousand to one still get a threshold."""
+    rows = [(i, " ".join(f"r{i}x{j:04d}q" for j in range(400))) for i in range(20)]
+    rows += [(100 + i, f"call +1 212 555 01{i}3 now") for i in range(8)]
+    rows += [(200 + i, f"host 10.0.0.{i} and 300.1.1.{i} end") for i in range(8)]
+    rows += [(300, "call (212) 555-0123 today"), (301, "call +1 212 555 0199, from 10.9.8.7")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.train(frame, sample=200)
+    assert all(model.thresholds[k] < 1 for k in ("phone", "ip"))
+    got = {r.doc_id: [s.kind for s in r.spans] for r in pii.find(frame, model).collect()}
+    assert got[300] == ["phone"] and got[301] == ["ip", "phone"] and got[0] == []
+    some = pii.sampled(pii.labelled(frame), 200).groupBy("kind", "label").agg(F.count("*").alias("n"), F.sum(F.col("apart").cast("int")).alias("apart"))
+    assert {(r.kind, r.label): (r.n, r.apart) for r in some.collect()} == {
+        ("phone", 1.0): (9, 3), ("ip", 1.0): (9, 3), ("ip", 0.0): (8, 2), ("secret", 0.0): (20, 5)}
+
+
 def test_bpe_round_trip(spark, docs):
     library = Tokenizer.from_file(queries.BYTE_TOKENIZER)
     want = []
