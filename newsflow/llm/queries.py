@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, near_dup, packing, pii, quality, sharding, token_counts, toxicity
+from newsflow.llm import exact_dedup, lexicon, line_dedup, near_dup, packing, pii, planes, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -65,10 +65,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), share=0.2)
 
 
+def op11_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.digests(planes.read(planes.write(documents(spark, sf_dir), WORD_TOKENIZER)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op5_pii": op5_pii,
     "op6_bpe": op6_bpe, "op7_near_dup": op7_near_dup, "op8_packing": op8_packing,
-    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality,
+    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality, "op11_binary_ids": op11_binary_ids,
 }
 
 OP1_SQL = r"""
