@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import exact_dedup, lexicon, line_dedup, near_dup, packing, pii, planes, quality, sharding, token_counts, toxicity
+from newsflow.llm import align, exact_dedup, lexicon, line_dedup, near_dup, packing, pii, planes, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,10 +70,14 @@ def op11_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.digests(planes.read(planes.write(documents(spark, sf_dir), WORD_TOKENIZER)))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(documents(spark, sf_dir), align.vocabularies(BYTE_TOKENIZER, PIECE_MODEL))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op5_pii": op5_pii,
     "op6_bpe": op6_bpe, "op7_near_dup": op7_near_dup, "op8_packing": op8_packing,
-    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality, "op11_binary_ids": op11_binary_ids,
+    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality, "op11_binary_ids": op11_binary_ids, "op13_token_alignment": op13_token_alignment,
 }
 
 OP1_SQL = r"""
