@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import align, exact_dedup, lexicon, line_dedup, near_dup, packing, pii, planes, quality, sharding, token_counts, toxicity
+from newsflow.llm import align, collocations, exact_dedup, lexicon, line_dedup, near_dup, packing, pii, planes, quality, sharding, token_counts, toxicity
 from newsflow.llm.common import documents
 from newsflow.session import written
 
@@ -70,6 +70,10 @@ def op11_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.digests(planes.read(planes.write(documents(spark, sf_dir), WORD_TOKENIZER)))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(documents(spark, sf_dir), align.vocabularies(BYTE_TOKENIZER, PIECE_MODEL))
 
@@ -77,7 +81,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup, "op2_toxicity": op2_toxicity, "op3_token_counts": op3_token_counts, "op4_sharding": op4_sharding, "op5_pii": op5_pii,
     "op6_bpe": op6_bpe, "op7_near_dup": op7_near_dup, "op8_packing": op8_packing,
-    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality, "op11_binary_ids": op11_binary_ids, "op13_token_alignment": op13_token_alignment,
+    "op9_line_dedup": op9_line_dedup, "op10_quality": op10_quality, "op11_binary_ids": op11_binary_ids, "op12_collocations": op12_collocations, "op13_token_alignment": op13_token_alignment,
 }
 
 OP1_SQL = r"""
@@ -129,4 +133,26 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM c
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL, "op10_quality": OP10_SQL}
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM s, (VALUES (1), (2), (3), (4), (5)) AS x(size) WHERE i + size - 1 <= len(ws)),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+e AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n, ((1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM c JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ') JOIN total ON total.lang = c.lang),
+best AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+free AS (
+  SELECT * FROM best WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = best.lang AND f.size > len(string_split(best.phrase, ' ')) AND 100 * f.a >= 100 * best.a
+      AND contains(' ' || f.phrase || ' ', ' ' || best.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL, "op10_quality": OP10_SQL, "op12_collocations": OP12_SQL}
