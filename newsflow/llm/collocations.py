@@ -40,7 +40,8 @@ PER_LANG = 2000
 COVERED_PERCENT = 100
 BITS = 27  # of the bitmaps: 16 MB
 TRIE_NODES = 1 << 19  # of one trie, at most about
-BLOCK_WORDS = 1 << 21  # words of a task that are counted together
+BLOCK_WORDS = 1 << 18  # words of a task that are held as strings
+HELD_KEYS = 1 << 22  # keys of a task that are counted together
 DISTINCT = 200_000  # distinct words a task holds before it passes their counts on
 
 _TO_SPLIT = b".,;:!?\x0b\x0c\x0d"
@@ -153,11 +154,20 @@ def _keys_frequent(rows: DataFrame, keys_of: Callable[[np.ndarray], np.ndarray],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Hashes] = {}
-        for block in _blocks(batches):
-            keys, n = np.unique(keys_of(hashed(block, known)), return_counts=True)
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            held.clear()
             for at in range(0, len(keys), 1 << 17):
                 yield pa.record_batch([pa.array(keys[at : at + (1 << 17)].view(np.int64)), pa.array(n[at : at + (1 << 17)])], names=["key", "n"])
 
+        for block in _blocks(batches):
+            held.append(keys_of(hashed(block, known)))
+            if sum(map(len, held)) > HELD_KEYS:
+                yield from flush()
+        yield from flush()
+
     counted = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= min_count).select("key")
 
@@ -270,12 +280,13 @@ class Trie:
         del self._states
 
     def _place(self, children: dict[tuple[int, ...], list[int]], n_codes: int) -> None:
-        """Gives every node's children a common base. Nodes of many children first, so that those of one fill the gaps."""
+        """Gives every node's children a common base, those with most children of a level first. A node looks on from
+        where the one before was placed; nodes of one child fill the gaps."""
         room = 2 * n_codes + 2 * len(children) + 2
         base, check = np.zeros(room, np.int64), np.full(room, -1, np.int64)
         check[0] = 0
         states = self._states = {(): 0}
-        free = n_codes + 1  # places before are the root's children
+        free = hint = n_codes + 1  # places before are the root's children
         order = sorted((n for n in children if children[n]), key=lambda n: (len(n), -len(children[n])))
         for node in order:
             codes, state = children[node], states[node]
@@ -283,13 +294,16 @@ class Trie:
                 start = 0
             else:
                 low, span = min(codes), np.array(codes) - min(codes)
-                at = free
-                while True:
-                    if at + int(span[-1] if len(span) == 1 else span.max()) + n_codes >= len(check):
+                at, step = (free, 1) if len(codes) == 1 else (max(free, hint), max(1, 4096 // len(codes)))
+                while True:  # tries so many places at once
+                    while at + step + int(span.max()) + n_codes >= len(check):
                         base, check = np.concatenate([base, np.zeros(room, np.int64)]), np.concatenate([check, np.full(room, -1, np.int64)])
-                    if (check[at + span] < 0).all():
+                    fits = np.flatnonzero((check[at + np.arange(step)[:, None] + span] < 0).all(axis=1))
+                    if len(fits):
+                        at += int(fits[0])
                         break
-                    at += 1
+                    at += step
+                hint = at if len(codes) > 1 else hint
                 start = at - low
             base[state] = start
             for c in codes:
