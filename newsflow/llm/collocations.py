@@ -42,6 +42,7 @@ BITS = 27  # of the bitmaps: 16 MB
 TRIE_NODES = 1 << 19  # of one trie, at most about
 BLOCK_WORDS = 1 << 18  # words of a task that are held as strings
 HELD_KEYS = 1 << 22  # keys of a task that are counted together
+SUMMED = 4096  # phrases whose counts in a task make one row
 DISTINCT = 200_000  # distinct words a task holds before it passes their counts on
 
 _TO_SPLIT = b".,;:!?\x0b\x0c\x0d"
@@ -372,15 +373,21 @@ def _counted(found: DataFrame, trie: Trie, held: list[tuple[str, str]]) -> DataF
     shared = spark.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = np.zeros(len(held), np.int64)
         for block in _blocks(batches):
-            some = shared.value.count(shared.value.encode(block))
-            total = some if total is None else total + some
-        if total is not None:
-            seen = np.flatnonzero(total)
-            yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["i", "n"])
-
-    sums = found.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+            total += shared.value.count(shared.value.encode(block))
+        starts = range(0, len(held), SUMMED)
+        yield pa.record_batch([pa.array(starts, pa.int64()), pa.array([total[i : i + SUMMED].tobytes() for i in starts], pa.binary())], names=["first", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, total = 0, np.zeros(0, np.int64)
+        for batch in batches:
+            for first, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                some = np.frombuffer(counts, np.int64)
+                total = some + total if len(total) else some
+        yield pa.record_batch([pa.array(first + np.arange(len(total))), pa.array(total)], names=["i", "n"])
+
+    sums = found.mapInArrow(run, "first long, counts binary").groupBy("first").applyInArrow(add, "i long, n long")
     names = spark.createDataFrame(pa.table({"i": np.arange(len(held)), "lang": [x[0] for x in held], "phrase": [x[1] for x in held]}))
     return written(sums.join(names, "i").select("lang", "phrase", "n"), "phrases")
 
