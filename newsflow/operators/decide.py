@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import scalars as S
-from newsflow.operators.knn import Bound, knn_join
+from newsflow.operators.knn import Bound, knn_join, query_key
 from newsflow.operators.news import extreme_gate
 
 
@@ -16,15 +16,18 @@ def backtest_stats(hits: DataFrame, queries: DataFrame, q_id: str, sim_threshold
                    ret: str = "return") -> DataFrame:
     """Per query over its neighbours: matches above the threshold, best similarity, wins, win rate.
 
-    Queries without any neighbour get zeros.
+    Queries without any neighbour get zeros. Queries that carry the ``q_key`` of the search are matched by it
+    too, so rows of one id that were searched apart are rated apart.
     """
     valid = F.col("sim") > sim_threshold
-    stats = hits.groupBy("q_id").agg(
+    ours = "q_key" in queries.columns  # then rows of one id have statistics of their own
+    keys = ["q_id", "q_key"] if ours else ["q_id"]
+    stats = hits.groupBy(*keys).agg(
         F.count_if(valid).alias("valid_matches"),
         F.max(F.when(valid, F.col("sim"))).alias("max_similarity"),
         F.count_if(valid & (F.col(ret) > 0)).alias("win_count"),
     )
-    joined = queries.join(stats.withColumnRenamed("q_id", q_id), q_id, "left")
+    joined = queries.join(stats.withColumnRenamed("q_id", q_id), [q_id, *keys[1:]], "left")
     zero = F.lit(0).cast("bigint")
     return joined.select(
         *[f"`{c}`" for c in queries.columns],
@@ -90,18 +93,19 @@ def analysis_decisions(scored: DataFrame, memory: DataFrame, *, q_id: str = "id"
                        point_in_time: bool = False, bounds: Sequence[Bound] = (), **options) -> DataFrame:
     """Decision of the analysis job: extreme scores are back-tested, the others pass undecided."""
     older = [("sentiment_es", "<", "sentiment_es")] if point_in_time else []
-    gated = extreme_gate(scored)
+    limits = [*bounds, *older]
+    gated = extreme_gate(scored).withColumn("q_key", query_key("vector", None, limits))
     asked = gated.where("backtested")
     hits = knn_join(
         asked, memory.where("is_settled"), k, q_id=q_id, m_id=m_id, q_vec="vector", m_vec="vector", carry=[ret],
-        bounds=[*bounds, *older], **options,
+        bounds=limits, **options,
     )
-    stats = backtest_stats(hits, asked.select(q_id).distinct(), q_id, sim_threshold, ret)
+    stats = backtest_stats(hits, asked.select(q_id, "q_key").distinct(), q_id, sim_threshold, ret)
     decided = stats.select(
-        q_id,
+        q_id, "q_key",
         S.buy_decision(F.col("max_similarity"), F.col("win_rate"), sim_threshold, win_threshold).alias("decision"),
         F.when(
             (F.col("max_similarity") > sim_threshold) & (F.col("win_rate") > win_threshold), F.col("win_rate")
         ).alias("win_rate_calc"),
     )
-    return gated.join(decided, q_id, "left")
+    return gated.join(decided, [q_id, "q_key"], "left").drop("q_key")

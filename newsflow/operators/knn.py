@@ -58,6 +58,7 @@ def _best(asked: dict, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) ->
             at, hit = _top_cells(sim, _allowed(q, rows, bounds, sim.shape), k)
             found = rows.loc[hit, keep].reset_index(drop=True)
             found.insert(0, "q_id", q["q_id"].to_numpy()[at])
+            found.insert(1, "q_key", q["q_key"].to_numpy()[at])
             found["sim"] = sim[at, hit]
             out.append(found)
     return pd.concat(out, ignore_index=True) if out else None
@@ -106,19 +107,33 @@ def _block_of(ident: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(ident), blocks)
 
 
+def query_key(q_vec: str, part: str | None = None, bounds: Sequence[Bound] = ()) -> Column:
+    """Tells query rows of one id apart: a hash of the vector, the partition value and the bounds."""
+    return F.xxhash64(q_vec, *([part] if part else []), *[b[2] for b in bounds])
+
+
 def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str,
              m_vec: str, part: tuple[str, str] | None = None, bounds: Sequence[Bound] = (),
              carry: Sequence[str] = (), block_rows: int = 8192) -> DataFrame:
-    """The ``k`` most cosine-similar memory rows of each query: ``q_id, m_id, sim, rank`` + ``carry``.
+    """The ``k`` most cosine-similar memory rows of each query: ``q_id, q_key, m_id, sim, rank`` + ``carry``.
 
     ``part`` names an equality between a query and a memory column; ``bounds`` are further
     comparisons. All of them hold before the ranking, so no valid neighbour is lost. Equal
-    similarities rank by memory id. Rows of one ``q_id`` (and partition value) are one query and are searched once; join
-    the neighbours back by ``q_id``. Nothing runs while the search is being built.
+    similarities rank by memory id. Every query row has its own neighbours: rows of one ``q_id`` that differ
+    in vector, partition value or bounds have different ``q_key`` (see ``query_key``), copies are searched
+    once. Nothing runs while the search is being built.
     """
+    keyed = queries.withColumn("_key", query_key(q_vec, part and part[0], bounds))
+    return top_k(_winners(keyed, memory, k, q_id, m_id, q_vec, m_vec, part, bounds, carry, block_rows), k)
+
+
+def _winners(queries: DataFrame, memory: DataFrame, k: int, q_id: str, m_id: str, q_vec: str, m_vec: str, part: tuple[str, str] | None,
+             bounds: Sequence[Bound], carry: Sequence[str], block_rows: int) -> DataFrame:
+    """The best ``k`` rows of each query within each pair of blocks."""
     q_part, m_part = part if part else (None, None)
     q = queries.where(F.col(q_vec).isNotNull()).select(
         F.col(q_id).alias("q_id"),
+        F.col("_key").alias("q_key"),
         F.col(q_vec).alias("q_vec"),
         (F.col(q_part) if q_part else F.lit(0)).cast("bigint").alias("q_part"),
         *[F.col(b[2]).alias(f"qb_{i}") for i, b in enumerate(bounds)],
@@ -134,14 +149,14 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
         subset=["m_id", "m_part"] + [f"mb_{i}" for i in range(len(bounds))]
     )
     out = T.StructType(
-        [T.StructField("q_id", q.schema["q_id"].dataType), T.StructField("m_id", m.schema["m_id"].dataType)]
+        [T.StructField("q_id", q.schema["q_id"].dataType), T.StructField("q_key", T.LongType()), T.StructField("m_id", m.schema["m_id"].dataType)]
         + [T.StructField(c, m.schema[c].dataType) for c in carry]
         + [T.StructField("sim", T.DoubleType())]
     )
     columns = out.fieldNames()
 
-    fields = [c for c in q.columns if c not in ("q_id", "q_part")]
-    q = q.groupBy("q_id", "q_part").agg(F.min(F.struct(*fields)).alias("_q")).select("q_id", "q_part", "_q.*")
+    fields = [c for c in q.columns if c not in ("q_id", "q_key", "q_part")]
+    q = q.groupBy("q_id", "q_key", "q_part").agg(F.min(F.struct(*fields)).alias("_q")).select("q_id", "q_key", "q_part", "_q.*")
     if part:
         blocks = _sizes(q, "q_part", "_q_blocks", block_rows).join(_sizes(m, "m_part", "_m_blocks", block_rows), "_part")
         sized = lambda rows: rows.join(blocks, "_part")
@@ -158,15 +173,14 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
         .withColumn("_mb", _block_of("m_id", F.col("_m_blocks"))).withColumn("_qb", every("_q_blocks")).drop("_q_blocks", "_m_blocks")
     )
     keys = ["_p", "_mb", "_qb"]
-    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         partial(_score_blocks, k=k, bounds=tuple(bounds), columns=columns), out
     )
-    return top_k(hits, k)
 
 
 def top_k(hits: DataFrame, k: int) -> DataFrame:
     """Rank the local winners. Spark cuts each group to ``k`` before the shuffle."""
-    best = Window.partitionBy("q_id").orderBy(F.round("sim", _RANK_DIGITS).desc(), "m_id")
+    best = Window.partitionBy("q_id", "q_key").orderBy(F.round("sim", _RANK_DIGITS).desc(), "m_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
@@ -207,11 +221,13 @@ def knn_ivf(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: s
     """
     centres = centres or fit_cells(memory, m_vec, nlist, seed)
     m = memory.where(F.col(m_vec).isNotNull()).withColumn("_cell", nearest_cells(F.col(m_vec), centres, 1)[0])
-    q = queries.where(F.col(q_vec).isNotNull()).withColumn(
-        "_cell", F.explode(nearest_cells(F.col(q_vec), centres, nprobe))
-    )
-    hits = knn_join(
-        q, m, k, q_id=q_id, m_id=m_id, q_vec=q_vec, m_vec=m_vec, part=("_cell", "_cell"),
-        carry=carry, bounds=bounds, **options,
-    ).drop("rank")
-    return top_k(hits, k)
+    q = queries.where(F.col(q_vec).isNotNull()).withColumn("_cell", F.explode(nearest_cells(F.col(q_vec), centres, nprobe)))
+    return search_cells(q, m, k, q_id=q_id, m_id=m_id, q_vec=q_vec, m_vec=m_vec, carry=carry, bounds=bounds, **options)
+
+
+def search_cells(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str, m_vec: str,
+                 carry: Sequence[str] = (), bounds: Sequence[Bound] = (), block_rows: int = 8192) -> DataFrame:
+    """``knn_join`` between queries with a row per probed ``_cell`` and memory rows of that ``_cell``; the cells'
+    winners are ranked once."""
+    keyed = queries.withColumn("_key", query_key(q_vec, None, bounds))
+    return top_k(_winners(keyed, memory, k, q_id, m_id, q_vec, m_vec, ("_cell", "_cell"), bounds, carry, block_rows), k)

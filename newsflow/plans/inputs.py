@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Names what is derived from a table: other files, or files of another size or time, give another name."""
+    files = table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    found = files.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("files")).select(F.md5(F.to_json("files"))).first()[0]
+    return f"{name}-{found}"
+
+
 def symbol_of(number: str) -> str:
     cases = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(SYMBOLS))
     return f"CASE {number} % {len(SYMBOLS)} {cases} END"

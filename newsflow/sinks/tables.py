@@ -26,7 +26,7 @@ def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows at ``path``, or an empty frame when nothing is there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -38,25 +38,25 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def _published(spark: SparkSession, root: str) -> tuple[int, int]:
     """Newest version and the last batch inside it; (-1, -1) before the first."""
-    last = _read(spark, f"{root}/versions", _VERSION).agg(
+    last = read_or_empty(spark, f"{root}/versions", _VERSION).agg(
         F.max("version").alias("v"), F.max_by("upto_batch", "version").alias("b")
     ).first()
     return (-1, -1) if last["v"] is None else (last["v"], last["b"])
 
 
 def _delta(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return _read(spark, f"{root}/delta", T.StructType(schema.fields + _BATCH.fields))
+    return read_or_empty(spark, f"{root}/delta", T.StructType(schema.fields + _BATCH.fields))
 
 
 def last_batch(spark: SparkSession, root: str) -> int:
     """Number of the newest batch, -1 before the first."""
-    last = _read(spark, f"{root}/delta", _BATCH).agg(F.max("batch_id")).first()[0]
+    last = read_or_empty(spark, f"{root}/delta", _BATCH).agg(F.max("batch_id")).first()[0]
     return max(_published(spark, root)[1], -1 if last is None else last)
 
 
 def read_batch(spark: SparkSession, root: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """The stored rows of one micro-batch."""
-    return _read(spark, f"{root}/delta/batch_id={batch_id}", schema)
+    return read_or_empty(spark, f"{root}/delta/batch_id={batch_id}", schema)
 
 
 def read_appended(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: lis
     base = (
         spark.createDataFrame([], schema)
         if version < 0
-        else _read(spark, f"{root}/base/v={version}", schema).select(names)
+        else read_or_empty(spark, f"{root}/base/v={version}", schema).select(names)
     )
     if keys is None:
         return base.unionByName(delta.select(names))
