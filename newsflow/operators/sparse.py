@@ -1,18 +1,25 @@
 """Search over sparse vectors by inverted slot lists with upper bounds.
 
-A vector is a few rows ``(id, slot, unit)``; all weights are at least zero and a vector has length one.
-``top_k`` never compares a query with every stored vector: the heads of the slot lists give each query a
-score that its k best surely reach, slots whose largest weights together stay below that score are left out of
-the search for candidates, and a candidate is completed only if it can still reach the score.
+A vector is a few rows ``(id, slot, unit)``; all weights are at least zero and a vector has length one. Both
+sides are cut into blocks. A task turns a block of stored vectors into slot lists and follows, for each query,
+the lists of its slots, those with the largest possible share first. Once what is left of the query cannot lift
+another vector to the k best, no further list is read: the few vectors that still can get there are completed from
+their own rows. Vectors never meet as pairs of dense rows, and only a block's best leave the task.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RANK_DIGITS = 10  # similarities equal to this many digits are ties, broken by the id
-HEAD = 64  # entries of largest weight that a slot list shows first
+BLOCK_ROWS = 2048  # vectors of a block
+LOOK_EVERY = 4  # lists read between two looks at the bounds
 _SLACK = 1e-9  # sums in another order differ by less
 
 
@@ -35,54 +42,85 @@ def hashed_words(rows: DataFrame, ident: str, text: str, dim: int) -> DataFrame:
     return weighed.select("id", "slot", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(every))).alias("unit"))
 
 
-def _first(rows: DataFrame, k: int, by: list[str], order: list[Column]) -> DataFrame:
-    """The first ``k`` rows of each group, numbered; Spark cuts the groups before the shuffle."""
-    window = Window.partitionBy(*by).orderBy(*order)
-    return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
-
-
-def least_scores(queries: DataFrame, memory: DataFrame, k: int, head: int = HEAD) -> DataFrame:
-    """``q_id, least``: a score that at least ``k`` stored vectors reach, 0 where the heads show fewer."""
-    heads = _first(memory, head, ["slot"], [F.desc("unit"), F.col("id")]).select("slot", F.col("id").alias("m_id"), F.col("unit").alias("m_unit"))
-    partial = queries.join(heads, "slot").groupBy(F.col("id").alias("q_id"), "m_id").agg(F.sum(F.col("unit") * F.col("m_unit")).alias("sim"))
-    best = _first(partial, k, ["q_id"], [F.desc("sim"), F.col("m_id")])
-    return best.groupBy("q_id").agg(F.when(F.count(F.lit(1)) == k, F.min("sim")).otherwise(0.0).alias("least"))
-
-
-def split_slots(queries: DataFrame, memory: DataFrame, least: DataFrame) -> DataFrame:
-    """The queries' slots with ``bound`` (most a slot can add), ``essential``, ``least`` and ``rest``.
-
-    Slots that cost most entries for what they can add go first into the rest; as long as their bounds add up to
-    less than ``least``, a vector found in none of the other slots cannot be among the best.
-    """
-    lists = memory.groupBy("slot").agg(F.max("unit").alias("top"), F.count(F.lit(1)).alias("entries"))
-    known = queries.join(lists, "slot").join(least, F.col("id") == F.col("q_id"))  # slots no vector has add nothing
-    bounded = known.withColumn("bound", F.col("unit") * F.col("top"))
-    order = Window.partitionBy("q_id").orderBy(F.col("bound") / F.col("entries"), "slot").rowsBetween(Window.unboundedPreceding, 0)
-    spent = F.sum("bound").over(order)
-    parted = bounded.withColumn("essential", spent >= F.col("least") - _SLACK)
-    rest = F.sum(F.when(~F.col("essential"), F.col("bound")).otherwise(0.0)).over(Window.partitionBy("q_id"))
-    return parted.select("q_id", "slot", "unit", "essential", "least", rest.alias("rest"))
-
-
-def candidates(slots: DataFrame, memory: DataFrame) -> DataFrame:
-    """``q_id, m_id, part``: vectors in an essential slot list that can still reach the least score."""
-    asked = slots.where("essential").select("q_id", "slot", F.col("unit").alias("q_unit"), "least", "rest")
-    met = asked.join(memory.withColumnRenamed("id", "m_id"), "slot")
-    summed = met.groupBy("q_id", "m_id").agg(F.sum(F.col("q_unit") * F.col("unit")).alias("part"), F.first("least").alias("least"), F.first("rest").alias("rest"))
-    return summed.where(F.col("part") + F.col("rest") >= F.col("least") - _SLACK).select("q_id", "m_id", "part")
-
-
-def top_k(queries: DataFrame, memory: DataFrame, k: int, head: int = HEAD) -> DataFrame:
+class SlotLists:
+    """A block of stored vectors: by slot for the search, by vector to complete what it finds."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        ids, vector = np.unique(rows["id"].to_numpy(), return_inverse=True)
+        slots, slot = np.unique(rows["slot"].to_numpy(), return_inverse=True)
+        unit = rows["unit"].to_numpy()
+        self.ids, self.place = ids, {s: i for i, s in enumerate(slots.tolist())}
+        order = np.argsort(slot, kind="stable")
+        self.vectors, self.units = vector[order], unit[order]
+        self.ends = np.searchsorted(slot[order], np.arange(len(slots) + 1))
+        self.tops = np.maximum.reduceat(self.units, self.ends[:-1])
+        own = np.argsort(vector, kind="stable")
+        self.own_slots, self.own_units = slot[own], unit[own]
+        self.own_ends = np.searchsorted(vector[own], np.arange(len(ids) + 1))
+
+    def search(self, slots: np.ndarray, units: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions in ``ids`` and similarities of the best ``k``, and how many list entries were read."""
+        held = [(self.place[s], u) for s, u in zip(slots.tolist(), units.tolist(), strict=True) if s in self.place]
+        known, shares = np.array([s for s, _ in held], np.int64), np.array([u for _, u in held])
+        bounds = shares * self.tops[known]
+        order = np.argsort(-bounds, kind="stable")
+        known, shares, bounds = known[order], shares[order], bounds[order]
+        starts, stops = self.ends[known].tolist(), self.ends[known + 1].tolist()
+        rest = np.cumsum(bounds[::-1])[::-1]  # most that the lists from here on can add
+        unread = np.cumsum((self.ends[known + 1] - self.ends[known])[::-1])[::-1]
+        sims, read = np.zeros(len(self.ids)), 0
+        for i, u in enumerate(shares.tolist()):
+            if i and i % LOOK_EVERY == 0 and len(sims) > k:
+                least = float(np.partition(sims, len(sims) - k)[len(sims) - k])
+                if rest[i] < least:  # what no list has shown so far cannot reach the best any more
+                    able = np.flatnonzero(sims + rest[i] >= least - _SLACK)
+                    if (self.own_ends[able + 1] - self.own_ends[able]).sum() < unread[i]:
+                        return *self._best(able, self._complete(able, known, shares), k), read
+            at = slice(starts[i], stops[i])
+            sims[self.vectors[at]] += u * self.units[at]
+            read += stops[i] - starts[i]
+        able = np.flatnonzero(sims)
+        return *self._best(able, sims[able], k), read
+
+    def _complete(self, able: np.ndarray, known: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """The whole similarities of some vectors, from their own rows."""
+        asked = np.zeros(len(self.place))
+        asked[known] = shares
+        sizes = self.own_ends[able + 1] - self.own_ends[able]
+        at = np.repeat(self.own_ends[able] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.add.reduceat(asked[self.own_slots[at]] * self.own_units[at], np.cumsum(sizes) - sizes)
+
+    @staticmethod
+    def _best(able: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((able, -np.round(sims, RANK_DIGITS)))[:k]
+        return able[order], sims[order]
+
+
+def _search_blocks(asked: pd.DataFrame, rows: pd.DataFrame, *, k: int) -> pd.DataFrame:
+    out: dict[str, list] = {"q_id": [], "m_id": [], "sim": []}
+    if len(asked) and len(rows):
+        lists = SlotLists(rows)
+        for ident, query in asked.groupby("id", sort=False):
+            found, sims, _ = lists.search(query["slot"].to_numpy(), query["unit"].to_numpy(), k)
+            out["q_id"] += [ident] * len(found)
+            out["m_id"] += lists.ids[found].tolist()
+            out["sim"] += sims.tolist()
+    return pd.DataFrame(out)
+
+
+def top_k(queries: DataFrame, memory: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` most cosine-similar stored vectors of each query: ``q_id, m_id, sim, rank``.
 
-    Both sides hold ``id, slot, unit``; pass written frames, both are read several times. Vectors that share
-    no slot with a query are never its neighbours. Equal similarities rank by the stored id.
+    Both sides hold ``id, slot, unit``; pass written frames, both are read twice. Vectors that share no slot
+    with a query are never its neighbours. Equal similarities rank by the stored id.
     """
-    slots = split_slots(queries, memory, least_scores(queries, memory, k, head))
-    found = candidates(slots, memory)
-    others = slots.where("NOT essential").select("q_id", "slot", F.col("unit").alias("q_unit"))
-    more = found.join(others, "q_id").join(memory.withColumnRenamed("id", "m_id"), ["m_id", "slot"])
-    added = more.groupBy("q_id", "m_id").agg(F.sum(F.col("q_unit") * F.col("unit")).alias("more"))
-    whole = found.join(added, ["q_id", "m_id"], "left").select("q_id", "m_id", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("sim"))
-    return _first(whole, k, ["q_id"], [F.round("sim", RANK_DIGITS).desc(), F.col("m_id")])
+    blocks = lambda rows: rows.agg(F.greatest(F.ceil(F.count_distinct("id") / block_rows), F.lit(1))).scalar()
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    sized = lambda rows: rows.withColumn("_nq", blocks(queries)).withColumn("_nm", blocks(memory))
+    of = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    left = sized(queries).select("id", "slot", "unit", of("_nq").alias("_qb"), every(F.col("_nm")).alias("_mb"))
+    right = sized(memory).select("id", "slot", "unit", of("_nm").alias("_mb"), every(F.col("_nq")).alias("_qb"))
+    out = T.StructType([T.StructField("q_id", queries.schema["id"].dataType), T.StructField("m_id", memory.schema["id"].dataType), T.StructField("sim", T.DoubleType())])
+    hits = left.groupBy("_mb", "_qb").cogroup(right.groupBy("_mb", "_qb")).applyInPandas(partial(_search_blocks, k=k), out)
+    best = Window.partitionBy("q_id").orderBy(F.round("sim", RANK_DIGITS).desc(), "m_id")
+    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -442,7 +442,7 @@ def knn_settled_top10(spark, d):
     hits AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(sim, 10) DESC, m_id) AS rank FROM pairs QUALIFY rank <= 2) {HIT_SQL}""")
 def semantic_search_top2(spark, d):
     q, m = (
-        written(sparse.hashed_words(I.table(spark, d, name), ident, "text", TEXT_DIM), name)
+        written(sparse.hashed_words(enrich.spread(I.table(spark, d, name).select(ident, "text"), _partitions(spark)), ident, "text", TEXT_DIM), name)
         for name, ident in (("benchmark", "item_id"), ("documents", "doc_id"))
     )
     return _hit_columns(sparse.top_k(q, m, 2))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from newsflow import schemas
 from newsflow.config import JobConfig
 from newsflow.operators import asof, bars as B, settle
 from newsflow.functions import scalars as S
@@ -114,7 +113,7 @@ class _IndicatorProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("rolling", _ROLLING_STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803
         new = pd.concat(rows, ignore_index=True).dropna(subset=list(_VALUES)).sort_values("timestamp", kind="stable")
         state = self.held.get() if self.held.exists() else None
         rolling, newest = RollingIndicators.restored(state, self.length, self.limit), None if state is None else state[4]
@@ -149,11 +148,15 @@ def streaming_indicators(bars: DataFrame, by: str, length: int = 14, limit: int
 
 DUE = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("symbol", T.StringType()), T.StructField("price_at_t", T.DoubleType()),
                     T.StructField("timestamp", T.LongType()), T.StructField("due", T.LongType())])
+_EVENT = "event-"
 CLOCKS = 64  # keys that carry the time of ticks
 
 
 class _DueProcessor(StatefulProcessor):
-    """Holds each event until event time has passed its age; then it comes out, once."""
+    """Holds each event until event time has passed its age; then it comes out and is forgotten.
+
+    An event that is sent again after that comes out again later; the settlement log knows it.
+    """
 
     def __init__(self, age_ms: int) -> None:
         self.age_ms = age_ms
@@ -162,20 +165,19 @@ class _DueProcessor(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("event", "symbol string, price_at_t double, timestamp bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803
         for part in rows:
-            events = part[~part["_tick"]].sort_values("timestamp", kind="stable")
-            if len(events) and not self.held.exists():  # the first sighting counts
-                first = events.iloc[0]
+            if key[0].startswith(_EVENT) and len(part) and not self.held.exists():  # the first sighting counts
+                first = part.sort_values("timestamp", kind="stable").iloc[0]
                 symbol = None if pd.isna(first["symbol"]) else str(first["symbol"])
                 price = None if pd.isna(first["price_at_t"]) else float(first["price_at_t"])
                 self.held.update((symbol, price, int(first["timestamp"])))
                 self.handle.registerTimer(int(first["timestamp"]) + self.age_ms)
         yield self._rows([])
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N803
         symbol, price, at = self.held.get()
-        # the state stays, so that an event sent again is not settled again
+        self.held.clear()
         yield self._rows([(key[0], symbol, price, at, at + self.age_ms)])
 
     @staticmethod
@@ -194,13 +196,13 @@ def due_events(events: DataFrame, ticks: DataFrame, age_ms: int = settle.DAY_MS,
     dealt over a few keys without state.
     """
     clock = ticks.select(F.concat(F.lit("clock-"), F.pmod(F.xxhash64("timestamp"), F.lit(CLOCKS))).alias("event_id"), F.lit(None).cast("string").alias("symbol"),
-                         F.lit(None).cast("double").alias("price_at_t"), "timestamp", F.lit(True).alias("_tick"))
+                         F.lit(None).cast("double").alias("price_at_t"), "timestamp")
     known = events.where("event_id IS NOT NULL AND timestamp IS NOT NULL").select(
-        F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("event_id"), F.col("symbol").cast("string").alias("symbol"),
-        F.col("price_at_t").cast("double").alias("price_at_t"), "timestamp", F.lit(False).alias("_tick"))
+        F.concat(F.lit(_EVENT), F.col("event_id").cast("string")).alias("event_id"), F.col("symbol").cast("string").alias("symbol"),
+        F.col("price_at_t").cast("double").alias("price_at_t"), "timestamp")
     both = known.unionByName(clock).withColumn("_at", F.timestamp_millis("timestamp")).withWatermark("_at", delay)
     out = both.groupBy("event_id").transformWithStateInPandas(_DueProcessor(age_ms), DUE, "append", "eventTime")
-    return out.withColumn("event_id", F.substring("event_id", len("event-") + 1, 2**31 - 1))
+    return out.withColumn("event_id", F.substring("event_id", len(_EVENT) + 1, 2**31 - 1))
 
 
 def first_price_after(due: DataFrame, prices: DataFrame, by: list[str]) -> DataFrame:
@@ -242,7 +244,6 @@ def age_settlement_batch(cfg: JobConfig, settle_root: str, prices: Callable[[],
     return work
 
 
-def pending_events(memory: DataFrame) -> DataFrame:
+def pending_events(memory: DataFrame, symbol: str) -> DataFrame:
     """Stored news (see ``schemas.MEMORY``) as events for ``due_events``: those not settled, at their own time."""
-    symbol = F.col("symbol") if "symbol" in memory.columns else F.lit(schemas.DEFAULT_SYMBOL)
-    return memory.where("NOT is_settled").select("event_id", symbol.alias("symbol"), "price_at_t", F.col("pub_date").alias("timestamp"))
+    return memory.where("NOT is_settled").select("event_id", F.lit(symbol).alias("symbol"), "price_at_t", F.col("pub_date").alias("timestamp"))

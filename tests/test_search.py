@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,8 +102,8 @@ def brute(queries, memory, k, dim):
     return {i: js for i, js in out.items() if js}
 
 
-@pytest.mark.parametrize("dim, head, k", [(64, 2, 3), (16, 64, 2), (4096, 1, 5)])
-def test_sparse_search_equals_brute_force(spark, dim, head, k):
+@pytest.mark.parametrize("dim, block, k", [(64, 40, 3), (16, 8192, 2), (4096, 7, 5)])
+def test_sparse_search_equals_brute_force(spark, dim, block, k):
     rng = random.Random(dim)
     words = [f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(400)]
     text = lambda n: " ".join(rng.choice(words) for _ in range(rng.randint(1, n)))
@@ -111,18 +112,31 @@ def test_sparse_search_equals_brute_force(spark, dim, head, k):
     queries = [(i, text(12)) for i in range(30)] + [(99, ""), (98, memory[3][1]), (97, "unseen-word-xyz")]
     q, m = (sparse.hashed_words(spark.createDataFrame(x, "id bigint, text string"), "id", "text", dim) for x in (queries, memory))
     found = {}
-    for r in sparse.top_k(q, m, k, head).orderBy("q_id", "rank").collect():
+    for r in sparse.top_k(q, m, k, block).orderBy("q_id", "rank").collect():
         found.setdefault(r.q_id, []).append(r.m_id)
     assert found == brute(queries, memory, k, dim)
 
 
-def test_bounds_leave_candidates_out(spark):
-    """A query equal to a stored text needs few of the slot lists, and few of the vectors."""
-    rng = random.Random(5)
-    memory = [(i, " ".join(f"w{rng.randrange(2000)}" for _ in range(30)) + " the of and") for i in range(300)]
-    q, m = (sparse.hashed_words(spark.createDataFrame(x, "id bigint, text string"), "id", "text", 4096) for x in (memory[:20], memory))
-    least = sparse.least_scores(q, m, 1)
-    slots = sparse.split_slots(q, m, least)
-    assert {r.q_id for r in least.where("least > 0.9").collect()} == set(range(20))
-    assert slots.where("NOT essential").count() > 0
-    assert sparse.candidates(slots, m).count() < 20 * 300 / 10
+def test_bounds_leave_lists_unread():
+    """A query equal to a stored text stops before the long lists, with the same answer as reading them all."""
+    rng = np.random.default_rng(5)
+    rows, common = [], [5000, 5001, 5002]
+    for i in range(400):
+        slots = [*rng.choice(5000, 30, replace=False).tolist(), *common]
+        weights = np.array([*(1 + rng.random(30)), 0.3, 0.3, 0.3])
+        rows += [(i, s, u) for s, u in zip(slots, weights / np.linalg.norm(weights), strict=True)]
+    rows = pd.DataFrame(rows, columns=["id", "slot", "unit"])
+    lists = sparse.SlotLists(rows)
+    dense = np.zeros((400, 5003))
+    dense[rows.id, rows.slot] = rows.unit
+    spared, entries = 0, rows.slot.value_counts()
+    for i in range(400):
+        mine = rows[rows.id == i]
+        found, sims, read = lists.search(mine.slot.to_numpy(), mine.unit.to_numpy(), 2)
+        exact = dense @ dense[i]
+        want = np.lexsort((np.arange(400), -np.round(exact, 10)))[:2]
+        assert found.tolist() == want.tolist() and np.allclose(sims, exact[want])
+        spared += read < entries[mine.slot].sum()
+    assert spared > 0
+    mine = rows[rows.id == 3]
+    assert lists.search(mine.slot.to_numpy(), mine.unit.to_numpy(), 1)[2] < entries[mine.slot].sum()
