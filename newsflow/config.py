@@ -28,11 +28,19 @@ class JobConfig:
     signal_path: str | None = None
     reject_path: str | None = None
     checkpoint_path: str | None = None
-    # stage limits: (seconds, calls in flight per task)
+    # fixed values: seconds, and calls in flight over the whole cluster, of each stage that asks a model
     score_timeout_s: float = 120.0
     score_capacity: int = 2
     embed_timeout_s: float = 10.0
     embed_capacity: int = 50
+    analysis_score_timeout_s: float = 60.0
+    analysis_score_capacity: int = 20
+    analysis_embed_timeout_s: float = 30.0
+    analysis_embed_capacity: int = 50
+    risk_embed_timeout_s: float = 30.0
+    risk_embed_capacity: int = 100
+    # tasks that share a stage's calls
+    call_tasks: int = 8
     # back-test and decision
     top_k: int = 5
     sim_threshold: float = 0.9

@@ -153,11 +153,15 @@ def _run_calls(texts: Iterable[str | None], call: Client, in_flight: int, timeou
 
 
 def enrich(rows: DataFrame, text: str, out: str, client: ClientFactory, value_type: T.DataType, *,
-           capacity: int = 50, timeout_s: float = 10.0, retries: int = 1, tasks: int = 1, ordered: bool = True) -> DataFrame:
+           capacity: int = 50, timeout_s: float = 10.0, retries: int = 1, tasks: int | None = None, ordered: bool = True) -> DataFrame:
     """Adds ``out``: a struct ``ok, error, value``. Only the text column travels to Python.
 
-    ``capacity`` calls may run at once in all; each of the ``tasks`` that run side by side gets its share.
+    With ``tasks`` at most ``capacity`` calls run at once in the whole cluster: the rows are dealt into so many
+    partitions (no more than ``capacity``), and each has its share of the calls. Without it, the ceiling is that of one
+    task. A task that is run twice at the same time, by speculation, counts twice.
     """
+    dealt = None if tasks is None else max(1, min(tasks, capacity))
+    share = max(1, capacity // (dealt or 1))
     result = T.StructType(
         [
             T.StructField("ok", T.BooleanType()),
@@ -170,7 +174,7 @@ def enrich(rows: DataFrame, text: str, out: str, client: ClientFactory, value_ty
     def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         call = client()
         for texts in batches:
-            done = _run_calls(texts.tolist(), call, max(1, capacity // tasks), timeout_s, retries, ordered)
+            done = _run_calls(texts.tolist(), call, share, timeout_s, retries, ordered)
             yield pd.DataFrame(
                 {
                     "ok": [d[0] for d in done],
@@ -180,7 +184,8 @@ def enrich(rows: DataFrame, text: str, out: str, client: ClientFactory, value_ty
             )
 
     # an outside call must not be repeated or moved by the optimiser
-    return rows.withColumn(out, lookup.asNondeterministic()(F.col(text)))
+    spread_out = rows if dealt is None else spread(rows, dealt)
+    return spread_out.withColumn(out, lookup.asNondeterministic()(F.col(text)))
 
 
 def split_failed(rows: DataFrame, out: str, on_error: str = "dlq") -> tuple[DataFrame, DataFrame | None]:
@@ -204,7 +209,7 @@ def split_failed(rows: DataFrame, out: str, on_error: str = "dlq") -> tuple[Data
 
 
 def score_news(news: DataFrame, client: ClientFactory = digest_scorer, *, capacity: int = 2,
-               timeout_s: float = 120.0) -> DataFrame:
+               timeout_s: float = 120.0, tasks: int | None = None, ordered: bool = True) -> DataFrame:
     """News with ``sentiment``: ok, error, value(sentiment_score, sentiment_reason).
 
     A reply without a readable object, or with a score outside 1..10, is an error of its row.
@@ -212,7 +217,7 @@ def score_news(news: DataFrame, client: ClientFactory = digest_scorer, *, capaci
     asked = news.withColumn(
         "_ask", S.scoring_prompt(S.title_and_summary(F.col("title"), F.col("summary")))
     )
-    replied = enrich(asked, "_ask", "_reply", client, REPLY_TYPE, capacity=capacity, timeout_s=timeout_s)
+    replied = enrich(asked, "_ask", "_reply", client, REPLY_TYPE, capacity=capacity, timeout_s=timeout_s, tasks=tasks, ordered=ordered)
     return parse_replies(replied).drop("_ask")
 
 
@@ -251,5 +256,5 @@ def flatten_score(scored: DataFrame, now=None) -> DataFrame:
 
 
 def embed(rows: DataFrame, text: str, client: ClientFactory, out: str = "vector", *, capacity: int = 50,
-          timeout_s: float = 10.0) -> DataFrame:
-    return enrich(rows, text, out, client, VECTOR_TYPE, capacity=capacity, timeout_s=timeout_s)
+          timeout_s: float = 10.0, tasks: int | None = None, ordered: bool = True) -> DataFrame:
+    return enrich(rows, text, out, client, VECTOR_TYPE, capacity=capacity, timeout_s=timeout_s, tasks=tasks, ordered=ordered)

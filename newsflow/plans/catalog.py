@@ -249,11 +249,12 @@ def _chain_logs(spark, d):
     return chain.logs(chain.route(I.chain_messages(spark, d)))
 
 
-@query("keyed_partitioning", f"""WITH {O.CHAIN} SELECT low_address AS key, blockNumber AS "blockNumber", logIndex AS "logIndex", hash AS "transactionHash" FROM logs""")
+@query("keyed_partitioning", f"""WITH {O.CHAIN} SELECT low_address AS key, blockNumber AS "blockNumber", logIndex AS "logIndex", hash AS "transactionHash",
+    row_number() OVER (PARTITION BY low_address ORDER BY blockNumber, logIndex) - 1 AS sequence FROM logs""")
 def keyed_partitioning(spark, d):
     rows = _chain_logs(spark, d).withColumn("key", S.normal_hex(F.col("address")))
-    ordered = topics.keyed_order(rows, "key", ["blockNumber", "logIndex"], _partitions(spark))
-    return ordered.select("key", "blockNumber", "logIndex", "transactionHash")
+    ordered = topics.numbered(rows, "key", ["blockNumber", "logIndex"], _partitions(spark))
+    return ordered.select("key", "blockNumber", "logIndex", "transactionHash", "sequence")
 
 
 # ============================================================================ projections, filters, routing

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from newsflow.config import JobConfig
+from newsflow.session import written
 
 
 def to_json_value(rows: DataFrame, key: str | None = None) -> DataFrame:
@@ -21,14 +22,31 @@ def round_robin(rows: DataFrame, partitions: int) -> DataFrame:
 
 
 def keyed_order(rows: DataFrame, key: str, order: list[str], partitions: int) -> DataFrame:
-    """Rows sorted by key and order over all partitions, so each key's rows leave in order.
+    """Rows sorted by key and order over all partitions.
 
     The ranges are cut by volume: a key with very many rows lies in several neighbouring partitions
-    instead of overloading one.
+    instead of overloading one. These partitions are sent side by side, so a receiver that needs such a key in
+    order goes by the numbers of ``numbered``.
     """
     return rows.repartitionByRange(partitions, key, *order).sortWithinPartitions(key, *order)
 
 
+def numbered(rows: DataFrame, key: str, order: list[str], partitions: int, name: str = "sequence") -> DataFrame:
+    """``keyed_order`` with a gapless number from 0 for each row within its key; ``order`` is unique within a key.
+
+    Two-level prefix sums: rows are numbered within their part of the key, and each part starts where the parts
+    before it end. The parts are the sorted ranges, written once, so a hot key is numbered by several tasks and a
+    lost one numbers its rows again alike. Rows without a key are numbered as one key.
+    """
+    placed = written(keyed_order(rows, key, order, partitions).withColumn("_part", F.spark_partition_id()), "ordered")
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select(F.col(key).alias("_key"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order))
+    joined = placed.withColumn("_at", within).join(starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")))
+    return joined.select(*[f"`{c}`" for c in rows.columns], (F.col("_start") + F.col("_at") - 1).alias(name))
+
+
 def in_input_order(rows: DataFrame, partition: str, offset: str) -> DataFrame:
     """Emit the rows of each input partition by offset."""
     return rows.sortWithinPartitions(partition, offset)

@@ -158,12 +158,12 @@ def trading_rows(items: DataFrame, klines: DataFrame, models: Models, cfg: JobCo
     values = ["rsi_14", "atr_14", "price_at_t"]
     near = asof.reachable_rows(prices.select(*by, "timestamp", *values), "timestamp", by, low or 0, high or 0)
     featured = asof.asof_join(usable, near, "pubDate", "timestamp", by, values)
-    scored = enrich.score_news(featured, models.scorer, capacity=cfg.score_capacity, timeout_s=cfg.score_timeout_s)
+    scored = enrich.score_news(featured, models.scorer, capacity=cfg.score_capacity, timeout_s=cfg.score_timeout_s, tasks=cfg.call_tasks)
     flat = scored.withColumn("raw_content", F.when(F.col("sentiment.ok"), F.col("summary"))).withColumn(
         "sentiment_es", S.now_ms() if now is None else now
     )
     return enrich.embed(
-        flat, "raw_content", models.embedder, capacity=cfg.embed_capacity, timeout_s=cfg.embed_timeout_s
+        flat, "raw_content", models.embedder, capacity=cfg.embed_capacity, timeout_s=cfg.embed_timeout_s, tasks=cfg.call_tasks
     )
 
 
@@ -224,9 +224,14 @@ def analysis_batch(cfg: JobConfig, models: Models, now: Column | None = None) ->
             F.xxhash64("value").alias("id"), F.col("value").alias("raw_content"), at.alias("timestamp"),
             F.col("value").alias("title"), F.col("value").alias("summary"),
         )
-        scored = enrich.score_news(asked, models.scorer, capacity=20, timeout_s=60.0)
+        scored = enrich.score_news(
+            asked, models.scorer, capacity=cfg.analysis_score_capacity, timeout_s=cfg.analysis_score_timeout_s, tasks=cfg.call_tasks, ordered=False,
+        )
         good, _ = enrich.split_failed(scored, "sentiment", "drop")
-        vectors = enrich.embed(good, "raw_content", models.embedder, capacity=50, timeout_s=30.0)
+        vectors = enrich.embed(
+            good, "raw_content", models.embedder, capacity=cfg.analysis_embed_capacity, timeout_s=cfg.analysis_embed_timeout_s,
+            tasks=cfg.call_tasks, ordered=False,
+        )
         rows, _ = enrich.split_failed(vectors, "vector", "drop")
         zero = F.lit(0.0).cast("float")
         tables.write_batch(
@@ -256,7 +261,10 @@ def risk_log_batch(cfg: JobConfig, embedder: enrich.ClientFactory) -> Callable[[
     def work(messages: DataFrame, batch_id: int) -> None:
         asked = messages.select(F.xxhash64("value").alias("id"), F.col("value").alias("raw_log"))
         rows, _ = enrich.split_failed(
-            enrich.embed(asked, "raw_log", embedder, capacity=100, timeout_s=30.0), "vector", "drop"
+            enrich.embed(
+                asked, "raw_log", embedder, capacity=cfg.risk_embed_capacity, timeout_s=cfg.risk_embed_timeout_s,
+                tasks=cfg.call_tasks, ordered=False,
+            ), "vector", "drop",
         )
         fields = rows.select("id", "raw_log", "vector", F.lit(None).cast("map<string,string>").alias("extra"))
         tables.write_batch(fields, cfg.memory_path, batch_id)
