@@ -156,7 +156,7 @@ def features(c: Column) -> list[Column]:
     ]
     numbers = [
         F.length(value), F.length(number), count("A-Z"), count("a-z"), count(r"\s.()-"),
-        F.size(F.array_distinct(F.split(F.substring(value, 1, 64), ""))), *((c["rank"] == i) for i in range(len(KINDS))),
+        F.size(F.array_distinct(F.split(value, ""))), *((c["rank"] == i) for i in range(len(KINDS))),
     ]
     return [F.coalesce(x.cast("double"), F.lit(0.0)) for x in [*flags, *numbers]]
 
@@ -200,7 +200,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     c = F.col("c")
     bare = ~c["value"].rlike(_NAMED) & ~overlaps(F.col("base"), c)
     wrong = F.when(c["kind"] == "ip", ~octets(c["value"])).when(c["kind"] == "card", ~_valid("card", c["value"])).when(
-        c["kind"] == "secret", bare & (F.length("c.value") < 16)
+        c["kind"] == "secret", bare & ((F.length("c.value") < 16) | ~c["value"].rlike("[A-Za-z]"))  # numbers are no secrets, however long
     )
     label = F.when(overlaps(F.col("base"), c, True) | (c["kind"] == "secret") & c["value"].rlike(_NAMED), 1.0).when(wrong, 0.0)
     order = F.xxhash64("doc", "c.start", "c.rank", "c.value")

@@ -5,7 +5,7 @@ the documents that hold a line are counted, copies of one text as one document.
 than ``min_docs`` documents of the host are boilerplate, however large the host; a ``share`` above zero
 also asks for more than this part of the host's documents. ``without_boilerplate`` takes these lines out
 of the texts. A document that fails the rules on its own figures is rejected; so is a depleted one, of
-which less than ``least_words`` words and less than ``least_share`` of its words are left in that text.
+which less than ``least_words`` words or less than ``least_share`` of its words are left in that text.
 
 Defined results: a null or empty text has no words and fails; a null host is a host of its own; rows
 that repeat a ``doc_id`` are judged each by their own text; an empty table gives no rows; a text of
@@ -155,7 +155,7 @@ def judge(
     judged = figures(with_gone(rows, "host", min_docs, share))
     left = F.col("n_left")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    depleted = (left < least_words) & (left < least_share * F.col("n_words"))
+    depleted = (left < least_words) | (left < least_share * F.col("n_words"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"), (F.col("n_words") - left).alias("n_boilerplate_words"),

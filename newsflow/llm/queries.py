@@ -62,8 +62,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the limits of its SQL check, more than a fifth of the host among them; the module's own have no such part."""
-    return quality.judge(documents(spark, sf_dir), share=0.2)
+    return quality.judge(documents(spark, sf_dir))
 
 
 def op11_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,10 +115,9 @@ k AS (
     translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT t) AS n_docs FROM d GROUP BY source),
 held AS (SELECT source, key, count(DISTINCT h) AS n FROM k GROUP BY source, key),
-common AS (SELECT source, key FROM held JOIN hosts USING (source) WHERE n > 50 AND n > 0.2 * n_docs),
-lost AS (SELECT doc_id, sum(words) AS gone FROM k SEMI JOIN common USING (source, key) GROUP BY doc_id),
+common AS (SELECT source, key FROM held WHERE n > 50),
+lost AS (SELECT doc_id, sum(words) AS gone FROM k JOIN common ON k.source IS NOT DISTINCT FROM common.source AND k.key = common.key GROUP BY doc_id),
 f AS (
   SELECT doc_id, len(ws) AS n_words, list_sum(list_transform(ws, lambda x: length(x))) AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, n_dup_lines, n_repeat_words, gone
@@ -129,7 +127,7 @@ c AS (
     coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0)::BIGINT AS n_boilerplate_words FROM f)
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-  AND NOT (n_words - n_boilerplate_words < 50 AND n_words - n_boilerplate_words < 0.5 * n_words) AS kept
+  AND NOT (n_words - n_boilerplate_words < 50 OR n_words - n_boilerplate_words < 0.5 * n_words) AS kept
 FROM c
 """
 

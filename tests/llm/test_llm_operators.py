@@ -4,7 +4,7 @@ import os
 import random
 import sys
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -270,6 +270,50 @@ def test_frequent_lines_deplete(spark):
     assert got[200].kept and not got[50].base_failed and got[50].n_boilerplate_words == 55
 
 
+def test_numbers_are_never_added_as_secrets(spark):
+    """What fails the card check is no secret; what the trees add holds letters, or is a phone or a card."""
+    at = "/root/testdata/sf0.1"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text").collect()}
+    added = Counter()
+    for r in queries.op5_pii(spark, at).select("doc_id", "spans").collect():
+        for span in filter(None, r.spans.split(",")):
+            kind, start, end = span.split(":")
+            if kind == "secret":
+                added["secret"] += 1
+                assert any(c.isalpha() for c in texts[r.doc_id][int(start) : int(end)]), (r.doc_id, span)
+    assert added["secret"] > 100
+
+
+def test_verdicts_where_rows_cross_the_limit(spark):
+    """Against counting every line of every host in one dictionary."""
+    rng = random.Random(8)
+    notices = [f"Notice {i} " + " ".join(f"n{i}x{j}" for j in range(rng.randint(3, 60))) for i in range(6)]
+    rows = []
+    for i in range(260):
+        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 90)))
+        lines = [own, *(n if rng.random() < 0.5 else n.upper() + " " for n in notices if rng.random() < 0.3)]
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), rng.choice(["a", "a", "b", None])))
+    rows += [(300 + i, rows[0][1], rows[0][2]) for i in range(80)]  # copies are one document
+    held, seen = defaultdict(set), [(h, t, [plain.key(x) for x in t.split("\n")]) for _, t, h in rows]
+    for host, text, keys in seen:
+        for key in keys:
+            held[host, key].add(text)
+    want = {}
+    for (doc, text, host), (_, _, keys) in zip(rows, seen, strict=True):
+        n, left = len(text.split()), sum(len(x.split()) for x, k in zip(text.split("\n"), keys, strict=True) if len(held[host, k]) <= 20)
+        want[doc] = (n - left, n >= 50 and left >= 50 and left >= 0.5 * n)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = quality.judge(frame, min_docs=20).collect()
+    assert {r.doc_id: (r.n_boilerplate_words, r.kept) for r in found} == want
+    assert any(not r.base_failed and not r.kept for r in found) and any(r.kept and r.n_boilerplate_words for r in found)
+
+
+def test_quality_acts_on_the_given_documents(spark):
+    found = queries.op10_quality(spark, "/root/testdata/sf0.1")
+    assert found.where("n_boilerplate_words > 0").count() > 0 and found.where("kept = base_failed AND NOT base_failed").count() > 0
+
+
 def test_frequent_lines_are_cut_from_the_texts(spark):
     rows = [(i, f" A Notice \nw{i} own\n\nlast" if i % 2 else f"w{i} own\na notice\n\nlast {i}", "h", i) for i in range(30)]
     rows += [(40, "a notice\nrest", "other", 0), (41, None, "h", 0), (42, "A NOTICE", "h", 0), (43, "a notice\nrest", None, 0)]
