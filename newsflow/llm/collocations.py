@@ -42,6 +42,8 @@ BITS = 27  # of the bitmaps: 16 MB
 TRIE_NODES = 1 << 19  # of one trie, at most about
 BLOCK_WORDS = 1 << 18  # words of a task that are held as strings
 HELD_KEYS = 1 << 22  # keys of a task that are counted together
+BUCKETS = 256  # parts in which tasks hand on the phrases they name
+HELD_PHRASES = 500_000  # phrases a task remembers to have named
 SUMMED = 4096  # phrases whose counts in a task make one row
 DISTINCT = 200_000  # distinct words a task holds before it passes their counts on
 
@@ -236,25 +238,51 @@ def frequent_longer(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 
 
 def candidates(found: DataFrame, keys: np.ndarray) -> DataFrame:
-    """``lang, phrase``: the runs' pairs, and their longer phrases with a frequent key."""
+    """``lang, phrase``: the runs' pairs, and their longer phrases with a frequent key.
+
+    A task names each phrase once and hands them on in ``BUCKETS`` parts by their hash; a part drops what several
+    tasks have named.
+    """
     shared = found.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Hashes] = {}
+        parts: dict[int, list[str]] = defaultdict(list)
+        seen, held = np.zeros(0, np.uint64), 0
+
+        def flush() -> pa.RecordBatch:
+            made = pa.record_batch([pa.array(list(parts), pa.int64()), pa.array(list(parts.values()), pa.list_(pa.string()))], names=["part", "phrases"])
+            parts.clear()
+            return made
+
         for block in _blocks(batches):
             hashes = hashed(block, known)
             flat = [w for _, some in block for w in [*(w for w in some if w), b"\n"]]
             lang_ends = np.cumsum([sum(map(bool, some)) + 1 for _, some in block])
-            phrases: set[tuple[str, bytes]] = set()
+            named = []
             for size, at, phrase_keys in _windows(hashes):
                 able = np.ones(len(at), bool) if size == 2 else holds(shared.value, phrase_keys)
-                first = np.unique(phrase_keys[able], return_index=True)[1]
-                at = at[able][first]
-                for i, doc in zip(at.tolist(), np.searchsorted(lang_ends, at, side="right").tolist(), strict=True):
-                    phrases.add((block[doc][0], b" ".join(flat[i : i + size])))
-            yield pa.record_batch([pa.array([p[0] for p in phrases], pa.string()), pa.array([p[1].decode() for p in phrases], pa.string())], names=["lang", "phrase"])
+                new, first = np.unique(phrase_keys[able], return_index=True)
+                fresh = ~np.isin(new, seen)
+                at, new = at[able][first[fresh]], new[fresh]
+                named.append(new)
+                for i, doc, part in zip(at.tolist(), np.searchsorted(lang_ends, at, side="right").tolist(), (new % np.uint64(BUCKETS)).tolist(), strict=True):
+                    parts[part].append(f"{block[doc][0]}\n{b' '.join(flat[i : i + size]).decode()}")
+            seen = np.union1d(seen, np.concatenate(named))
+            held += sum(map(len, named))
+            if held > HELD_PHRASES:  # names some again, which only costs their way
+                yield flush()
+                seen, held = np.zeros(0, np.uint64), 0
+        yield flush()
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = {p for batch in batches for phrases in batch.column(1).to_pylist() for p in phrases}
+        # a phrase holds no line feed, a language might
+        pairs = [p.rsplit("\n", 1) for p in every]
+        yield pa.record_batch([pa.array([x[0] for x in pairs], pa.string()), pa.array([x[1] for x in pairs], pa.string())], names=["lang", "phrase"])
 
-    return found.mapInArrow(run, "lang string, phrase string").distinct()
+    named = found.mapInArrow(run, "part long, phrases array<string>")
+    return named.groupBy("part").applyInArrow(once, "lang string, phrase string")
 
 
 class Trie:
