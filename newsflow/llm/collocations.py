@@ -7,7 +7,8 @@ so each pass over the texts passes on less:
 2. pairs of frequent words are counted by a 64-bit hash, added up in the tasks first;
 3. texts are reduced to runs in which every neighbouring pair is frequent; only these runs are kept;
 4. phrases of three to five words of the runs are counted by hash; what is frequent there, as phrases, are the
-   candidates. Hashes that meet only add candidates, never lose one;
+   candidates. Bits that meet only add candidates, never lose one; two phrases of one 64-bit key count as one,
+   of which there is far less than one in a corpus of a billion phrases;
 5. candidates are dealt into double-array tries of a bounded size. Each trie is broadcast in turn; numpy moves
    the states of all positions of a block of text on, level by level, and counts the accepting states; tasks'
    counts are added up. These are the phrases' exact counts.
