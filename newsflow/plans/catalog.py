@@ -16,7 +16,7 @@ from newsflow.operators import asof, bars as B, cells, chain, decide, enrich, ke
 from newsflow.plans import inputs as I
 from newsflow.plans import oracle_parts as O
 from newsflow.session import configure, shared_dir, written
-from newsflow.sinks import tables, topics
+from newsflow.sinks import models, tables, topics
 from newsflow.sources import feeds, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -824,10 +824,15 @@ def training_set(spark, d):
 
 @query("predict_return")
 def predict_return(spark, d):
-    """Train on the training window, score every unsettled row."""
-    model = retrain.fit(retrain.training_set(_trained(spark, d), label="return"))
-    rows = I.memory(spark, d).where("NOT is_settled")
-    return retrain.predict(model, rows).select("event_id", _r("predicted_return").alias("predicted_return"))
+    """Score every unsettled row by the newest stored model. The first call over the given vectors trains and
+    publishes it; later calls only score."""
+    root = f"{shared_dir(spark)}/return-model-{I.fingerprint(spark, d, 'embeddings')}"
+    if models.latest(spark, root) is None:
+        train = retrain.training_set(_trained(spark, d), label="return")
+        if retrain.enough(train, 1):
+            models.publish(retrain.fit(train), root, 0)
+    rows = models.predict(models.Loaded(root).current(spark), I.memory(spark, d).where("NOT is_settled"))
+    return rows.select("event_id", _r("predicted_return").alias("predicted_return"))
 
 
 # ============================================================================ whole flows

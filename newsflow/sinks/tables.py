@@ -21,9 +21,9 @@ _BATCH = T.StructType([T.StructField("batch_id", T.LongType())])
 _VERSION = T.StructType([T.StructField("version", T.LongType()), T.StructField("upto_batch", T.LongType())])
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write the rows of one micro-batch, replacing what an earlier try of it left."""
-    rows.write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}", partitionBy=list(partition_by) or None)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -102,6 +102,19 @@ def compact(spark: SparkSession, root: str, schema: T.StructType, keys: list[str
     return publish(read_current(spark, root, schema, keys), root, last_batch(spark, root))
 
 
+def drop_replaced(spark: SparkSession, root: str) -> None:
+    """Delete the batches and versions that the newest version covers. Run it while nobody reads the table."""
+    version, upto = _published(spark, root)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder, name, last in ((f"{root}/base", "v=", version - 1), (f"{root}/delta", "batch_id=", upto)):
+        at = hadoop.Path(folder)
+        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        for entry in files.listStatus(at) if files.exists(at) else []:
+            label = entry.getPath().getName()
+            if label.startswith(name) and int(label.removeprefix(name)) <= last:
+                files.delete(entry.getPath(), True)
+
+
 def create_table(spark: SparkSession, root: str, schema: T.StructType, replace: bool = False) -> None:
     """Publish an empty first version. An existing table is kept unless ``replace``."""
     if replace or _published(spark, root)[0] < 0:

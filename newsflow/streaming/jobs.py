@@ -18,8 +18,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from newsflow import schemas
 from newsflow.config import JobConfig
 from newsflow.functions import scalars as S
-from newsflow.operators import asof, bars as B, decide, enrich, keyed, news, settle
-from newsflow.sinks import tables, topics
+from newsflow.operators import asof, bars as B, decide, enrich, keyed, news, retrain, settle
+from newsflow.sinks import models, seen, tables, topics
 from newsflow.sources import feeds, streams
 
 SETTLEMENT = T.StructType(
@@ -49,9 +49,10 @@ def start_each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None],
     return writer.foreachBatch(work)
 
 
-def current_memory(spark: SparkSession, memory_root: str, settle_root: str) -> DataFrame:
-    """Stored events with the settlements so far. The settlements are narrow, the vectors stay put."""
-    rows = tables.read_appended(spark, memory_root, schemas.MEMORY)
+def current_memory(spark: SparkSession, memory_root: str, settle_root: str, before: int | None = None) -> DataFrame:
+    """Stored events (or those of the batches before one) with the settlements so far. The settlements are narrow,
+    the vectors stay put."""
+    rows = tables.read_appended(spark, memory_root, schemas.MEMORY, before)
     done = tables.read_appended(spark, settle_root, SETTLEMENT)
     return settle.apply_settlements(rows, keyed.first_per_key(done, ["event_id"], ["settled_at"]))
 
@@ -77,11 +78,14 @@ def _rejects(rows: DataFrame, stage: str, ident: str = "id") -> DataFrame:
 
 # ---- news intake ----------------------------------------------------------------------------
 
-def fresh_news(items: DataFrame, now: Column | None = None, horizon: str | None = None) -> DataFrame:
+SEEN_FOR = f"{seen.KEEP_DAYS} days"
+
+
+def fresh_news(items: DataFrame, now: Column | None = None, horizon: str | None = SEEN_FOR) -> DataFrame:
     """Stream of first sightings that are fresh.
 
-    Stale items count as seen: the duplicates go first. Without ``horizon`` the ids are kept for
-    ever; with it, only that long after their collection time.
+    Stale items count as seen: the duplicates go first. Ids are kept for ``horizon`` after their
+    collection time; with None they are kept for ever, and the state grows with the stream.
     """
     if horizon is None:
         once = items.dropDuplicates(["id"])
@@ -91,33 +95,31 @@ def fresh_news(items: DataFrame, now: Column | None = None, horizon: str | None
     return news.fresh_only(once, F.col("es") if now is None else now)
 
 
-def rss_intake(responses: DataFrame, now: Column | None = None, horizon: str | None = None) -> DataFrame:
+def rss_intake(responses: DataFrame, now: Column | None = None, horizon: str | None = SEEN_FOR) -> DataFrame:
     """Landed RSS responses ``(url, status, body)`` to JSON news messages."""
     return topics.to_json_value(fresh_news(feeds.rss_items(feeds.landed_ok(responses), now), now, horizon))
 
 
-SEEN = T.StructType([T.StructField("id", T.StringType())])
-
-
-def intake_batch(cfg: JobConfig, seen_root: str, order: list[str],
-                 now: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """Work of one batch of items with the seen ids in a table.
+def intake_batch(cfg: JobConfig, seen_root: str, order: list[str], now: Column | None = None,
+                 keep_days: int = seen.KEEP_DAYS) -> Callable[[DataFrame, int], None]:
+    """Work of one batch of items with the ids of the last ``keep_days`` in a table (``sinks.seen``).
 
     An id repeated very often is reduced before the shuffle, which the state of a stream cannot do.
+    ``seen.forget`` takes old days out of the table between batches.
     """
 
     def work(items: DataFrame, batch_id: int) -> None:
-        seen = tables.read_appended(items.sparkSession, seen_root, SEEN, before=batch_id)
-        firsts = keyed.first_per_key(items, ["id"], order).persist()
+        at = F.col("es") if now is None else now
+        dated = items.withColumn("_day", seen.day_of(F.coalesce("es", S.now_ms() if now is None else now)))
+        firsts = keyed.first_per_key(dated, ["id"], order).persist()
+        known = tables.read_appended(items.sparkSession, seen_root, seen.SEEN, before=batch_id)
+        marked = seen.with_last_day(firsts, known, keep_days).persist()
         try:
-            # the batch is the small side: its ids go to the seen table, which is then not shuffled
-            again = seen.join(firsts.select("id"), "id", "left_semi")
-            new = firsts.join(again, "id", "left_anti").persist()
-            at = F.col("es") if now is None else now
-            tables.write_batch(topics.to_json_value(news.fresh_only(new, at)), cfg.signal_path, batch_id)
-            tables.write_batch(new.select("id"), seen_root, batch_id)
-            new.unpersist()
+            fresh = news.fresh_only(marked.where("_seen IS NULL"), at).select(items.columns)
+            tables.write_batch(topics.to_json_value(fresh), cfg.signal_path, batch_id)
+            seen.remember(marked, seen_root, batch_id)
         finally:
+            marked.unpersist()
             firsts.unpersist()
 
     return work
@@ -307,24 +309,119 @@ def read_klines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
 
 # ---- settlement -----------------------------------------------------------------------------
 
-def settlement_batch(cfg: JobConfig, settle_root: str, order: str = "timestamp",
-                     now: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """First usable SELL per event settles its memory row; later ones find it settled."""
+PENDING = T.StructType(
+    [T.StructField(n, t) for n, t in (
+        ("event_id", T.StringType()), ("buy_price", T.DoubleType()), ("sell_price", T.DoubleType()),
+        ("_order", T.ArrayType(T.LongType())), ("since", T.LongType()),
+    )]
+)
+
+
+def _arrival(messages: DataFrame, signals: DataFrame, order: str) -> Column:
+    """Place of a signal as numbers that a replay gives again: (partition, offset) of its message when it has
+    them, else its time; signals of one time follow a hash of their prices, and equal ones settle alike."""
+    if {"partition", "offset"} <= set(messages.columns):
+        places = ["partition", "offset"]
+    else:
+        places = [order]
+    cells = [F.col(c).cast("bigint") for c in places]
+    return F.array(*cells, F.xxhash64("buy_price", "sell_price"))
+
+
+def settlement_batch(cfg: JobConfig, settle_root: str, order: str = "timestamp", now: Column | None = None,
+                     wait_ms: int = settle.DAY_MS) -> Callable[[DataFrame, int], None]:
+    """First usable SELL per event settles its memory row; later ones find it settled.
+
+    A SELL whose event is not in memory waits and is tried again with every batch, ahead of newer ones; after
+    ``wait_ms`` it goes to the rejects. What waits is written whole by each batch, one row per event, so a
+    replay starts from what the batch before it left.
+    """
 
     def work(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        signals = streams.trade_signals(messages)
+        places = [c for c in ("partition", "offset") if c in messages.columns]
+        signals = streams.trade_signals(messages, keep=places)
         # a replayed batch must not see its own earlier try
-        seen = tables.read_appended(spark, settle_root, SETTLEMENT, before=batch_id)
+        seen_before = tables.read_appended(spark, settle_root, SETTLEMENT, before=batch_id)
         memory = settle.apply_settlements(
             tables.read_appended(spark, cfg.memory_path, schemas.MEMORY),
-            keyed.first_per_key(seen, ["event_id"], ["settled_at"]),
+            keyed.first_per_key(seen_before, ["event_id"], ["settled_at"]),
         )
-        done = settle.settlements(signals, memory, order).where("outcome = 'settled'")
         at = S.now_ms() if now is None else now
-        tables.write_batch(done.withColumn("settled_at", at), settle_root, batch_id)
-        if cfg.reject_path:
-            _, refused = settle.sell_signals(signals)
-            tables.write_batch(_rejects(refused, "settlement", "event_id"), cfg.reject_path, batch_id)
+        usable, refused = settle.sell_signals(signals)
+        fresh = usable.select(
+            F.col("event_id").cast("string").alias("event_id"), "buy_price", "sell_price",
+            _arrival(messages, usable, order).alias("_order"), at.cast("bigint").alias("since"),
+        )
+        waiting = tables.read_batch(spark, f"{settle_root}/waiting", batch_id - 1, PENDING)
+        # all that waits came before this batch
+        first = keyed.first_per_key(
+            waiting.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1))), ["event_id"], ["_new", "since", "_order"]
+        ).persist()
+        asked = first.withColumn("action", F.lit("SELL"))
+        found = settle.settlements(asked, memory, "since").persist()
+        try:
+            done = found.where("outcome = 'settled'")
+            tables.write_batch(done.withColumn("settled_at", at), settle_root, batch_id)
+            unknown = first.join(found.where("outcome = 'not_found'").select("event_id"), "event_id", "left_semi")
+            late = F.col("since") + wait_ms <= at
+            tables.write_batch(unknown.where(~late).select(PENDING.fieldNames()), f"{settle_root}/waiting", batch_id)
+            if cfg.reject_path:
+                gone = unknown.where(late).withColumn("reason", F.lit("event not in memory")).drop("_new")
+                bad = _rejects(refused, "settlement", "event_id").unionByName(_rejects(gone, "settlement", "event_id"))
+                tables.write_batch(bad, cfg.reject_path, batch_id)
+        finally:
+            found.unpersist()
+            first.unpersist()
+
+    return work
+
+
+# ---- return model ---------------------------------------------------------------------------
+
+def _purge_trained(spark: SparkSession, cfg: JobConfig, settle_root: str, backup: str) -> None:
+    """Publish the memory without the rows of a backup; batches written meanwhile stay."""
+    upto = tables.last_batch(spark, cfg.memory_path)
+    memory = current_memory(spark, cfg.memory_path, settle_root, before=upto + 1)
+    trained = spark.read.schema(memory.schema).parquet(backup).select("event_id")
+    if not memory.join(trained, "event_id", "left_semi").isEmpty():
+        kept = memory.join(trained, "event_id", "left_anti").select(memory.columns)
+        tables.publish(kept, cfg.memory_path, upto, partition_by=["sentiment_score"])
+
+
+def retrain_run(spark: SparkSession, cfg: JobConfig, settle_root: str, model_root: str, backup_dir: str, now_ms: int, *,
+                min_rows: int = 100, **fit_options) -> int | None:
+    """Back up the training window, train on the backup, publish the next model version, then the memory without
+    the trained rows.
+
+    A run may stop anywhere: until the version is published nothing has been removed and the next run starts
+    over; after it, the next run first removes what the last version was trained on. Returns the new version,
+    or None when the window has too few rows.
+    """
+    last = models.latest(spark, model_root)
+    if last is not None:
+        _purge_trained(spark, cfg, settle_root, last["backup"])
+    memory = current_memory(spark, cfg.memory_path, settle_root)
+    window = retrain.training_window(memory, F.lit(now_ms).cast("bigint"), "sentiment_es")
+    if not retrain.enough(window, min_rows):
+        return None
+    version = 0 if last is None else last["version"] + 1
+    backup = f"{backup_dir}/version={version}"
+    window.write.mode("overwrite").parquet(backup)  # an earlier try of this version removed nothing
+    saved = spark.read.schema(memory.schema).parquet(backup)
+    models.publish(retrain.fit(retrain.training_set(saved, label="return"), **fit_options), model_root, version, backup)
+    _purge_trained(spark, cfg, settle_root, backup)
+    return version
+
+
+def scoring_batch(cfg: JobConfig, model_root: str) -> Callable[[DataFrame, int], None]:
+    """Work of one batch of embedded rows: predicted return by the newest model version, and which one it was.
+
+    The version is looked up for every batch and the model is loaded when it changed.
+    """
+    loaded = models.Loaded(model_root)
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        tables.write_batch(models.predict(loaded.current(rows.sparkSession), rows), cfg.signal_path, batch_id)
 
     return work
