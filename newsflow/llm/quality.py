@@ -5,7 +5,8 @@ the documents that hold a line are counted, copies of one text as one document.
 than ``min_docs`` documents of the host are boilerplate, however large the host; a ``share`` above zero
 also asks for more than this part of the host's documents. ``without_boilerplate`` takes these lines out
 of the texts. A document that fails the rules on its own figures is rejected; so is a depleted one, of
-which less than ``least_words`` words or less than ``least_share`` of its words are left in that text.
+which less than ``least_words`` words or less than ``least_share`` of its words are left without them. ``judge``
+reads each text once: what it needs of the lines are their keys and numbers of words.
 
 Defined results: a null or empty text has no words and fails; a null host is a host of its own; rows
 that repeat a ``doc_id`` are judged each by their own text; an empty table gives no rows; a text of
@@ -32,7 +33,8 @@ MIN_DOCS, SHARE = 50, 0.0
 LEAST_WORDS, LEAST_SHARE = 50, 0.5
 
 _FIGURES = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_left long"
+    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "host string, content binary, keys array<binary>, words array<int>"
 )
 
 
@@ -122,41 +124,56 @@ def without_boilerplate(docs: DataFrame, host: str = "source", min_docs: int = M
     return with_gone(docs, host, min_docs, share).mapInArrow(run, schema)
 
 
-def figures(docs: DataFrame) -> DataFrame:
-    """The figures of every row's text, and ``n_left``: the words of that text without the lines ``_llm_gone``."""
+def figures(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The figures of every row's text; its host and a digest of it (``content``); the ``keys`` of its distinct lines that
+    have words, and how many ``words`` it holds in lines of each key."""
     symbols, blanks = SYMBOLS.encode(), SPACES.encode()
+    kinds = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for doc, text, gone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out: list[list] = [[] for _ in kinds]
+            for doc, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
                 words = data.split()
                 spaces = len(data) - len(data.translate(None, blanks))
-                raw = [x for x in data.split(b"\n") if x.strip(blanks)]
+                raw = Counter(x for x in data.split(b"\n") if x.strip(blanks))
+                held: Counter[bytes] = Counter()
+                for line, n in raw.items():
+                    held[line_key(line)] += n * len(line.split())
                 values = (
-                    doc, len(words), len(text) - spaces, len(data) - len(data.translate(None, symbols)), len(raw) - len(set(raw)),
-                    repeated_words(words), len(cut(text, gone).encode().split()) if gone else len(words),
+                    doc, len(words), len(text) - spaces, len(data) - len(data.translate(None, symbols)), raw.total() - len(raw),
+                    repeated_words(words), at, hashlib.md5(data, usedforsecurity=False).digest(), list(held), list(held.values()),
                 )
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=[c.split()[0] for c in _FIGURES.split(", ")])
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[c.split()[0] for c in _FIGURES.split(", ")])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), "_llm_gone")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), F.col(host).cast("string").alias("host"))
     return rows.mapInArrow(run, _FIGURES)
 
 
+def lost_words(judged: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """``_host, _content, n_lost``: the words of each text that lie in boilerplate lines of its host; copies once."""
+    common = boilerplate(judged, min_docs, share).select(F.col("host").alias("_common"), F.col("key").alias("_key"))
+    once = judged.groupBy("host", "content").agg(F.first(F.arrays_zip("keys", "words")).alias("lines"))
+    lines = once.select("host", "content", F.inline("lines")).join(common, F.expr("keys = _key AND host <=> _common"))
+    return lines.groupBy(F.col("host").alias("_host"), F.col("content").alias("_content")).agg(F.sum("words").alias("n_lost"))
+
+
 def judge(
     docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
     least_words: int = LEAST_WORDS, least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """The figures, ``base_failed``, ``n_boilerplate_words`` and ``kept`` of every row."""
-    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), "text")
-    judged = figures(with_gone(rows, "host", min_docs, share))
-    left = F.col("n_left")
+    judged = written(figures(docs, host), "figures")
+    same = F.expr("host <=> _host AND content = _content")
+    rows = judged.drop("keys", "words").join(written(lost_words(judged, min_docs, share), "lost"), same, "left")
+    lost = F.coalesce("n_lost", F.lit(0).cast("long"))
+    left = F.col("n_words") - lost
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = (left < least_words) | (left < least_share * F.col("n_words"))
-    return judged.select(
+    return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & ~depleted).alias("kept"), (F.col("n_words") - left).alias("n_boilerplate_words"),
+        (~failed & ~depleted).alias("kept"), lost.alias("n_boilerplate_words"),
     )
