@@ -193,7 +193,7 @@ def _nodes(node) -> object:
 
 
 def labelled(docs: DataFrame) -> DataFrame:
-    """All candidates whose class the checks tell, with class and hash."""
+    """All candidates whose class the checks tell: kind, class, hash and features, without their values."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("wide"))
     rows = rows.select("doc", "base", F.explode("wide").alias("c"))
@@ -204,11 +204,12 @@ def labelled(docs: DataFrame) -> DataFrame:
     )
     label = F.when(overlaps(F.col("base"), c, True) | (c["kind"] == "secret") & c["value"].rlike(_NAMED), 1.0).when(wrong, 0.0)
     order = F.xxhash64("doc", "c.start", "c.rank", "c.value")
-    return rows.select("c", c["kind"].alias("kind"), label.alias("label"), order.alias("hash")).where("label IS NOT NULL")
+    told = rows.select("c", label.alias("label"), order.alias("hash")).where("label IS NOT NULL")
+    return told.select(c["kind"].alias("kind"), "label", "hash", *(x.alias(f"f{i}") for i, x in enumerate(features(c))))
 
 
 def sampled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` of the labelled rows with features and fold, an equal part for each kind and class.
+    """At most ``sample`` of the labelled rows with their fold, an equal part for each kind and class.
 
     Groups are salted, so a frequent kind is not ranked in one task, and each task sends at most
     ``SALTED`` rows of a group.
@@ -216,23 +217,24 @@ def sampled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
     part = max(1, sample // (2 * len(KINDS)))
     salts = -(-part // SALTED)
     group = Window.partitionBy("kind", "label", F.pmod(F.xxhash64("hash"), F.lit(salts))).orderBy("hash")
-    few = rows.withColumn("place", F.row_number().over(group)).where(F.col("place") <= part // salts)
-    few = few.select("kind", "label", "hash", *(x.alias(f"f{i}") for i, x in enumerate(features(F.col("c")))))
+    few = rows.withColumn("place", F.row_number().over(group)).where(F.col("place") <= part // salts).drop("place")
     place = F.row_number().over(Window.partitionBy("kind", "label").orderBy("hash"))
     return few.withColumn("apart", place % 4 == 1)
 
 
 def bins(rows: DataFrame, seen: DataFrame, model: Model) -> DataFrame:
     """How many labelled rows outside ``seen`` have a score, in hundredths, by kind, and how many of them are right."""
-    f = F.array(*features(F.col("c")))
-    score = let(f, lambda f: model.score([f[i] for i in range(N_FEATURES)]))
+    score = model.score([F.col(f"f{i}") for i in range(N_FEATURES)])
     scored = rows.join(F.broadcast(seen.select("hash")), "hash", "left_anti").select("kind", "label", F.floor(score * 100).alias("bin"))
     return scored.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> Model:
-    """Boosted trees on three of four sampled candidates, thresholds on all others."""
-    every = labelled(docs)
+    """Boosted trees on three of four sampled candidates, thresholds on all others.
+
+    The texts are read once: the labelled candidates are written, and both steps read them.
+    """
+    every = written(labelled(docs), "labelled")
     seen = written(sampled(every, sample), "candidates").where("NOT apart")
     if seen.select("label").distinct().count() < 2:
         return Model()
