@@ -50,8 +50,27 @@ class JobConfig:
     token: str = "ETH"
     symbol: str | None = None
     vector_dim: int = 768
+    # what a started job reads ("kafka" or "files") and where its messages go besides its table ("table", "kafka", "files")
+    source: str = "kafka"
+    input_path: str | None = None
+    max_files: int | None = None
+    source_type: str = "rest"
+    sink: str = "table"
+    output_path: str | None = None
+    sink_partitions: int = 8
+    # tables of single jobs
+    seen_path: str | None = None
+    settle_path: str | None = None
+    model_path: str | None = None
+    backup_path: str | None = None
+    # outside models
+    score_url: str | None = None
+    score_model: str | None = None
+    embed_url: str | None = None
+    embed_model: str | None = None
     # triggers
     trigger_interval: str = "5 seconds"
+    available_now: bool = False
 
     @classmethod
     def from_mapping(cls, values: Mapping[str, object]) -> "JobConfig":

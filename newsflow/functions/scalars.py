@@ -119,17 +119,22 @@ def title_and_summary(title: Column, summary: Column) -> Column:
     return F.concat(F.lit("Title: "), title, F.lit("\nSummary: "), summary)
 
 
-SCORING_HEADER = (
-    "Rate how the news below is likely to move the price of ETH.\n"
-    "Reply with one JSON object and nothing else. Its keys are sentiment_score (whole number, "
-    "1 = strongly negative, 5 = neutral, 10 = strongly positive), sentiment_reason (at most 15 words) "
-    "and reasoning (at most two sentences).\n\n"
+REPLY_FORM = (
+    'Answer with {"sentiment_score": n, "sentiment_reason": "..."} alone: n from 1 (the price will fall) to 10 '
+    "(it will rise), and why in one short sentence.\n\n"
 )
+SCORING_HEADER = "A news item follows. Judge what it means for the ETH price.\n" + REPLY_FORM
+ANALYSIS_HEADER = "A message from the ETH market follows, as it was posted. Judge the mood of its author towards the price.\n" + REPLY_FORM
 
 
-def scoring_prompt(content: Column) -> Column:
-    """Ask for one JSON object with a 1..10 score and two short texts."""
-    return F.concat(F.lit(SCORING_HEADER), content)
+def scoring_prompt(content: Column, header: str = SCORING_HEADER) -> Column:
+    """Ask for one JSON object with a 1..10 score and a short reason."""
+    return F.concat(F.lit(header), content)
+
+
+def analysis_prompt(message: Column) -> Column:
+    """The same for a whole message that has neither title nor summary."""
+    return scoring_prompt(message, ANALYSIS_HEADER)
 
 
 def json_object_text(reply: Column) -> Column:

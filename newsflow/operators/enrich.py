@@ -17,7 +17,7 @@ from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, TimeoutError
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,14 +209,15 @@ def split_failed(rows: DataFrame, out: str, on_error: str = "dlq") -> tuple[Data
 
 
 def score_news(news: DataFrame, client: ClientFactory = digest_scorer, *, capacity: int = 2,
-               timeout_s: float = 120.0, tasks: int | None = None, ordered: bool = True) -> DataFrame:
+               timeout_s: float = 120.0, tasks: int | None = None, ordered: bool = True,
+               prompt: Column | None = None) -> DataFrame:
     """News with ``sentiment``: ok, error, value(sentiment_score, sentiment_reason).
 
-    A reply without a readable object, or with a score outside 1..10, is an error of its row.
+    ``prompt`` replaces the question on title and summary. A reply without a readable object, or with a score
+    outside 1..10, is an error of its row.
     """
-    asked = news.withColumn(
-        "_ask", S.scoring_prompt(S.title_and_summary(F.col("title"), F.col("summary")))
-    )
+    question = S.scoring_prompt(S.title_and_summary(F.col("title"), F.col("summary"))) if prompt is None else prompt
+    asked = news.withColumn("_ask", question)
     replied = enrich(asked, "_ask", "_reply", client, REPLY_TYPE, capacity=capacity, timeout_s=timeout_s, tasks=tasks, ordered=ordered)
     return parse_replies(replied).drop("_ask")
 

@@ -16,6 +16,9 @@ def _row(columns: dict[str, T.DataType]) -> T.StructType:
 NEWS_ITEM = _row({
     "id": _TEXT, "title": _TEXT, "summary": _TEXT, "pubDate": _LONG, "source": _TEXT, "es": _LONG,
 })
+WEB_RESPONSE = _row({
+    "url": _TEXT, "status": _INT, "body": _TEXT,
+})
 NEWS_REST = _row({
     "id": _LONG, "title": _TEXT, "domain": _TEXT, "url": _TEXT, "published_at": _TEXT,
     "source_type": _TEXT,
@@ -75,7 +78,7 @@ DEX_LOG = _row({
     "blockNumber": _LONG, "logIndex": _LONG,
 })
 MODEL_REPLY = _row({
-    "sentiment_score": _TEXT, "sentiment_reason": _TEXT, "reasoning": _TEXT,
+    "sentiment_score": _TEXT, "sentiment_reason": _TEXT,
 })
 
 # Declared lengths of text columns in memory tables elsewhere; our tables keep texts of any length.

@@ -79,6 +79,19 @@ def write_stream_to_kafka(values: DataFrame, cfg: JobConfig, checkpoint: str, ac
     )
 
 
+def send(values: DataFrame, cfg: JobConfig, batch_id: int) -> None:
+    """Hand the stored messages ``(value)`` of one batch to the configured sink, at least once.
+
+    Files are lines of text below ``output_path``, one folder per batch, which a batch that runs again replaces.
+    """
+    if cfg.sink == "kafka":
+        values.write.format("kafka").options(**kafka_sink_options(cfg)).save()
+    elif cfg.sink == "files":
+        values.select("value").write.mode("overwrite").text(f"{cfg.output_path}/batch-{batch_id}")
+    elif cfg.sink != "table":
+        raise ValueError("sink is one of table, kafka, files")
+
+
 def jdbc_options(cfg: JobConfig, table: str | None = None) -> dict[str, str]:
     """Connection options; user and password only when they are given."""
     if not cfg.jdbc_url:

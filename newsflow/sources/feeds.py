@@ -45,10 +45,10 @@ def rss_items(responses: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def rest_posts(responses: DataFrame, source_type: str) -> DataFrame:
-    """Posts of REST pages ``(body)``."""
-    posts = responses.select(F.explode(F.from_json(F.col("body"), _REST)["results"]).alias("p"))
-    return posts.select("p.*", F.lit(source_type).alias("source_type"))
+def rest_posts(responses: DataFrame, source_type: str, keep: list[str] = []) -> DataFrame:
+    """Posts of REST pages ``(body)``, with the columns ``keep`` of their page."""
+    posts = responses.select(*keep, F.explode(F.from_json(F.col("body"), _REST)["results"]).alias("p"))
+    return posts.select("p.*", F.lit(source_type).alias("source_type"), *keep)
 
 
 def timeline_tweets(pages: DataFrame, now: Column | None = None, source_type: str = "timeline") -> DataFrame:

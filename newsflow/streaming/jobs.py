@@ -224,10 +224,9 @@ def analysis_batch(cfg: JobConfig, models: Models, now: Column | None = None) ->
         at = S.now_ms() if now is None else now
         asked = messages.select(
             F.xxhash64("value").alias("id"), F.col("value").alias("raw_content"), at.alias("timestamp"),
-            F.col("value").alias("title"), F.col("value").alias("summary"),
         )
         scored = enrich.score_news(
-            asked, models.scorer, capacity=cfg.analysis_score_capacity, timeout_s=cfg.analysis_score_timeout_s, tasks=cfg.call_tasks, ordered=False,
+            asked, models.scorer, capacity=cfg.analysis_score_capacity, timeout_s=cfg.analysis_score_timeout_s, tasks=cfg.call_tasks, ordered=False, prompt=S.analysis_prompt(F.col("raw_content")),
         )
         good, _ = enrich.split_failed(scored, "sentiment", "drop")
         vectors = enrich.embed(
