@@ -107,13 +107,13 @@ def search(queries: DataFrame, root: str, schema: T.StructType, k: int, *, q_id:
         if ready is None:
             raise ValueError(f"no search settings below {root}")
         nprobe = ready[0]
-    asked = queries.where(F.col(q_vec).isNotNull()).withColumn("_probes", knn.nearest_cells(F.col(q_vec), centres, nprobe))
-    probed = asked.select(F.explode("_probes").alias("cell")).distinct().where(F.col("cell") >= 0)
+    asked = queries.where(F.col(q_vec).isNotNull()).withColumn("_cells", knn.nearest_cells(F.col(q_vec), centres, nprobe))
+    probed = asked.select(F.explode("_cells").alias("cell")).distinct().where(F.col("cell") >= 0)
     memory = stored(spark, root, schema)
     memory = memory.join(F.broadcast(probed), "cell", "left_semi")
     if where is not None:
         memory = memory.where(where)
-    return knn.search_cells(asked.withColumn("_cell", F.explode("_probes")).drop("_probes"), memory.withColumnRenamed("cell", "_cell"), k,
+    return knn.search_cells(asked, memory.withColumnRenamed("cell", "_cell"), k,
                             q_id=q_id, m_id=m_id, q_vec=q_vec, m_vec=m_vec, carry=carry, bounds=bounds, **options)
 
 

@@ -27,7 +27,9 @@ _COMPARE = {
     "!=": np.not_equal,
 }
 _RANK_DIGITS = 10  # similarities equal to this many digits are ties, broken by the memory id
-_MATRIX_ROWS = 1024
+_MATRIX_ROWS, _MATRIX_COLUMNS = 512, 4096  # of the products that are held at once, however large the blocks are
+BLOCK_ROWS, BLOCK_VALUES = 1 << 16, 1 << 22  # a block of vectors ends at either
+SPREAD, LEAST_ROWS = 16, 1024  # a side has so many blocks, unless they would be smaller than this or larger than allowed
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -37,31 +39,51 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return m / np.where(norms > 0, norms, 1.0)
 
 
-def _by_part(queries: pd.DataFrame) -> dict:
-    """Queries of each partition value with their unit vectors."""
-    return {part: (rows, _unit_rows(rows["q_vec"])) for part, rows in queries.groupby("q_part", sort=False)}
+def _by_part(queries: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, dict]:
+    """Queries, their unit vectors, and their positions by partition value (an array of values asks for each of them)."""
+    parts, at = queries["q_part"], np.arange(len(queries))
+    if parts.dtype == object:
+        parts, at = np.concatenate(parts.tolist()), np.repeat(at, parts.map(len))
+    positions = pd.Series(at).groupby(np.asarray(parts)).indices
+    return queries.drop(columns=["q_vec", "q_part"]), _unit_rows(queries["q_vec"]), {part: at[i] for part, i in positions.items()}
 
 
-def _best(asked: dict, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -> pd.DataFrame | None:
+def _best(asked: tuple, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -> pd.DataFrame | None:
     """The best ``k`` memory rows of each query within one pair of blocks, None when there are none."""
+    queries, units, positions = asked
+    memory = memory.sort_values("m_id", kind="stable", ignore_index=True)
     keep = [c for c in memory.columns if c not in ("m_vec", "m_part") and not c.startswith("mb_")]
-    out = []
-    for part, rows in memory.groupby("m_part", sort=False):
-        if part not in asked:
+    found = []
+    for part, held in memory.groupby("m_part", sort=False).indices.items():
+        if part not in positions:
             continue
-        rows = rows.sort_values("m_id", kind="stable", ignore_index=True)
-        right = _unit_rows(rows["m_vec"])
-        queries, units = asked[part]
-        for start in range(0, len(queries), _MATRIX_ROWS):
-            q = queries.iloc[start:start + _MATRIX_ROWS]
-            sim = units[start:start + _MATRIX_ROWS] @ right.T
-            at, hit = _top_cells(sim, _allowed(q, rows, bounds, sim.shape), k)
-            found = rows.loc[hit, keep].reset_index(drop=True)
-            found.insert(0, "q_id", q["q_id"].to_numpy()[at])
-            found.insert(1, "q_key", q["q_key"].to_numpy()[at])
-            found["sim"] = sim[at, hit]
-            out.append(found)
-    return pd.concat(out, ignore_index=True) if out else None
+        rows, right = memory.iloc[held], _unit_rows(memory["m_vec"].iloc[held])
+        for start in range(0, len(positions[part]), _MATRIX_ROWS):
+            at = positions[part][start:start + _MATRIX_ROWS]
+            q, left, near = queries.iloc[at], units[at], []
+            for first in range(0, len(held), _MATRIX_COLUMNS):
+                m = rows.iloc[first:first + _MATRIX_COLUMNS]
+                sim = left @ right[first:first + _MATRIX_COLUMNS].T
+                i, j = _top_cells(sim, _allowed(q, m, bounds, sim.shape), k)
+                near.append((at[i], held[first + j], sim[i, j]))
+            found.append(_nearest(near, k))
+    if not found:
+        return None
+    who, hit, sim = _nearest(found, k)
+    out = memory.loc[hit, keep].reset_index(drop=True)
+    for i, c in enumerate(c for c in ("q_id", "q_key") if c in queries):
+        out.insert(i, c, queries[c].to_numpy()[who])
+    out["sim"] = sim
+    return out
+
+
+def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first ``k`` of each query among some ``(query, memory position, similarity)``; ties go to the lower position."""
+    who, hit, sim = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((hit, -np.round(sim, _RANK_DIGITS), who))
+    who, hit, sim = who[order], hit[order], sim[order]
+    first = np.arange(len(who)) - np.searchsorted(who, who, side="left") < k
+    return who[first], hit[first], sim[first]
 
 
 def _allowed(q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], shape) -> np.ndarray:
@@ -97,10 +119,15 @@ def _score_blocks(q: pd.DataFrame, m: pd.DataFrame, *, k: int, bounds, columns)
     return pd.DataFrame(columns=columns) if hits is None else hits[columns]
 
 
-def _sizes(rows: DataFrame, part: str, blocks: str, block_rows: int) -> DataFrame:
+def _blocks(vec: str, block_rows: int) -> Column:
+    """The number of blocks for some rows: ``SPREAD`` of them as long as their size allows, so copies grow with the rows."""
+    n, values = F.count(F.lit(1)), F.coalesce(F.sum(F.size(vec)), F.lit(0))
+    return F.greatest(F.ceil(n / block_rows), F.ceil(values / BLOCK_VALUES), F.least(F.lit(SPREAD), F.ceil(n / LEAST_ROWS)), F.lit(1))
+
+
+def _sizes(rows: DataFrame, part: str, vec: str, blocks: str, block_rows: int) -> DataFrame:
     """The number of blocks of each partition value, as a frame."""
-    n = F.ceil(F.count(F.lit(1)) / block_rows).alias(blocks)
-    return rows.groupBy(F.col(part).alias("_part")).agg(n)
+    return rows.groupBy(F.col(part).alias("_part")).agg(_blocks(vec, block_rows).alias(blocks))
 
 
 def _block_of(ident: str, blocks: Column) -> Column:
@@ -114,7 +141,7 @@ def query_key(q_vec: str, part: str | None = None, bounds: Sequence[Bound] = ())
 
 def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str,
              m_vec: str, part: tuple[str, str] | None = None, bounds: Sequence[Bound] = (),
-             carry: Sequence[str] = (), block_rows: int = 8192) -> DataFrame:
+             carry: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` most cosine-similar memory rows of each query: ``q_id, q_key, m_id, sim, rank`` + ``carry``.
 
     ``part`` names an equality between a query and a memory column; ``bounds`` are further
@@ -129,13 +156,18 @@ def knn_join(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id:
 
 def _winners(queries: DataFrame, memory: DataFrame, k: int, q_id: str, m_id: str, q_vec: str, m_vec: str, part: tuple[str, str] | None,
              bounds: Sequence[Bound], carry: Sequence[str], block_rows: int) -> DataFrame:
-    """The best ``k`` rows of each query within each pair of blocks."""
+    """The best ``k`` rows of each query within each pair of blocks.
+
+    A query's partition column may be an array of the values it asks for. Such values share blocks: a query goes once to
+    each block that holds one of them, not once for each value.
+    """
     q_part, m_part = part if part else (None, None)
+    several = bool(part) and isinstance(queries.schema[q_part].dataType, T.ArrayType)
     q = queries.where(F.col(q_vec).isNotNull()).select(
         F.col(q_id).alias("q_id"),
         F.col("_key").alias("q_key"),
         F.col(q_vec).alias("q_vec"),
-        (F.col(q_part) if q_part else F.lit(0)).cast("bigint").alias("q_part"),
+        (F.col(q_part) if several else (F.col(q_part) if q_part else F.lit(0)).cast("bigint")).alias("q_part"),
         *[F.col(b[2]).alias(f"qb_{i}") for i, b in enumerate(bounds)],
     )
     m = memory.where(F.col(m_vec).isNotNull()).select(
@@ -155,21 +187,30 @@ def _winners(queries: DataFrame, memory: DataFrame, k: int, q_id: str, m_id: str
     )
     columns = out.fieldNames()
 
-    fields = [c for c in q.columns if c not in ("q_id", "q_key", "q_part")]
-    q = q.groupBy("q_id", "q_key", "q_part").agg(F.min(F.struct(*fields)).alias("_q")).select("q_id", "q_key", "q_part", "_q.*")
+    same = ["q_id", "q_key"] if several else ["q_id", "q_key", "q_part"]
+    fields = [c for c in q.columns if c not in same]
+    q = q.groupBy(*same).agg(F.min(F.struct(*fields)).alias("_q")).select(*same, "_q.*")
+    number = lambda rows, vec: rows.agg(_blocks(vec, block_rows)).scalar()
+    if several:  # the values are dealt into as many bundles as there are blocks of memory
+        bundles = number(memory.where(F.col(m_vec).isNotNull()), m_vec)
+        m = m.withColumn("_n", bundles).withColumn("_part", F.pmod("m_part", "_n")).drop("_n")
+        bundled = F.explode(F.array_distinct(F.transform("q_part", lambda v: F.pmod(v, F.col("_n")))))
+        q = q.withColumn("_n", bundles).withColumn("_part", bundled)
+        q = q.withColumn("q_part", F.filter("q_part", lambda v: F.pmod(v, F.col("_n")) == F.col("_part"))).drop("_n")
+    else:
+        q, m = q.withColumn("_part", F.col("q_part")), m.withColumn("_part", F.col("m_part"))
     if part:
-        blocks = _sizes(q, "q_part", "_q_blocks", block_rows).join(_sizes(m, "m_part", "_m_blocks", block_rows), "_part")
-        sized = lambda rows: rows.join(blocks, "_part")
+        blocks = _sizes(q, "_part", "q_vec", "_q_blocks", block_rows).join(_sizes(m, "_part", "m_vec", "_m_blocks", block_rows), "_part")
+        sized = lambda rows: rows.join(F.broadcast(blocks) if several else blocks, "_part")
     else:  # two numbers, read as scalar subqueries
-        number = lambda rows: rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1))).scalar()
-        sized = lambda rows: rows.withColumn("_q_blocks", number(q)).withColumn("_m_blocks", number(m))
+        sized = lambda rows: rows.withColumn("_q_blocks", number(q, "q_vec")).withColumn("_m_blocks", number(m, "m_vec"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     left = (
-        sized(q.withColumn("_part", F.col("q_part"))).withColumnRenamed("_part", "_p")
+        sized(q).withColumnRenamed("_part", "_p")
         .withColumn("_qb", _block_of("q_id", F.col("_q_blocks"))).withColumn("_mb", every("_m_blocks")).drop("_q_blocks", "_m_blocks")
     )
     right = (
-        sized(m.withColumn("_part", F.col("m_part"))).withColumnRenamed("_part", "_p")
+        sized(m).withColumnRenamed("_part", "_p")
         .withColumn("_mb", _block_of("m_id", F.col("_m_blocks"))).withColumn("_qb", every("_q_blocks")).drop("_q_blocks", "_m_blocks")
     )
     keys = ["_p", "_mb", "_qb"]
@@ -221,13 +262,13 @@ def knn_ivf(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: s
     """
     centres = centres or fit_cells(memory, m_vec, nlist, seed)
     m = memory.where(F.col(m_vec).isNotNull()).withColumn("_cell", nearest_cells(F.col(m_vec), centres, 1)[0])
-    q = queries.where(F.col(q_vec).isNotNull()).withColumn("_cell", F.explode(nearest_cells(F.col(q_vec), centres, nprobe)))
+    q = queries.where(F.col(q_vec).isNotNull()).withColumn("_cells", nearest_cells(F.col(q_vec), centres, nprobe))
     return search_cells(q, m, k, q_id=q_id, m_id=m_id, q_vec=q_vec, m_vec=m_vec, carry=carry, bounds=bounds, **options)
 
 
 def search_cells(queries: DataFrame, memory: DataFrame, k: int, *, q_id: str, m_id: str, q_vec: str, m_vec: str,
-                 carry: Sequence[str] = (), bounds: Sequence[Bound] = (), block_rows: int = 8192) -> DataFrame:
-    """``knn_join`` between queries with a row per probed ``_cell`` and memory rows of that ``_cell``; the cells'
+                 carry: Sequence[str] = (), bounds: Sequence[Bound] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``knn_join`` between queries with the array ``_cells`` they probe and memory rows of a ``_cell``; the blocks'
     winners are ranked once."""
     keyed = queries.withColumn("_key", query_key(q_vec, None, bounds))
-    return top_k(_winners(keyed, memory, k, q_id, m_id, q_vec, m_vec, ("_cell", "_cell"), bounds, carry, block_rows), k)
+    return top_k(_winners(keyed, memory, k, q_id, m_id, q_vec, m_vec, ("_cells", "_cell"), bounds, carry, block_rows), k)

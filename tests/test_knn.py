@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -150,6 +152,24 @@ def test_history_is_limited_to_the_past(spark):
     assert found(decide.similar_history(query, memory, point_in_time=False)) == {"q": ["new", "old", "edge"]}
 
 
+def test_products_of_a_large_block_are_not_held_at_once():
+    rng = np.random.default_rng(8)
+    m, q = rng.normal(size=(20_000, 8)), rng.normal(size=(1100, 8))
+    memory = pd.DataFrame({"m_id": range(20_000), "m_vec": m.tolist(), "m_part": 0, "mb_0": range(20_000)})
+    queries = pd.DataFrame({"q_id": range(1100), "q_key": 0, "q_vec": q.tolist(), "q_part": 0, "qb_0": range(1100)})
+    asked = knn._by_part(queries)
+    tracemalloc.start()
+    best = knn._best(asked, memory, 3, [("id", "!=", "id")])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    sim = np.round(unit(q) @ unit(m).T, 10)
+    sim[np.arange(1100), np.arange(1100)] = -2
+    want = np.argsort(-sim, axis=1, kind="stable")[:, :3]
+    assert best.sort_values(["q_id", "sim"], ascending=[True, False]).m_id.to_numpy().reshape(-1, 3).tolist() == want.tolist()
+
+
 def test_ties_keep_id_order_with_few_and_many_copies():
     for copies in (3, 500):
         memory = pd.DataFrame({"m_id": range(copies, 0, -1), "m_vec": [[1.0, 0.0]] * copies, "m_part": [0] * copies})

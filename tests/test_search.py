@@ -72,6 +72,22 @@ def test_stored_cells_are_searched_without_reading_the_others(spark, tmp_path):
     assert "dynamicpruning" in partition_filters(cells.search(rows.where("id = 7"), root, rows.schema, 5, **NAMES, nprobe=1))
 
 
+def test_a_query_goes_once_to_a_block_of_many_cells(spark, monkeypatch):
+    rows, sent = vectors(spark, 400, 8, 4), []
+    monkeypatch.setattr(knn, "top_k", lambda hits, k, rank=knn.top_k: (sent.append(hits), rank(hits, k))[1])
+    found = knn.knn_ivf(rows, rows, 5, **NAMES, nlist=16, nprobe=16, bounds=[("id", "!=", "id")])
+    assert sent[0].count() == 400 * 5  # one block, not sixteen cells
+    exact = knn.knn_join(rows, rows, 5, **NAMES, bounds=[("id", "!=", "id")])
+    key = lambda df: sorted((r.q_id, r.m_id, r["rank"]) for r in df.collect())
+    assert key(found) == key(exact)
+
+
+def test_copies_of_a_row_grow_with_the_rows_and_blocks_stay_bounded(spark):
+    blocks = lambda n, dim, most=knn.BLOCK_ROWS: spark.range(n).select(F.array_repeat(F.lit(1.0), dim).alias("v")).agg(knn._blocks("v", most)).first()[0]
+    assert [blocks(n, 2) for n in (0, 1, 1024, 2048, 100_000, 400_000)] == [1, 1, 1, 2, 16, 16]
+    assert blocks(40_000, 2048) == 20 and blocks(400, 2, 50) == 8
+
+
 def test_null_vectors_are_stored_and_never_found(spark, tmp_path):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None)], "id bigint, vec array<float>")
     root = str(tmp_path / "cells")
