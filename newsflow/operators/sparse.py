@@ -1,7 +1,7 @@
 """Search over sparse vectors by inverted slot lists with upper bounds.
 
-A vector is a few rows ``(id, slot, unit)``; all weights are at least zero and a vector has length one. Both
-sides are cut into blocks. A task turns a block of stored vectors into slot lists and follows, for each query,
+A vector is one row ``(id, slots, units)`` of its non-zero slots; all weights are at least zero and a vector has length
+one. Both sides are cut into blocks. A task turns a block of stored vectors into slot lists and follows, for each query,
 the lists of its slots, those with the largest possible share first. Once what is left of the query cannot lift
 another vector to the k best, no further list is read: the few vectors that still can get there are completed from
 their own rows. Vectors never meet as pairs of dense rows, and only a block's best leave the task.
@@ -30,16 +30,23 @@ def word_slots(text: Column, dim: int) -> Column:
 
 
 def hashed_words(rows: DataFrame, ident: str, text: str, dim: int) -> DataFrame:
-    """Bags of words as ``id, slot, unit``; rows that repeat an id are one text, texts without words give no rows.
+    """Bags of words as ``id, slots, units``; rows that repeat an id are one text, texts without words give no rows.
 
-    Weights are counts scaled to length one in single precision, as a stored vector holds them.
+    Weights are counts scaled to length one in single precision, as a stored vector holds them. Words are counted within
+    their row, so no sort or aggregate holds a row per word.
     """
-    slots = rows.select(F.col(ident).alias("id"), F.explode(word_slots(F.col(text), dim)).alias("slot"))
-    counted = slots.repartition("id").groupBy("id", "slot").agg(F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy("id")
-    weight = (F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(every))).cast("float").cast("double")
-    weighed = counted.select("id", "slot", weight.alias("w"))
-    return weighed.select("id", "slot", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(every))).alias("unit"))
+    slots = F.transform(word_slots(F.col(text), dim), lambda s: s.cast("int"))
+    bags = rows.select(F.col(ident).alias("id"), slots.alias("_bag")).where(F.size("_bag") > 0)
+    ordered = bags.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("_bag"))).alias("_bag"))
+    let = lambda value, use: F.get(F.transform(F.array(value), use), 0)  # noqa: E731  # evaluates the value once
+    last = lambda bag, n: F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.get(bag, i - 1) != F.get(bag, i)))
+    ends = let(F.struct(F.col("_bag").alias("bag"), F.size("_bag").alias("n")), lambda x: last(x["bag"], x["n"]))  # of the runs of each slot
+    runs = lambda ends: F.transform(ends, lambda e, i: (e - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("long"))
+    norm = lambda c, zero: F.sqrt(F.aggregate(c, zero, lambda sofar, x: sofar + x * x))
+    weights = lambda ns: let(norm(ns, F.lit(0).cast("long")), lambda length: F.transform(ns, lambda n: (n / length).cast("float").cast("double")))
+    units = lambda ws: let(norm(ws, F.lit(0.0)), lambda length: F.transform(ws, lambda w: w / length))
+    both = let(ends, lambda at: F.struct(F.transform(at, lambda e: F.get("_bag", e - 1)).alias("slots"), let(let(runs(at), weights), units).alias("units")))
+    return ordered.select("id", F.inline(F.array(both)))
 
 
 class SlotLists:
@@ -98,10 +105,12 @@ class SlotLists:
 
 def _search_blocks(asked: pd.DataFrame, rows: pd.DataFrame, *, k: int) -> pd.DataFrame:
     out: dict[str, list] = {"q_id": [], "m_id": [], "sim": []}
+    asked = asked[asked["id"].notna()]
     if len(asked) and len(rows):
-        lists = SlotLists(rows)
-        for ident, query in asked.groupby("id", sort=False):
-            found, sims, _ = lists.search(query["slot"].to_numpy(), query["unit"].to_numpy(), k)
+        flat = {"id": np.repeat(rows["id"].to_numpy(), rows["slots"].map(len)), "slot": np.concatenate(rows["slots"].tolist()), "unit": np.concatenate(rows["units"].tolist())}
+        lists = SlotLists(pd.DataFrame(flat))
+        for ident, slots, units in zip(asked["id"], asked["slots"], asked["units"], strict=True):
+            found, sims, _ = lists.search(np.asarray(slots), np.asarray(units), k)
             out["q_id"] += [ident] * len(found)
             out["m_id"] += lists.ids[found].tolist()
             out["sim"] += sims.tolist()
@@ -111,15 +120,15 @@ def _search_blocks(asked: pd.DataFrame, rows: pd.DataFrame, *, k: int) -> pd.Dat
 def top_k(queries: DataFrame, memory: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` most cosine-similar stored vectors of each query: ``q_id, m_id, sim, rank``.
 
-    Both sides hold ``id, slot, unit``; pass written frames, both are read twice. Vectors that share no slot
+    Both sides hold ``id, slots, units``, a row per id; pass written frames, both are read twice. Vectors that share no slot
     with a query are never its neighbours. Equal similarities rank by the stored id.
     """
-    blocks = lambda rows: rows.agg(F.greatest(F.ceil(F.count_distinct("id") / block_rows), F.lit(1))).scalar()
+    blocks = lambda rows: rows.agg(F.greatest(F.ceil(F.count("id") / block_rows), F.lit(1))).scalar()
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
     sized = lambda rows: rows.withColumn("_nq", blocks(queries)).withColumn("_nm", blocks(memory))
     of = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
-    left = sized(queries).select("id", "slot", "unit", of("_nq").alias("_qb"), every(F.col("_nm")).alias("_mb"))
-    right = sized(memory).select("id", "slot", "unit", of("_nm").alias("_mb"), every(F.col("_nq")).alias("_qb"))
+    left = sized(queries).select("id", "slots", "units", of("_nq").alias("_qb"), every(F.col("_nm")).alias("_mb"))
+    right = sized(memory).select("id", "slots", "units", of("_nm").alias("_mb"), every(F.col("_nq")).alias("_qb"))
     out = T.StructType([T.StructField("q_id", queries.schema["id"].dataType), T.StructField("m_id", memory.schema["id"].dataType), T.StructField("sim", T.DoubleType())])
     hits = left.groupBy("_mb", "_qb").cogroup(right.groupBy("_mb", "_qb")).applyInPandas(partial(_search_blocks, k=k), out)
     best = Window.partitionBy("q_id").orderBy(F.round("sim", RANK_DIGITS).desc(), "m_id")

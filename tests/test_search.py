@@ -133,6 +133,15 @@ def test_sparse_search_equals_brute_force(spark, dim, block, k):
     assert found == brute(queries, memory, k, dim)
 
 
+def test_a_text_is_one_row_and_repeated_ids_are_one_text(spark):
+    rows = spark.createDataFrame([(1, "a b a"), (1, "b b"), (2, None), (3, " "), (4, "c " * 2000)], "id bigint, text string")
+    bags = sparse.hashed_words(rows, "id", "text", 4096)
+    found = {r.id: (r.slots, r.units) for r in bags.collect()}
+    assert bags.count() == 2 and sorted(found) == [1, 4]  # words never become rows, which a task would have to sort
+    assert sorted(round(u, 6) for u in found[1][1]) == [0.5547, 0.83205] and found[1][0] == sorted(found[1][0])
+    assert len(found[4][0]) == 1 and found[4][1] == [1.0]
+
+
 def test_bounds_leave_lists_unread():
     """A query equal to a stored text stops before the long lists, with the same answer as reading them all."""
     rng = np.random.default_rng(5)
