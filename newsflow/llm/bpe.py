@@ -16,6 +16,7 @@ import regex
 
 LONG = 256  # code points of a piece beyond which the library's heap is faster than rounds over arrays
 _END = b"\xff\xff\xff\xff"  # between the ids of two pieces; no id comes near it
+KEPT = 1_000_000  # pieces to remember, of some 200 bytes each, where a task holds little else
 NONE = np.int64(1 << 40)  # rank of a pair that never merges
 
 # The word patterns of the public tokenizer files.
@@ -89,11 +90,11 @@ class Merges:
         ids[ends] = self.last[raw[ends]]
         word = np.repeat(np.arange(len(words)), sizes)
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        ranks = np.full(len(ids), NONE)
+        inside = np.flatnonzero(word[1:] == word[:-1])
+        ranks[inside] = self.ranks(ids[inside], ids[inside + 1])
         while len(ids):
             starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            ranks = np.full(len(ids), NONE)
-            inside = np.flatnonzero(word[1:] == word[:-1])
-            ranks[inside] = self.ranks(ids[inside], ids[inside + 1])
             least = np.minimum.reduceat(ranks, starts)
             least = np.repeat(least, np.diff(np.append(starts, len(ids))))
             if (over := least == NONE).any():
@@ -103,7 +104,13 @@ class Merges:
             ids[at] = self.made[ranks[at]]
             keep = ~over
             keep[at + 1] = False
-            ids, word = ids[keep], word[keep]
+            merged = np.cumsum(keep)[at] - 1
+            ids, word, ranks = ids[keep], word[keep], ranks[keep]
+            near = np.concatenate([merged, merged[merged > 0] - 1])  # only pairs with a merged id have another rank
+            ranks[near] = NONE
+            near = near[near + 1 < len(ids)]
+            near = near[word[near] == word[near + 1]]
+            ranks[near] = self.ranks(ids[near], ids[near + 1])
         if not done:
             return []
         word = np.concatenate([w for w, _ in done])
@@ -161,7 +168,7 @@ class Codec:
         return _STEADY.fullmatch(piece) is not None and "<|" not in piece
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        return self.merges.encode([w.encode() for w in words])
+        return self.merges.encode("\x00".join(words).encode().split(b"\x00") if words else [])
 
     def learn(self, new: list[str]) -> list[bytes]:
         """The ids of each of some distinct pieces."""

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.bpe import Codec, read_spec
+from newsflow.llm.bpe import KEPT, Codec, read_spec
 from newsflow.llm.common import texts
 
 CAPACITY = 4096
@@ -112,7 +112,7 @@ def pack(
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(spec.value)
+        codec = Codec(spec.value, KEPT)
         sequence = TaskContext.get().partitionId() << 32
         names: list[int | None] = []
         ids: list[np.ndarray] = []

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.bpe import Codec, read_spec
+from newsflow.llm.bpe import KEPT, Codec, read_spec
 from newsflow.llm.common import parts_for, texts
 from newsflow.session import fresh_path, written
 
@@ -227,7 +227,7 @@ def write(
     ranged = rows.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").drop("_tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, writer, out = Codec(spec.value), None, None
+        codec, writer, out = Codec(spec.value, KEPT), None, None
         shard = TaskContext.get().partitionId()
         for batch in batches:
             names_in, texts_in = batch.column(0).to_pylist(), batch.column(1).to_pylist()

@@ -224,3 +224,13 @@ def test_search_connects_as_all_pairs_do():
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     assert near_dup.Links(sets).connect().tolist() == [root(i) for i in range(len(sets))]
+
+
+def test_a_merge_looks_up_only_the_pairs_beside_it(monkeypatch):
+    merges, asked = Codec(read_spec(public_tokenizers.path("word_bpe_49k.json"))).merges, []
+    ranks = merges.ranks
+    monkeypatch.setattr(merges, "ranks", lambda left, right: (asked.append(len(left)), ranks(left, right))[1])
+    words = ["internationalisation", "zqxjkvbw", "the", "a"]
+    found = merges.encode([w.encode() for w in words])
+    made = sum(map(len, words)) - sum(len(x) // 4 for x in found)
+    assert sum(asked) <= sum(len(w) - 1 for w in words) + 2 * made
