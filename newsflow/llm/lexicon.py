@@ -16,7 +16,6 @@ import json
 import os
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.bpe import LONG, Codec, byte_chars, read_spec
+from newsflow.llm.bpe import KEPT, LONG, Codec, byte_chars, large, read_spec, sliced
 from newsflow.llm.common import most_counted, texts
 
 SIZE = 1 << 17  # words in the automaton
@@ -126,7 +125,7 @@ class Transducer:
 class LexiconCodec(Codec):
     """Words by the transducer where it holds them, by exact merging else."""
 
-    def __init__(self, spec: str, transducer: Transducer, kept: int = 300_000) -> None:
+    def __init__(self, spec: str, transducer: Transducer, kept: int = KEPT) -> None:
         super().__init__(spec, kept)
         self.transducer = transducer
 
@@ -148,56 +147,54 @@ class Decoder:
     def __init__(self, spec: str) -> None:
         content = json.loads(spec)
         byte_of = {c: b for b, c in enumerate(byte_chars())}
-        self.pieces = {i: bytes(map(byte_of.__getitem__, token)) for token, i in content["model"]["vocab"].items()}
-        self.pieces |= {t["id"]: t["content"].encode() for t in content["added_tokens"]}
+        pieces = {i: bytes(map(byte_of.__getitem__, token)) for token, i in content["model"]["vocab"].items()}
+        pieces |= {t["id"]: t["content"].encode() for t in content["added_tokens"]}
+        self.pieces = pa.array([pieces.get(i) for i in range(max(pieces) + 1)], pa.large_binary())
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """The text of each of some rows of ids."""
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        joined = pa.array(np.frombuffer(b"".join(ids), "<u4"))
+        return [text.decode("utf-8", "replace") for text in sliced(self.pieces, joined, ends)]
+
+
+def word_counts(words: list[str], times: np.ndarray) -> pa.Table:
+    """``word, n`` from the words of pieces, a zero byte between two pieces, and how often each piece occurs."""
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    at = coded.indices.to_numpy()
+    between = at == coded.dictionary.index("\x00").as_py()
+    n = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(n, at[~between], times[np.cumsum(between)[~between]])
+    return pa.table({"word": coded.dictionary, "n": n}).filter(n > 0)
 
 
 def count_words(docs: DataFrame, tokenizer: str, held: int = 150_000) -> DataFrame:
-    """``word, n`` over whole texts. Each task adds up its pieces before the shuffle, ``held`` at a time."""
+    """``word, n`` over whole texts. Each task cuts only a batch's distinct pieces into words, and adds up the words of
+    some batches, until it holds more than ``held``, before Spark does."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(spec.value)
-        pieces: Counter[str] = Counter()
-        words: Counter[str] = Counter()
-
-        def split() -> None:
-            plain = [p for p in pieces if codec.plain(p)]
-            at = 0
-            for w in codec.pattern.findall("\x00".join(plain)):
-                if w == "\x00":
-                    at += 1
-                else:
-                    words[w] += pieces[plain[at]]
-            pieces.clear()
-
-        def flush() -> pa.RecordBatch:
-            split()
-            out = pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
-            words.clear()
-            return out
+        counted: list[pa.Table] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if counted:
+                added = pa.concat_tables(counted).group_by("word").aggregate([("n", "sum")])
+                yield from added.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
+                counted.clear()
 
         for batch in batches:
-            found = batch.column(0).to_pylist()
-            for at in range(0, len(found), 256):  # small counters first: most pieces come again soon
-                whole: Counter[str] = Counter()
-                spaced: Counter[str] = Counter()
-                for text in found[at : at + 256]:
-                    first, rest = codec.pieces(text)
-                    whole.update(first)
-                    spaced.update(rest)
-                for part, n in whole.items():
-                    pieces[part] += n
-                for part, n in spaced.items():
-                    pieces[" " + part] += n
-                if len(pieces) > held:
-                    split()
-                if len(words) > held:
-                    yield flush()
-        yield flush()
+            for _, pieces, _ in codec.pieces(large(batch.column(0))):
+                counts = pieces.value_counts()
+                found = counts.field("values").to_numpy(zero_copy_only=False).tolist()
+                times = counts.field("counts").to_numpy()
+                if not codec.plain("".join(found)):
+                    plain = np.fromiter(map(codec.plain, found), bool, len(found))
+                    found, times = [p for p, is_plain in zip(found, plain, strict=True) if is_plain], times[plain]
+                counted.append(word_counts(codec.words(found), times))
+            if sum(map(len, counted)) > held:
+                yield from flush()
+        yield from flush()
 
     counted = texts(docs).select("text").mapInArrow(run, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -222,7 +219,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = LexiconCodec(spec.value, Transducer.open(SparkFiles.get(lexicon)))
         for batch in batches:
-            ids = codec.encode(batch.column(1).to_pylist())
+            ids = codec.encode(batch.column(1))
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
@@ -235,7 +232,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(spec.value)
         for batch in batches:
-            out = [decoder.decode(ids) for ids in batch.column(1).to_pylist()]
+            out = decoder.decode(batch.column(1).to_pylist())
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
@@ -248,8 +245,8 @@ def round_trip(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, decoder = LexiconCodec(spec.value, Transducer.open(SparkFiles.get(lexicon))), Decoder(spec.value)
         for batch in batches:
-            ids = codec.encode(batch.column(1).to_pylist())
-            out = [decoder.decode(i) for i in ids]
+            ids = codec.encode(batch.column(1))
+            out = decoder.decode(ids)
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), pa.array(out, pa.string())], names=["doc_id", "ids", "text"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary, text string")

@@ -1,19 +1,21 @@
 """Parts that run inside tasks, against plain versions of the same."""
 
+import itertools
 import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from newsflow.llm import near_dup, packing, quality, sharding, toxicity
-from newsflow.llm.bpe import Codec, read_spec
+from newsflow.llm.bpe import Codec, large, read_spec
 from newsflow.llm.cuckoo import CuckooFilter, Shard
-from newsflow.llm.lexicon import LexiconCodec, Transducer
+from newsflow.llm.lexicon import Decoder, LexiconCodec, Transducer, word_counts
 
 ALPHABET = " \t\n\r\x0b\x1c\x85\xa0'abcSTdé1²_.<|>İßΣ日́🙂lvrem"
 MARKS = ["", "<|endoftext|>x <|startoftext|>", "I'll don't  \t\n x", "é́ ß İx Ǆ", "Σας ΣΑΣ", "²³ ½ 12a_b__", "\n\n x\n", "ábc a ́x", " ", "ﬁ 🙂🙂x"]
@@ -39,6 +41,23 @@ def test_codec_is_exact(codec, texts):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_codec_looks_up_the_distinct_pieces_of_a_batch(codec, monkeypatch):
+    own, library = codec
+    asked, look_up = [], own.look_up
+    monkeypatch.setattr(own, "look_up", lambda pieces: (asked.append(len(pieces)), look_up(pieces))[1])
+    texts = ["the cat, the mat", None, "  the cat  ", "日本 the"] * 100
+    for text, ids in zip(texts, own.encode(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert sum(asked) < 20
+
+
+def test_codec_is_exact_on_any_white_space(codec):
+    own, library = codec
+    texts = ["".join(x) for n in range(6) for x in itertools.product(" \n\ta\x01\xa0", repeat=n)]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(texts)] == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(words=st.sets(st.binary(min_size=1, max_size=6), max_size=40), others=st.lists(st.binary(min_size=1, max_size=6), max_size=20))
 def test_transducer_finds_just_its_words(words, others, tmp_path_factory):
@@ -70,6 +89,25 @@ def test_lexicon_codec_is_exact():
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_a_batch_are_counted_from_its_distinct_pieces():
+    codec = Codec(read_spec(public_tokenizers.path("byte_bpe_50k.json")))
+    texts, found = ["a bb  a's", "\\n bb a"] * 50, Counter()
+    for _, pieces, _ in codec.pieces(large(texts)):
+        counts = pieces.value_counts()
+        assert len(counts) < 9
+        table = word_counts(codec.words(counts.field("values").to_pylist()), counts.field("counts").to_numpy())
+        found.update(dict(zip(table["word"].to_pylist(), table["n"].to_pylist(), strict=True)))
+    assert found == Counter(w for t in texts for w in codec.pattern.findall(t))
+
+
+def test_decoder_takes_rows_of_ids_and_cut_characters():
+    spec = read_spec(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_str(spec)
+    rows = [library.encode(t, add_special_tokens=False).ids for t in MARKS]
+    rows += [[], rows[3][:1], rows[3][1:], [len(library.get_vocab()) - 1]]
+    assert Decoder(spec).decode([np.array(r, "<u4").tobytes() for r in rows]) == [library.decode(r, skip_special_tokens=False) for r in rows]
+
+
 def test_cuckoo_filter_holds_deletes_and_fills():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 4000, dtype=np.uint64)
     held = CuckooFilter.sized(len(keys))
