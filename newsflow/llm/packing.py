@@ -136,14 +136,13 @@ def pack(
             return out
 
         for batch in batches:
-            names_in, texts_in = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts_in), 256):
-                for name, data in zip(names_in[at : at + 256], codec.encode(texts_in[at : at + 256]), strict=True):
-                    names.append(name)
-                    ids.append(np.frombuffer(data + tail, "<u4"))
-                    tokens += len(ids[-1])
-                    if tokens >= block_tokens:
-                        yield flush()
+            names_in = batch.column(0).to_pylist()
+            for name, data in zip(names_in, codec.encode(batch.column(1)), strict=True):
+                names.append(name)
+                ids.append(np.frombuffer(data + tail, "<u4"))
+                tokens += len(ids[-1])
+                if tokens >= block_tokens:
+                    yield flush()
         if names:
             yield flush()
 

@@ -230,16 +230,15 @@ def write(
         codec, writer, out = Codec(spec.value, KEPT), None, None
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            names_in, texts_in = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts_in), 256):
-                for name, data in zip(names_in[at : at + 256], codec.encode(texts_in[at : at + 256]), strict=True):
-                    if writer is None:
-                        store, base = open_store(folder)
-                        store.create_dir(base, recursive=True)
-                        file = f"{base}/ids-{shard:06d}-{uuid.uuid4().hex}.planes"
-                        out = store.open_output_stream(file)
-                        writer = PlaneWriter(out, chunk_ids, bits)
-                    writer.add(name, np.frombuffer(data + tail, "<u4"))
+            names_in = batch.column(0).to_pylist()
+            for name, data in zip(names_in, codec.encode(batch.column(1)), strict=True):
+                if writer is None:
+                    store, base = open_store(folder)
+                    store.create_dir(base, recursive=True)
+                    file = f"{base}/ids-{shard:06d}-{uuid.uuid4().hex}.planes"
+                    out = store.open_output_stream(file)
+                    writer = PlaneWriter(out, chunk_ids, bits)
+                writer.add(name, np.frombuffer(data + tail, "<u4"))
         if writer is None:
             return
         writer.close()

@@ -30,7 +30,7 @@ def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(spec.value)
         for batch in batches:
-            sizes = [len(ids) // 4 for ids in codec.encode(batch.column(1).to_pylist())]
+            sizes = [len(ids) // 4 for ids in codec.encode(batch.column(1))]
             yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64())], names=["doc_id", "n_tokens"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long")

@@ -51,6 +51,14 @@ def test_codec_looks_up_the_distinct_pieces_of_a_batch(codec, monkeypatch):
     assert sum(asked) < 20
 
 
+def test_codec_takes_a_column_of_several_blocks(codec):
+    own, library = codec
+    texts = [f"{i} a\x1cb  c\xa0d\u3000e {i % 7}'s " if i % 3 else None for i in range(2_100)]
+    want = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    column = pa.array(["cut off", *texts]).slice(1)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(column)] == want
+
+
 def test_codec_is_exact_on_any_white_space(codec):
     own, library = codec
     texts = ["".join(x) for n in range(6) for x in itertools.product(" \n\ta\x01\xa0", repeat=n)]
