@@ -4,7 +4,8 @@ Only documents carry labels; sentences are the instances. A sentence's score is
 its distinct words and their first letters (hashed), and a document is toxic if at least one of its
 sentences is: ``1 - prod(1 - score)``. Weights are trained through that noisy-or from document labels
 by Adagrad with an L1 penalty, in one task, on at most ``sample`` labelled documents (those with the
-smallest hash of their id, so the same ones on every run). Scoring reads every whole text where it is
+smallest hash of their id, so the same ones on every run). That task is handed the texts in order and
+keeps of them only the numbers of each sentence's words. Scoring reads every whole text where it is
 stored. The sentences that carry a document over the threshold are located by their offsets.
 
 Defined results: a null or empty text is one sentence without words; a label that is null, or whose
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +36,8 @@ LEAST_DOCS = 5  # documents of the sample that must hold a feature
 LEAST_WORDS = 5  # shorter sentences join the next one
 STEMS = (4, 5, 6)
 PRIOR = -6.0
+KEPT = 100_000  # chunks that training remembers
+SLICE = 256  # texts that are cut at once
 
 _STRIP = ".,;:!?…\"'()[]{}|%&$#*<>«»“”„"
 _ENDS = frozenset(".!?…\x00")
@@ -48,22 +52,29 @@ class Model:
 class Words(dict):
     """Numbers the words of chunks between white space: ``2 * word + 1`` if the chunk ends a sentence.
 
-    Word 0 is no word. ``features`` holds each word's hashed features.
+    Word 0 is no word. ``clear`` forgets the chunks, but not the words' numbers.
     """
 
     def __init__(self) -> None:
         self.numbers: dict[str, int] = {"": 0}
-        self.features: list[list[int]] = [[]]
+        self._hashed, self._sizes = array("i"), array("b", [0])  # the hashed features of the latest words, and how many each has
 
     def __missing__(self, chunk: str) -> int:
         word = chunk.strip(_STRIP + "\x00").lower()
-        number = self.numbers.setdefault(word, len(self.features))
-        if number == len(self.features):
+        number = self.numbers.setdefault(word, new := len(self.numbers))
+        if number == new:
             hashed = [zlib.crc32(word.encode())] + [zlib.crc32(b"^" + word[:k].encode()) for k in STEMS if len(word) > k]
-            self.features.append([h & (1 << BITS) - 1 for h in hashed])
+            self._hashed.extend([h & (1 << BITS) - 1 for h in hashed])
+            self._sizes.append(len(hashed))
         self[chunk] = code = 2 * number + (chunk[-1] in _ENDS)
         return code
 
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashed features of the words numbered since the last call, and the place of each one's word among these."""
+        sizes, hashed = np.array(self._sizes, np.int64), np.array(self._hashed, np.int64)
+        self._hashed, self._sizes = array("i"), array("b")
+        return hashed, np.repeat(np.arange(len(sizes)), sizes)
+
 
 def bags(words: Words, found: list[str], first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ``(word, sentence)`` pairs, and the document of each sentence (from 0 on)."""
@@ -88,37 +99,51 @@ def bags(words: Words, found: list[str], first: int = 0) -> tuple[np.ndarray, np
     return key & 0xFFFFFFFF, key >> 32, np.concatenate(docs)
 
 
-def _flat(features: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, features), np.int64, len(features))
-    return np.fromiter((f for fs in features for f in fs), np.int64, int(sizes.sum())), np.repeat(np.arange(len(features)), sizes)
-
-
 def fit(found: list[str], labels: list[int], steps: int = 200, rate: float = 0.3, l1: float = 1e-4) -> Model:
     """Trains on whole texts and their labels."""
+    return fit_slices(((found[at : at + SLICE], labels[at : at + SLICE]) for at in range(0, len(found), SLICE)), steps, rate, l1)
+
+
+def fit_slices(slices: Iterable[tuple[list[str], list[int]]], steps: int = 200, rate: float = 0.3, l1: float = 1e-4) -> Model:
+    """Trains on whole texts and their labels, given some at a time; keeps the numbers of their words only."""
+    words, parts, doc, y = Words(), [], [np.empty(0, np.int64)], []
+    holders, first = np.zeros(1, np.int64), 0  # documents with each word; sentences before the slice
+    for found, labels in slices:
+        word, sentence, own = bags(words, found)
+        pairs = np.unique(word << 32 | own[sentence])
+        seen = np.bincount(pairs >> 32, minlength=len(holders))
+        seen[: len(holders)] += holders
+        holders = seen
+        parts.append((first, first + len(own), word.astype(np.int32), sentence.astype(np.int32)))
+        doc.append(own + len(y))
+        first += len(own)
+        y += labels
+        if len(words) > KEPT:
+            words.clear()
+    features, owner = words.features()
+    words = None
+    doc, y, n = np.concatenate(doc), np.array(y, float), len(y)
     weights, bias = np.zeros(1 << BITS), PRIOR
-    y = np.array(labels, float)
-    if not 0 < y.sum() < len(y):
+    if not 0 < y.sum() < n:
         return Model(weights.astype(np.float32), bias)
-    words = Words()
-    word, sentence, doc = bags(words, found)
-    features, owner = _flat(words.features)
-    words = None
-    pairs = np.unique(word << 32 | doc[sentence])
-    holders = np.bincount(pairs >> 32, minlength=owner[-1] + 1)  # documents with each word
     common = np.bincount(features, holders[owner], 1 << BITS) >= LEAST_DOCS
     features, owner = features[common[features]], owner[common[features]]
     used = np.zeros(len(holders), bool)
     used[owner] = True
-    word, sentence = word[used[word]].astype(np.int32), sentence[used[word]].astype(np.int32)
-    n, size = len(y), np.full(1 << BITS, 1e-8)
+    parts = [(start, end, word[used[word]], sentence[used[word]]) for start, end, word, sentence in parts]
+    z, size = np.zeros(len(doc)), np.full(1 << BITS, 1e-8)
     bias_size = 1e-8
     for _ in range(steps):
         value = np.bincount(owner, weights[features], len(holders))
-        z = bias + np.bincount(sentence, value[word], len(doc))
+        for start, end, word, sentence in parts:
+            z[start:end] = bias + np.bincount(sentence, value[word], end - start)
         total = np.bincount(doc, np.logaddexp(0, z), n)  # -log of the chance that no sentence is toxic
         slope = np.where(y > 0, -np.exp(-total) / np.maximum(-np.expm1(-total), 1e-9), 1.0) / n
         pull = slope[doc] / (1 + np.exp(-z))
-        grad = np.bincount(features, np.bincount(word, pull[sentence], len(holders))[owner], 1 << BITS)
+        pulled = np.zeros(len(holders))
+        for start, end, word, sentence in parts:
+            np.add.at(pulled, word.astype(np.intp), pull[start:end][sentence])
+        grad = np.bincount(features, pulled[owner], 1 << BITS)
         size += grad * grad
         bias_size += pull.sum() ** 2
         step = rate / np.sqrt(size)
@@ -135,15 +160,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = known.orderBy(F.xxhash64("_doc"), "_doc").limit(sample)  # ids and labels only, bounded by the parameter
     rows = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "_toxic")
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        model = fit(table["text"].to_pylist(), table["_toxic"].to_pylist())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE))
+        model = fit_slices((part.column(1).to_pylist(), part.column(2).to_pylist()) for part in cut)
         at = np.flatnonzero(model.weights)
-        return pa.table(
-            {"feature": pa.array([-1, *at.tolist()], pa.int32()), "weight": pa.array([model.bias, *model.weights[at].tolist()], pa.float64())}
+        yield pa.record_batch(
+            [pa.array([-1, *at.tolist()], pa.int32()), pa.array([model.bias, *model.weights[at].tolist()], pa.float64())], names=["feature", "weight"]
         )
 
-    fitted = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(run, "feature int, weight double").collect()
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text")  # Spark sorts, so Python holds a batch of texts at a time
+    fitted = ordered.mapInArrow(run, "feature int, weight double").collect()
     weights = np.zeros(1 << BITS, np.float32)
     for row in fitted:
         if row.feature >= 0:
@@ -181,10 +207,9 @@ class Scorer:
         if len(self.words) > self.kept:
             self.forget()
         word, sentence, doc = bags(self.words, found)
-        if (old := len(self.values)) < len(self.words.features):
-            features, owner = _flat(self.words.features[old:])
-            new = np.bincount(owner, self.model.weights[features], len(self.words.features) - old)
-            self.values = np.append(self.values, new)
+        if (new := len(self.words.numbers) - len(self.values)) > 0:
+            features, owner = self.words.features()
+            self.values = np.append(self.values, np.bincount(owner, self.model.weights[features], new))
         return self.model.bias + np.bincount(sentence, self.values[word], len(doc)), doc
 
     def score(self, found: list[str]) -> tuple[list[float], list[np.ndarray]]:
@@ -204,8 +229,8 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         for batch in batches:
             found = batch.column(1).to_pylist()
             scores, spans = [], []
-            for at in range(0, len(found), 256):
-                part = found[at : at + 256]
+            for at in range(0, len(found), SLICE):
+                part = found[at : at + SLICE]
                 own, each = scorer.score(part)
                 scores += own
                 for text, s, parts in zip(part, own, each, strict=True):
@@ -230,7 +255,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
         scorer = Scorer(Model(*shared.value))
         for batch in batches:
             found = [t or "" for t in batch.column(at).to_pylist()]
-            stay = [s < threshold for i in range(0, len(found), 256) for s in scorer.score(found[i : i + 256])[0]]
+            stay = [s < threshold for i in range(0, len(found), SLICE) for s in scorer.score(found[i : i + SLICE])[0]]
             yield batch.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -231,6 +232,39 @@ def test_instances_are_learnt_from_document_labels():
     assert texts[0][start:end] == "you vile grumbler go away now."
 
 
+def rare_words(n):
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10 ** 6):06d}é{'.' * (k % 9 == 8)}" for k in range(150)) for _ in range(n)]
+    return texts, [int(i % 3 == 0) for i in range(n)]
+
+
+def test_training_holds_little_beside_the_numbers_of_words(monkeypatch):
+    texts, labels = rare_words(1000)
+    monkeypatch.setattr(toxicity, "KEPT", 20_000, raising=False)
+    tracemalloc.start()
+    try:
+        toxicity.fit(texts, labels, steps=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 300 * 150_000  # bytes a word, nearly all of them distinct
+
+
+@pytest.mark.parametrize("size", [1, 7, 300])
+def test_training_does_not_depend_on_the_slices(size, monkeypatch):
+    texts, labels = rare_words(300)
+    texts = [t + " common words here. " + "the vile grumbler and others." * y + "\nthe end" for t, y in zip(texts, labels, strict=True)]
+    whole = toxicity.fit(texts, labels, steps=20)
+    monkeypatch.setattr(toxicity, "KEPT", 50)
+    cut = toxicity.fit_slices(((texts[i : i + size], labels[i : i + size]) for i in range(0, 300, size)), steps=20)
+    assert whole.weights.any() and whole.bias == cut.bias and (whole.weights == cut.weights).all()
+
+
+def test_texts_without_words_teach_the_bias_only():
+    model = toxicity.fit(["", " ", "..."], [0, 1, 0])
+    assert not model.weights.any() and model.bias > toxicity.PRIOR
+
+
 def plain_sets(text):
     words = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in
              "".join(c if c not in "\t\n\x0b\x0c\r" else " " for c in text).split(" ") if w]
