@@ -9,9 +9,10 @@ told apart.
 
 1. Each task hashes its texts; equal sets are one node, with those first shingles.
 2. Sets that share less than ``c`` of their short lists with others are done. The nodes of an inverted
-   list are sorted by size, and each is tied to the smallest that can still be
-   its partner. No pairs are made: a list of m nodes makes less than m ties. The ties' components
-   are clusters; every link lies within one.
+   list are sorted by size. In a list of at most ``LIST`` nodes each meets those before it, and the pairs' lists
+   are counted: a pair is tied if these and the longer lists of either can make ``c``. In a longer list no pairs
+   are made: only nodes with ``c`` such lists take part, each tied to the smallest that can still be
+   its partner. The ties' components are clusters; every link lies within one.
 3. A cluster's sets come together (large clusters in pairs of blocks). Each set asks the others: its
    short lists are merged and counted, its longest lists are only probed, by binary search, for the
    candidates that can still reach the overlap. Candidates that are known to be connected are left
@@ -35,18 +36,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.llm.collocations import bitmap_of, holds
 from newsflow.llm.common import SPACES, most_counted, texts
 from newsflow.llm.components import components
-from newsflow.session import written
+from newsflow.session import release, written
 
 WORDS = 5
 PERCENT = 75
 MARGIN = 20  # one of so many shingles must be shared beyond the first, within the short lists
 FREQUENT = 1 << 20  # shingles told apart by their counts; bounds what is broadcast
+LIST = 16  # nodes of a list that meet in pairs
 BLOCK = 4096  # sets in one block of a large cluster
 SKIP_WEIGHT = 0.0085  # how much of the threshold goes to long lists, as published for DivideSkip
 NO_DOC = -(1 << 63)
 
+_LEAST = f"1 + {PERCENT} * n div {100 * MARGIN}"  # lists a set must share with its smallest possible partner
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
@@ -163,32 +167,42 @@ def first_shingles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) ->
     return texts(docs).select("text").mapInArrow(run, "node long, n long, first array<long>")
 
 
-def shared_lists(firsts: DataFrame, rounds: int = 2) -> DataFrame:
-    """``node, n, shingle``: the short lists, without sets that have no candidate.
+def shared_lists(firsts: DataFrame, rounds: int = 2, most: int = LIST) -> DataFrame:
+    """``node, n, shingle, long, crowded``: the short lists, without sets that have no candidate; ``long`` lists hold
+    more than ``most`` nodes, and a node has ``crowded`` of them.
 
     A set counts its lists that hold another set of a size that could link. Where these are fewer than
     it must share with its smallest possible partner, which has three quarters of its size, it has none
-    and leaves; what is left is counted again.
+    and leaves; what is left is counted again. Copies of a text are no other set.
     """
     lists = firsts.select("node", "n", F.explode("first").alias("shingle"))
     order = Window.partitionBy("shingle").orderBy("n", "node")
+    lists = lists.withColumn("_last", F.lag("node").over(order)).where("_last IS NULL OR _last <> node")
     for _ in range(rounds):
         near = lists.withColumn("_before", F.lag("n").over(order)).withColumn("_after", F.lead("n").over(order))
-        near = near.where(f"100 * _before >= {PERCENT} * n OR 100 * n >= {PERCENT} * _after").select("node", "n", "shingle")
-        lists = written(near, "lists")
-        enough = lists.groupBy("node", "n").agg(F.count("*").alias("_lists")).where(f"_lists >= 1 + {PERCENT} * n div {100 * MARGIN}")
-        lists = lists.join(enough.select("node"), "node").select("node", "n", "shingle")
+        near = near.where(f"100 * _before >= {PERCENT} * n OR 100 * n >= {PERCENT} * _after")
+        near = near.withColumn("long", F.count("*").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > most)
+        lists = written(near.select("node", "n", "shingle", "long"), "lists")
+        release(lists.sparkSession)
+        enough = lists.groupBy("node", "n").agg(F.count("*").alias("_lists"), F.count_if("long").alias("crowded")).where(f"_lists >= {_LEAST}")
+        lists = lists.join(enough.select("node", "crowded"), "node").select("node", "n", "shingle", "long", "crowded")
     return lists
 
 
-def ties(lists: DataFrame) -> DataFrame:
-    """``a, b``: each node of a list and the smallest set from which sizes grow to its own without a
-    gap that no link can cross."""
+def ties(lists: DataFrame, most: int = LIST) -> DataFrame:
+    """``a, b``: pairs that can share enough lists. In long lists, among nodes that can link through these alone: each
+    node and the smallest set from which sizes grow to its own without a gap that no link can cross."""
     order = Window.partitionBy("shingle").orderBy("n", "node")
-    lists = lists.withColumn("_before", F.lag("n").over(order))
-    head = F.when(F.expr(f"_before IS NULL OR 100 * _before < {PERCENT} * n"), F.struct("n", "node"))
+    lists = lists.where(f"NOT long OR crowded >= {_LEAST}").withColumn("_before", F.lag("n").over(order))
+    own = F.struct("n", "node", "crowded")
+    head = F.when(F.expr(f"long AND (_before IS NULL OR 100 * _before < {PERCENT} * n)"), own)
     lists = lists.withColumn("_head", F.max(head).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return lists.select(F.col("_head.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    lists = lists.withColumn("_others", F.collect_list(F.when(~F.col("long"), own)).over(order.rowsBetween(1 - most, -1)))
+    met = lists.withColumn("_other", F.explode(F.when(F.col("long"), F.array("_head")).otherwise(F.col("_others"))))
+    met = met.where(f"_other.node <> node AND 100 * _other.n >= IF(long, 0, {PERCENT}) * n")
+    met = met.select(F.col("_other.node").alias("a"), F.col("node").alias("b"), "long", F.col("_other.n").alias("n"), F.least("crowded", "_other.crowded").alias("crowded"))
+    met = met.groupBy("a", "b").agg(F.count_if(~F.col("long")).alias("_lists"), F.bool_or("long").alias("tied"), F.min("n").alias("n"), F.min("crowded").alias("crowded"))
+    return met.where(f"tied OR _lists + crowded >= 1 + n div {MARGIN}").select("a", "b")
 
 
 class Links:
@@ -264,7 +278,17 @@ def _connect(table: pa.Table) -> pa.Table:
 
 
 def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, cluster, size, shingles`` of the documents that stand for the nodes of ``members``."""
+    """``node, cluster, size, shingles`` of the documents that stand for the nodes of ``members``.
+
+    A bitmap of their ids, of a fixed size, keeps most other texts from being shuffled.
+    """
+    named = members.select(F.xxhash64("_doc").alias("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(named))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.filter(pa.array(holds(shared.value, batch.column(2).to_numpy().view(np.uint64))))
+            yield some.select([0, 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,7 +297,8 @@ def member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
             rest = [batch.column(i).take(pa.array(same, pa.int64())) for i in (1, 2, 3)]
             yield pa.record_batch([*rest, pa.array([sets[i].tobytes() for i in same], pa.binary())], names=["node", "cluster", "size", "shingles"])
 
-    rows = texts(docs).join(members, F.expr("doc_id <=> _doc")).select("text", "node", "cluster", "size")
+    found = texts(docs).withColumn("key", F.xxhash64("doc_id")).mapInArrow(likely, "doc_id long, text string")
+    rows = found.join(members, F.expr("doc_id <=> _doc")).select("text", "node", "cluster", "size")
     return rows.mapInArrow(run, "node long, cluster long, size long, shingles binary")
 
 
@@ -284,7 +309,9 @@ def links(docs: DataFrame, rows: DataFrame, frequent: tuple[np.ndarray, np.ndarr
     clusters = written(tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "cluster"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     members = clusters.join(sizes, "cluster").join(nodes, "node")
-    sets = member_sets(docs, members.select("node", "cluster", "size", F.when(F.col("doc") != NO_DOC, F.col("doc")).alias("_doc")))
+    members = written(members.select("node", "cluster", "size", F.when(F.col("doc") != NO_DOC, F.col("doc")).alias("_doc")), "members")
+    release(docs.sparkSession)
+    sets = member_sets(docs, members)
     # a cluster of b blocks meets in b * (b + 1) / 2 tasks, each of two blocks at most
     blocks = F.ceil(F.col("size") / block)
     sets = sets.withColumn("_own", F.pmod(F.hash("node"), blocks)).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
