@@ -9,10 +9,13 @@ so each pass over the texts passes on less:
 4. phrases of three to five words of the runs are counted by hash; what is frequent there, as phrases, are the
    candidates. Bits that meet only add candidates, never lose one; two phrases of one 64-bit key count as one,
    of which there is far less than one in a corpus of a billion phrases;
-5. candidates are dealt into double-array tries of a bounded size. Each trie is broadcast in turn; numpy moves
+5. candidates are dealt by their first two words into double-array tries of a bounded size. ``TOGETHER`` tries are
+   broadcast at a time; a position of a text asks the one trie that its two words lead to. numpy moves
    the states of all positions of a block of text on, level by level, and counts the accepting states; tasks'
    counts are added up. These are the phrases' exact counts.
 
+Texts are cut into words, and a block's distinct words found, in Arrow; Python handles only these.
+
 What passes 2 to 4 broadcast is a bitmap of ``BITS`` bits, whatever the corpus holds; a crowded one lets more
 phrases through.
 
@@ -25,9 +28,11 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +46,7 @@ PER_LANG = 2000
 COVERED_PERCENT = 100
 BITS = 27  # of the bitmaps: 16 MB
 TRIE_NODES = 1 << 19  # of one trie, at most about
-BLOCK_WORDS = 1 << 18  # words of a task that are held as strings
+TOGETHER = 8  # tries that are broadcast at once
 HELD_KEYS = 1 << 22  # keys of a task that are counted together
 BUCKETS = 256  # parts in which tasks hand on the phrases they name
 HELD_PHRASES = 500_000  # phrases a task remembers to have named
@@ -53,16 +58,47 @@ _TABLE = bytes(b"\n"[0] if c in _TO_SPLIT else b" "[0] if c == 9 else c + 32 if
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: str) -> list[bytes]:
-    """The words of ``text`` in lower case, a line feed between pieces, and empty strings between."""
-    return text.encode().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
+@dataclass
+class Block:
+    """Texts of one language. ``codes`` has each word's place among the ``distinct`` ones, counted from 1, and 0 between
+    pieces and texts; word ``i`` has the code at ``places[i]`` and stands in text ``owners[i]``."""
+
+    lang: str
+    distinct: list[bytes]
+    codes: np.ndarray
+    places: np.ndarray
+    owners: np.ndarray
+
+
+def cut(lang: str, texts: pa.StringArray) -> Block:
+    """The words of ``texts`` in lower case."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(b"" if data is None else data[int(ends[0]) : int(ends[-1])].to_pybytes().translate(_TABLE), np.uint8)
+    ends = ends - ends[0]
+    breaks = raw == ord("\n")
+    inside = ~breaks & (raw != ord(" "))
+    begins, closes = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    edges = ends[(ends > 0) & (ends < len(raw))]
+    begins[edges], closes[edges - 1] = inside[edges], inside[edges - 1]
+    starts, stops = np.flatnonzero(begins), np.flatnonzero(closes) + 1
+    letters = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(letters), pa.py_buffer(raw[inside])]).dictionary_encode()
+    owners = np.searchsorted(ends[1:], starts, side="right")
+    pieces = np.searchsorted(np.flatnonzero(breaks), starts)
+    apart = np.append(True, (np.diff(owners) > 0) | (np.diff(pieces) > 0))[: len(starts)]
+    places = np.arange(len(starts)) + np.cumsum(apart)
+    codes = np.zeros(len(starts) + int(apart.sum()) + 1, np.int32)
+    codes[places] = found.indices.to_numpy() + 1
+    return Block(lang, found.dictionary.to_pylist(), codes, places, owners)
 
 
 class Hashes(dict):
-    """The hashes of one language's words, eight bytes each; zeros between pieces."""
+    """The hashes of one language's words, eight bytes each."""
 
     def __init__(self, lang: str) -> None:
-        super().__init__({b"": b"", b"\n": bytes(8)})
         self.lang = lang.encode() + b"\0"
 
     def __missing__(self, word: bytes) -> bytes:
@@ -71,16 +107,13 @@ class Hashes(dict):
         return found
 
 
-def hashed(lists: list[tuple[str, list[bytes]]], known: dict[str, Hashes]) -> np.ndarray:
+def hashed(block: Block, known: dict[str, Hashes]) -> np.ndarray:
     """The words of many texts as hashes, with zeros between texts and pieces."""
     if sum(map(len, known.values())) > 3 * DISTINCT:
         known.clear()
-    out = []
-    for lang, found in lists:
-        if lang not in known:
-            known[lang] = Hashes(lang)
-        out += [*map(known[lang].__getitem__, found), bytes(8)]
-    return np.frombuffer(b"".join(out), np.uint64)
+    if block.lang not in known:
+        known[block.lang] = Hashes(block.lang)
+    return np.frombuffer(bytes(8) + b"".join(map(known[block.lang].__getitem__, block.distinct)), np.uint64)[block.codes]
 
 
 def longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -112,19 +145,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().alias("text"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_WORDS) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Texts as words, about ``size`` of them at a time."""
-    held, n = [], 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Texts as words, those of a batch in one language at a time."""
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = words(text.as_py())
-            held.append((lang, found))
-            n += len(found)
-            if n >= size:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
+        langs = batch.column(0).dictionary_encode()
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            yield cut(lang, batch.column(1).filter(pc.equal(langs.indices, i)))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -133,21 +159,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
 
-        def flush() -> pa.RecordBatch:
-            rows = []
+        def flush() -> Iterator[pa.RecordBatch]:
             for lang, c in counts.items():
-                known = Hashes(lang)
-                rows += [(lang, w.decode(), n, int.from_bytes(known[w], "little", signed=True)) for w, n in c.items() if w not in (b"", b"\n")]
+                keys = np.frombuffer(b"".join(map(Hashes(lang).__missing__, c)), np.int64)
+                columns = [pa.repeat(pa.scalar(lang, pa.string()), len(c)), pa.array(c, pa.binary()).cast(pa.string()), pa.array(c.values(), pa.int64()), pa.array(keys)]
+                yield pa.record_batch(columns, names=["lang", "word", "n", "key"])
             counts.clear()
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["lang", "word", "n", "key"])
 
         for block in _blocks(batches):
-            for lang, found in block:
-                counts[lang].update(found)
+            held = counts[block.lang]
+            for word, n in zip(block.distinct, np.bincount(block.codes)[1:].tolist(), strict=True):
+                held[word] += n
             if sum(map(len, counts.values())) > DISTINCT:
-                yield flush()
-        yield flush()
+                yield from flush()
+        yield from flush()
 
     partial = _texts(docs).mapInArrow(run, "lang string, word string, n long, key long")
     return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.first("key").alias("key"))
@@ -200,6 +225,12 @@ def frequent_pairs(docs: DataFrame, frequent_words: np.ndarray, min_count: int =
     return _keys_frequent(_texts(docs), keys_of, min_count)
 
 
+def _joined(values: pa.Array, ends: np.ndarray, between: bytes) -> pa.Array:
+    """``values`` in groups that end at ``ends``, each joined."""
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), pa.scalar(between, pa.binary()))
+
+
 def runs(docs: DataFrame, pairs: np.ndarray) -> DataFrame:
     """``lang, text``: of each text the runs of two words and more whose neighbours are frequent pairs, a line each."""
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
@@ -212,19 +243,12 @@ def runs(docs: DataFrame, pairs: np.ndarray) -> DataFrame:
             both[both] = holds(shared.value, longer(hashes[:-1][both], hashes[1:][both]))
             edge = np.diff(np.concatenate([[0], both.astype(np.int8), [0]]))
             starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
-            langs, texts, base, i = [], [], 0, 0
-            for lang, found in block:
-                found = [w for w in found if w]
-                found.append(b"\n")
-                end, lines = base + len(found), []
-                while i < len(starts) and starts[i] < end:
-                    lines.append(b" ".join(found[starts[i] - base : stops[i] - base]))
-                    i += 1
-                if lines:
-                    langs.append(lang)
-                    texts.append(b"\n".join(lines).decode())
-                base = end
-            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(texts, pa.string())], names=["lang", "text"])
+            inside = np.repeat(starts - np.concatenate([[0], np.cumsum(stops - starts)[:-1]]), stops - starts) + np.arange(int((stops - starts).sum()))
+            found = pa.array(block.distinct, pa.binary()).take(pa.array(block.codes[inside] - 1))
+            lines = _joined(found, np.cumsum(stops - starts), b" ")
+            owners = block.owners[np.searchsorted(block.places, starts)]
+            texts = _joined(lines, np.append(np.flatnonzero(np.diff(owners)) + 1, len(owners)) if len(owners) else owners, b"\n")
+            yield pa.record_batch([pa.repeat(pa.scalar(block.lang, pa.string()), len(texts)), texts.cast(pa.string())], names=["lang", "text"])
 
     return _texts(docs).mapInArrow(run, "lang string, text string")
 
@@ -249,7 +273,8 @@ def candidates(found: DataFrame, keys: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Hashes] = {}
         parts: dict[int, list[str]] = defaultdict(list)
-        seen, held = np.zeros(0, np.uint64), 0
+        seen: list[np.ndarray] = []  # sorted keys, each part longer than the next
+        held = 0
 
         def flush() -> pa.RecordBatch:
             made = pa.record_batch([pa.array(list(parts), pa.int64()), pa.array(list(parts.values()), pa.list_(pa.string()))], names=["part", "phrases"])
@@ -258,22 +283,26 @@ def candidates(found: DataFrame, keys: np.ndarray) -> DataFrame:
 
         for block in _blocks(batches):
             hashes = hashed(block, known)
-            flat = [w for _, some in block for w in [*(w for w in some if w), b"\n"]]
-            lang_ends = np.cumsum([sum(map(bool, some)) + 1 for _, some in block])
             named = []
             for size, at, phrase_keys in _windows(hashes):
                 able = np.ones(len(at), bool) if size == 2 else holds(shared.value, phrase_keys)
                 new, first = np.unique(phrase_keys[able], return_index=True)
-                fresh = ~np.isin(new, seen)
+                fresh = np.ones(len(new), bool)
+                for keys in seen:
+                    fresh &= keys[np.minimum(np.searchsorted(keys, new), len(keys) - 1)] != new
                 at, new = at[able][first[fresh]], new[fresh]
                 named.append(new)
-                for i, doc, part in zip(at.tolist(), np.searchsorted(lang_ends, at, side="right").tolist(), (new % np.uint64(BUCKETS)).tolist(), strict=True):
-                    parts[part].append(f"{block[doc][0]}\n{b' '.join(flat[i : i + size]).decode()}")
-            seen = np.union1d(seen, np.concatenate(named))
-            held += sum(map(len, named))
+                for i, part in zip((block.codes[at[:, None] + np.arange(size)] - 1).tolist(), (new % np.uint64(BUCKETS)).tolist(), strict=True):
+                    parts[part].append(f"{block.lang}\n{b' '.join([block.distinct[c] for c in i]).decode()}")
+            keys = np.sort(np.concatenate(named))
+            held += len(keys)
+            while seen and len(seen[-1]) <= len(keys):
+                keys = np.sort(np.concatenate([seen.pop(), keys]))
+            if len(keys):
+                seen.append(keys)
             if held > HELD_PHRASES:  # names some again, which only costs their way
                 yield flush()
-                seen, held = np.zeros(0, np.uint64), 0
+                seen, held = [], 0
         yield flush()
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +333,7 @@ class Trie:
                     children[node] = []
                     children[node[:-1]].append(x[i])
         self._place(children, len(codes))
-        self.phrase = np.full(len(self.check), -1, np.int64)
+        self.phrase = np.full(len(self.check), -1, np.int32)
         for i, x in enumerate(coded):
             self.phrase[self._states[tuple(x)]] = i
         del self._states
@@ -342,7 +371,7 @@ class Trie:
             while check[free] >= 0:
                 free += 1
         used = int(np.flatnonzero(check >= 0).max()) + n_codes + 2
-        self.base, self.check = base[:used], check[:used]
+        self.base, self.check = base[:used].astype(np.int32), check[:used].astype(np.int32)
 
     def encode(self, texts: list[tuple[str, list[bytes]]]) -> np.ndarray:
         """Words as their numbers; 0 for other words, and between pieces and texts."""
@@ -353,42 +382,98 @@ class Trie:
             out.append(unknown)
         return np.frombuffer(b"".join(out), "<u4").astype(np.int64)
 
-    def count(self, codes: np.ndarray) -> np.ndarray:
-        """How often each phrase begins anywhere in ``codes``; all positions move on together."""
-        total = np.zeros(len(self.check), np.int64)
-        at = np.flatnonzero(codes)
-        states = codes[at]  # children of the root lie at their numbers
-        live = self.check[states] == 0
+    def count(self, codes: np.ndarray, at: np.ndarray | None = None, numbers: np.ndarray | None = None) -> np.ndarray:
+        """How often each phrase begins anywhere in ``codes``, or at the places ``at``; all positions move on together.
+        ``numbers`` has this trie's numbers of the words behind ``codes``, where these are others."""
+        held = int((self.phrase >= 0).sum())
+        total = np.zeros(held, np.int64)
+        own = (lambda x: x) if numbers is None else numbers.__getitem__
+        at = np.flatnonzero(codes) if at is None else at
+        states = own(codes[at])  # children of the root lie at their numbers
+        live = (states > 0) & (self.check[states] == 0)
         at, states = at[live], states[live]
         for level in range(1, LONGEST):
             inside = at + level < len(codes)
             at, states = at[inside], states[inside]
-            following = codes[at + level]
+            following = own(codes[at + level])
             moved = self.base[states] + following
             live = (following != 0) & (moved >= 0) & (moved < len(self.check))
             moved[~live] = 0
             live &= self.check[moved] == states
             at, states = at[live], moved[live]
-            total += np.bincount(states[self.phrase[states] >= 0], minlength=len(total))
-        ends = self.phrase >= 0
-        out = np.zeros(int(ends.sum()), np.int64)
-        out[self.phrase[ends]] = total[ends]
-        return out
+            ends = self.phrase[states]
+            total += np.bincount(ends[ends >= 0], minlength=held)
+        return total
+
+
+class Tries:
+    """Several tries, numbered from ``first`` of ``of``, and one numbering of all their words."""
+
+    def __init__(self, tries: list[Trie], first: int, of: int) -> None:
+        self.tries, self.first, self.of = tries, first, of
+        self.codes: dict[str, dict[bytes, int]] = defaultdict(dict)
+        n, places = 0, []
+        for trie in tries:
+            found: list[tuple[int, int]] = []
+            for lang, known in trie.codes.items():
+                mine = self.codes[lang]
+                for word, code in known.items():
+                    n += word not in mine
+                    found.append((mine.setdefault(word, n), int.from_bytes(code, "little")))
+            places.append(found)
+            trie.codes = {}  # not sent twice
+        self.numbers = [np.zeros(n + 1, np.int32) for _ in tries]
+        for numbers, found in zip(self.numbers, places, strict=True):
+            at, code = np.array(found, np.int64).reshape(-1, 2).T
+            numbers[at] = code
+
+    def count(self, block: Block, hashes: np.ndarray) -> list[np.ndarray]:
+        """How often each trie's phrases begin in ``block``; a position asks the trie of its first two words only."""
+        at = np.flatnonzero((hashes[:-1] != 0) & (hashes[1:] != 0))
+        trie = trie_of(hashes[at], hashes[at + 1], self.of) - self.first
+        held = (trie >= 0) & (trie < len(self.tries))
+        at, trie = at[held], trie[held]
+        order = np.argsort(trie, kind="stable")
+        at, bounds = at[order], np.searchsorted(trie[order], np.arange(len(self.tries) + 1))
+        known = self.codes.get(block.lang, {})
+        words = np.array([0, *(known.get(w, 0) for w in block.distinct)])
+        return [t.count(block.codes, at[bounds[i] : bounds[i + 1]], self.numbers[i][words]) for i, t in enumerate(self.tries)]
+
+
+def trie_of(first: np.ndarray, second: np.ndarray, tries: int) -> np.ndarray:
+    """The number of the trie that holds the phrases whose first two words have these hashes."""
+    keys = longer(first, second)
+    return ((keys ^ (keys >> np.uint64(32))) % np.uint64(tries)).astype(np.int64)
+
+
+def _dealt(phrases: DataFrame, tries: int) -> DataFrame:
+    """``lang, phrase, trie``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Hashes] = {}
+        for batch in batches:
+            langs, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            hashes = b"".join(known.setdefault(lang, Hashes(lang))[w] for lang, p in zip(langs, found, strict=True) for w in p.encode().split(b" ", 2)[:2])
+            both = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(trie_of(both[:, 0], both[:, 1], tries))], names=["lang", "phrase", "trie"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string, trie long")
 
 
 def count_phrases(found: DataFrame, phrases: DataFrame, nodes: int = TRIE_NODES) -> DataFrame:
-    """``lang, phrase, n``: exact counts of ``phrases`` in the runs, one trie of about ``nodes`` nodes after the other.
+    """``lang, phrase, n``: exact counts of ``phrases`` in the runs, by tries of about ``nodes`` nodes.
 
-    A trie holds an equal share of the phrases by their hash, so its size does not grow with the corpus.
+    A trie holds the phrases of an equal share of the first pairs of words, so its size does not grow with the corpus. The
+    runs are read once for every ``TOGETHER`` tries, and each place in them is looked up in one trie.
     """
     spark = found.sparkSession
     tries = max(1, -(-phrases.count() * LONGEST // nodes))
-    dealt = phrases.withColumn("trie", F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)))
+    dealt = written(_dealt(phrases, tries), "dealt")
     counted = []
-    for i in range(tries):
-        held = [(r.lang, r.phrase) for r in dealt.where(F.col("trie") == i).toLocalIterator()]
-        if held:
-            counted.append(_counted(found, Trie(held), held))
+    for first in range(0, tries, TOGETHER):
+        held = [[(r.lang, r.phrase) for r in dealt.where(F.col("trie") == i).toLocalIterator()] for i in range(first, min(tries, first + TOGETHER))]
+        if any(held):
+            counted.append(_counted(found, Tries([Trie(x) for x in held], first, tries), [p for x in held for p in x]))
     if not counted:
         return spark.createDataFrame([], "lang string, phrase string, n long")
     out = counted[0]
@@ -397,15 +482,16 @@ def count_phrases(found: DataFrame, phrases: DataFrame, nodes: int = TRIE_NODES)
     return out
 
 
-def _counted(found: DataFrame, trie: Trie, held: list[tuple[str, str]]) -> DataFrame:
+def _counted(found: DataFrame, tries: Tries, held: list[tuple[str, str]]) -> DataFrame:
     spark = found.sparkSession
-    shared = spark.sparkContext.broadcast(trie)
+    shared, size = spark.sparkContext.broadcast(tries), len(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(held), np.int64)
+        known: dict[str, Hashes] = {}
+        total = np.zeros(size, np.int64)
         for block in _blocks(batches):
-            total += shared.value.count(shared.value.encode(block))
-        starts = range(0, len(held), SUMMED)
+            total += np.concatenate(shared.value.count(block, hashed(block, known)))
+        starts = range(0, size, SUMMED)
         yield pa.record_batch([pa.array(starts, pa.int64()), pa.array([total[i : i + SUMMED].tobytes() for i in starts], pa.binary())], names=["first", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
