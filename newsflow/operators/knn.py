@@ -53,7 +53,7 @@ def _best(asked: tuple, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -
     queries, units, positions = asked
     memory = memory.sort_values("m_id", kind="stable", ignore_index=True)
     keep = [c for c in memory.columns if c not in ("m_vec", "m_part") and not c.startswith("mb_")]
-    found = []
+    found, top = [], np.full((len(queries), k), -np.inf)  # of each query the best similarities so far
     for part, held in memory.groupby("m_part", sort=False).indices.items():
         if part not in positions:
             continue
@@ -64,7 +64,10 @@ def _best(asked: tuple, memory: pd.DataFrame, k: int, bounds: Sequence[Bound]) -
             for first in range(0, len(held), _MATRIX_COLUMNS):
                 m = rows.iloc[first:first + _MATRIX_COLUMNS]
                 sim = left @ right[first:first + _MATRIX_COLUMNS].T
-                i, j = _top_cells(sim, _allowed(q, m, bounds, sim.shape), k)
+                i, j = _better(sim, q, m, bounds, top[at, -1])
+                if i is None:
+                    i, j = _top_cells(sim, _allowed(q, m, bounds, sim.shape), k)
+                top[at] = _raised(top[at], i, sim[i, j])
                 near.append((at[i], held[first + j], sim[i, j]))
             found.append(_nearest(near, k))
     if not found:
@@ -86,6 +89,33 @@ def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) ->
     return who[first], hit[first], sim[first]
 
 
+def _better(sim: np.ndarray, q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], least: np.ndarray) -> tuple:
+    """Row and column numbers of the allowed cells that are not below their row's ``least``, or None twice when most cells
+    may be such. Once ``k`` neighbours are known few are, and only these are compared with the bounds."""
+    if not np.isfinite(least).all():
+        return None, None
+    near = sim >= (least - 2 * 10.0 ** -_RANK_DIGITS)[:, None]  # and those equal after rounding
+    if np.count_nonzero(near) > 8 * _MATRIX_ROWS:
+        return None, None
+    i, j = np.nonzero(near)
+    ok = np.ones(len(i), dtype=bool)
+    for n, (_, op, _) in enumerate(bounds):
+        ok &= _COMPARE[op](m[f"mb_{n}"].to_numpy()[j], q[f"qb_{n}"].to_numpy()[i])
+    return i[ok], j[ok]
+
+
+def _raised(top: np.ndarray, row: np.ndarray, sim: np.ndarray) -> np.ndarray:
+    """The best similarities of each row, with others of the rows numbered ``row``, the greatest first."""
+    if not len(row):
+        return top
+    order = np.lexsort((-sim, row))
+    row, sim, k = row[order], sim[order], top.shape[1]
+    place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+    more = np.full(top.shape, -np.inf)
+    more[row[place < k], place[place < k]] = sim[place < k]
+    return -np.sort(-np.concatenate([top, more], axis=1), axis=1)[:, :k]
+
+
 def _allowed(q: pd.DataFrame, m: pd.DataFrame, bounds: Sequence[Bound], shape) -> np.ndarray:
     ok = np.ones(shape, dtype=bool)
     for i, (_, op, _) in enumerate(bounds):

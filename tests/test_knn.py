@@ -176,3 +176,26 @@ def test_ties_keep_id_order_with_few_and_many_copies():
         queries = pd.DataFrame({"q_id": [9, 8], "q_vec": [[1.0, 0.0], [0.5, 0.5]], "q_part": [0, 0]})
         best = knn._best(knn._by_part(queries), memory, 2, ())
         assert best.groupby("q_id").m_id.apply(list).to_dict() == {8: [1, 2], 9: [1, 2]}
+
+
+def test_best_rows_so_far_change_nothing(monkeypatch):
+    """Tiles, parts, ties and bounds against all pairs at once; later tiles are only searched for what is not worse."""
+    rng, k = np.random.default_rng(4), 3
+    vectors = np.round(rng.normal(size=(90, 4)))
+    asked = pd.DataFrame({"q_id": range(60), "q_key": range(60), "q_vec": list(vectors[:60]), "q_part": [np.arange(3)] * 60, "qb_0": range(60), "qb_1": rng.integers(0, 9, 60)})
+    memory = pd.DataFrame({"m_id": range(90), "m_vec": list(vectors), "m_part": rng.integers(0, 3, 90), "mb_0": range(90), "mb_1": rng.integers(0, 9, 90)})
+    bounds, columns = (("event_id", "!=", "event_id"), ("day", "<=", "day")), ["q_id", "m_id", "sim"]
+    monkeypatch.setattr(knn, "_MATRIX_ROWS", 16)
+    monkeypatch.setattr(knn, "_MATRIX_COLUMNS", 7)
+    whole, called = knn._top_cells, []
+    monkeypatch.setattr(knn, "_top_cells", lambda *args: called.append(1) or whole(*args))
+    got = knn._score_blocks(asked, memory, k=k, bounds=bounds, columns=columns)
+    units = knn._unit_rows(memory["m_vec"])
+    sim = units[:60] @ units.T
+    want = []
+    for i in range(60):
+        able = [j for j in range(90) if j != i and memory.mb_1[j] <= asked.qb_1[i]]
+        want += [(i, j) for j in sorted(able, key=lambda j: (-round(sim[i, j], 10), j))[:k]]
+    assert sorted(zip(got.q_id, got.m_id, strict=True)) == sorted(want)
+    tiles = sum(4 * -(-int(n) // 7) for n in memory.m_part.value_counts())
+    assert len(called) < tiles
